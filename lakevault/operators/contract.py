@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakevault.sources.schemas import EVENT_SCHEMA
 
@@ -36,6 +37,7 @@ REQUEST_EVENTS = (1, 500)
 MAX_ATTEMPTS = 4
 
 MALFORMED = "malformed"
+BROKEN = "_broken"
 REQUEST_SIZE = "request_size"
 
 
@@ -79,9 +81,16 @@ def parsed(messages: DataFrame) -> DataFrame:
     """Messages (message_id, body) with the event they carry and the rules it breaks.
 
     A body that is no JSON object breaks the one rule ``malformed``; every message is judged alone.
+    The event goes through a generator so that a body is parsed once: as a plain column the
+    optimizer would copy the parsing into every filter and field that uses it.
     """
-    read = messages.withColumn("event", F.from_json("body", EVENT_SCHEMA))
-    no_object = F.get_json_object("body", "$").isNull() | F.col("event").isNull()
+    shape = StructType([*EVENT_SCHEMA.fields, StructField(BROKEN, StringType())])
+    event = F.from_json("body", shape, {"columnNameOfCorruptRecord": BROKEN})
+    read = messages.select("*", F.explode(F.array(event)).alias("event"))
+    # A single bad value also marks the record, but leaves a body that is valid JSON.
+    no_object = F.col("event").isNull() | (
+        F.col(f"event.{BROKEN}").isNotNull() & F.get_json_object("body", "$").isNull()
+    )
     found = F.when(no_object, F.array(F.lit(MALFORMED))).otherwise(violations("event"))
     return read.withColumn("violations", found)
 

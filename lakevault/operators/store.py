@@ -51,9 +51,18 @@ class VaultStore:
         for table in TABLES.values():
             self.ensure_table(table, table_schema(self.spark, table))
 
+    def within(self, spark: SparkSession) -> VaultStore:
+        """The same tables seen from another session, such as that of a micro-batch."""
+        return VaultStore(spark, self.root, self.database, self.buckets)
+
+    def rows(self, name: str) -> DataFrame:
+        """All stored rows, including those other sessions and jobs have appended by now."""
+        self.spark.catalog.refreshTable(self.qualified(name))
+        return self.spark.table(self.qualified(name))
+
     def read(self, name: str) -> DataFrame:
         """A table's rows; for a reference the newest row per key."""
-        rows = self.spark.table(self.qualified(name))
+        rows = self.rows(name)
         table = TABLES[name]
         if table.kind == "reference":
             others = [F.asc(column) for column in table.payload]
@@ -62,10 +71,10 @@ class VaultStore:
 
     def current(self, name: str) -> DataFrame:
         """The newest version per key of a satellite."""
-        return current(self.spark.table(self.qualified(name)), TABLES[name].key[0])
+        return current(self.rows(name), TABLES[name].key[0])
 
     def is_empty(self, name: str) -> bool:
-        return self.spark.table(self.qualified(name)).isEmpty()
+        return self.rows(name).isEmpty()
 
     def append(self, table: VaultTable, rows: DataFrame) -> int:
         """Append rows and return how many there were, counted while they are written."""

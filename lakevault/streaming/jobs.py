@@ -46,19 +46,28 @@ def vault_job(store: VaultStore, path: str, checkpoint: str, files_per_batch: in
 
     def take(batch: DataFrame, _: int) -> None:
         rows = flat_events(with_raw_metadata(batch.drop(CORRUPT), record_source, load_now()))
-        load_dataset(store, EVENTS, rows)
+        load_dataset(store.within(batch.sparkSession), EVENTS, rows)
 
     stream = event_stream(store.spark, path, files_per_batch)
     return drain(stream.writeStream.foreachBatch(take), checkpoint)
 
 
-def message_stream(spark: SparkSession, path: str) -> DataFrame:
+def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Messages (message_id, body, sent_at) as they were received, one JSON object per line."""
-    return spark.readStream.schema("message_id string, body string, sent_at timestamp").json(path)
+    reader = spark.readStream.schema("message_id string, body string, sent_at timestamp")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
 def landing_job(
-    spark: SparkSession, path: str, raw_root: str, quarantine: str, checkpoint: str, run_date: dt.date
+    spark: SparkSession,
+    path: str,
+    raw_root: str,
+    quarantine: str,
+    checkpoint: str,
+    run_date: dt.date,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Messages into the raw layer, each id once; messages that break the contract into quarantine.
 
@@ -66,11 +75,12 @@ def landing_job(
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        judged = parsed(batch)
+        judged = parsed(batch).persist()
         land_messages(accepted(judged), raw_root, batch_id, run_date)
         quarantined(judged).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        judged.unpersist()
 
-    return drain(message_stream(spark, path).writeStream.foreachBatch(take), checkpoint)
+    return drain(message_stream(spark, path, files_per_batch).writeStream.foreachBatch(take), checkpoint)
 
 
 def distinct_messages(messages: DataFrame, delay: str) -> DataFrame:
