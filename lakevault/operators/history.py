@@ -6,7 +6,7 @@ nothing that is already there, while a value that changes away and back is kept
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.operators.model import first_row
@@ -23,20 +23,23 @@ def current(versions: DataFrame, key: str) -> DataFrame:
     return first_row(versions, [key], newest)
 
 
-def neighbours(stored: DataFrame, incoming: DataFrame, key: str, small_batch: bool) -> DataFrame:
-    """The stored versions that can decide about the incoming ones: (key, seq, hashdiff).
+def moment() -> Column:
+    """``seq.at`` as a number that sorts like it, a missing time first."""
+    return F.coalesce(F.unix_micros("seq.at"), F.lit(-(2**63)))
+
+
+def neighbours(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """The stored versions that can decide about a small batch: (key, seq, hashdiff).
 
     Per key that is the last stored version before the first incoming one, and everything stored
     after it. A batch in order therefore fetches one stored row per key, however long the history,
     and the aggregate picks it on the map side.
     """
-    floor = incoming.groupBy(key).agg(F.min("seq").alias("floor"))
-    if small_batch:
-        floor = F.broadcast(floor)
+    floor = F.broadcast(incoming.groupBy(key).agg(F.min(moment()).alias("floor")))
     version = F.struct(*VERSION_ORDER)
     near = stored.select(key, *VERSION_ORDER).join(floor, key)
     return (
-        near.groupBy(key, F.when(F.col("seq") >= F.col("floor"), version).alias("later"))
+        near.groupBy(key, F.when(moment() >= F.col("floor"), version).alias("later"))
         .agg(F.max(version).alias("version"))
         .select(key, "version.*")
     )
@@ -52,13 +55,15 @@ def new_versions(
 ) -> DataFrame:
     """Incoming rows that are versions the store does not have yet.
 
-    ``stored`` is None for an empty table. ``most_rows`` is a known upper bound of all rows involved;
+    ``stored`` is None for an empty table. A small batch fetches the versions next to its own; a large
+    one is laid beside the keys, times and hashdiffs of the whole table, which takes a single
+    shuffle. ``most_rows`` is a known upper bound of all rows involved;
     when it already rules out a hot key, none is looked for.
     """
     timeline = incoming.withColumn("fresh", F.lit(True))
     if stored is not None:
-        known = neighbours(stored, incoming, key, small_batch).withColumn("fresh", F.lit(False))
-        timeline = timeline.unionByName(known, allowMissingColumns=True)
+        known = neighbours(stored, incoming, key) if small_batch else stored.select(key, *VERSION_ORDER)
+        timeline = timeline.unionByName(known.withColumn("fresh", F.lit(False)), allowMissingColumns=True)
     width = None
     if most_rows is None or most_rows > hot_key_rows:
         width = slice_width(timeline, key, hot_key_rows)

@@ -30,7 +30,7 @@ def fits_broadcast(rows: int) -> bool:
 
 
 def missing_rows(rows: DataFrame, stored: DataFrame, key: list[str], small_batch: bool) -> DataFrame:
-    """Rows whose key the table does not have.
+    """One row per key the table does not have.
 
     For a small batch the stored table is scanned where it lies: first narrowed to the batch's own
     keys, which leaves at most one row per batch key, then subtracted. A large batch is joined by
@@ -39,15 +39,15 @@ def missing_rows(rows: DataFrame, stored: DataFrame, key: list[str], small_batch
     known = stored.select(*key)
     if small_batch:
         known = F.broadcast(known.join(F.broadcast(rows.select(*key)), key, "left_semi"))
-    return rows.join(known, key, "left_anti")
+    return first_row(rows, key).join(known, key, "left_anti")
 
 
 def insert_missing(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int) -> int:
     """Hubs and links: one row per key, keys already stored stay as they are."""
-    unique = first_row(rows, table.key)
-    if not store.is_empty(table.name):
-        unique = missing_rows(unique, store.read(table.name), table.key, fits_broadcast(batch_rows))
-    return store.append(table, unique)
+    if store.is_empty(table.name):
+        return store.append(table, first_row(rows, table.key))
+    missing = missing_rows(rows, store.read(table.name), table.key, fits_broadcast(batch_rows))
+    return store.append(table, missing)
 
 
 def append_versions(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int) -> int:

@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,7 +16,7 @@ from lakevault.operators.specs import VaultTable
 SEQ_SCHEMA = StructType().add("at", "timestamp").add("tie", "string")
 
 
-def sequence(at: str, tie: str):
+def sequence(at: str, tie: str) -> Column:
     """The ``seq`` column from a timestamp-like and a text-like column."""
     return F.struct(F.col(at).cast("timestamp").alias("at"), F.col(tie).cast("string").alias("tie")).alias("seq")
 
@@ -27,14 +28,30 @@ def stamped(df: DataFrame, record_source: str, load_dts: dt.datetime) -> DataFra
     )
 
 
+def hashdiff_name(table: VaultTable) -> str:
+    return f"{table.name}_hashdiff"
+
+
+def hashed(df: DataFrame, tables: Iterable[VaultTable]) -> DataFrame:
+    """Add every hash key and hashdiff the tables need, each one once.
+
+    Written to the staged batch, they are read back as plain columns by all tables and joins that
+    use them instead of being computed again in each.
+    """
+    columns = {}
+    for table in tables:
+        columns.update({name: digest(parts) for name, parts in table.digests.items()})
+        if table.kind == "satellite":
+            columns[hashdiff_name(table)] = digest(table.compared_columns)
+    return df.withColumns({name: column for name, column in columns.items() if name not in df.columns})
+
+
 def vault_rows(df: DataFrame, table: VaultTable) -> DataFrame:
     """The rows a dataset contributes to one vault table, lazily; duplicates are settled by the merge."""
-    source = table.prepare(df) if table.prepare else df
-    columns = [digest(parts).alias(name) for name, parts in table.digests.items()]
-    columns += [F.col(name) for name in (*table.natural_key, *table.payload)]
+    source = table.prepare(df) if table.prepare else hashed(df, [table])
+    columns = [*table.digests, *table.natural_key, *table.payload]
     if table.kind == "satellite":
-        compared = table.payload if table.compared is None else table.compared
-        columns += [digest(compared).alias("hashdiff"), F.col("seq")]
+        columns += [F.col(hashdiff_name(table)).alias("hashdiff"), "seq"]
     return source.where(all_present(table.identity)).select(*columns, "load_dts", "record_source")
 
 

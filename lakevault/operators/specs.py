@@ -45,6 +45,10 @@ class VaultTable:
     def key(self) -> list[str]:
         return list(self.natural_key) or [next(iter(self.digests))]
 
+    @property
+    def compared_columns(self) -> tuple[str, ...]:
+        return self.payload if self.compared is None else self.compared
+
     @property
     def identity(self) -> tuple[str, ...]:
         """Source columns that must all be filled for a row to enter the table."""

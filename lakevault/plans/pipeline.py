@@ -8,43 +8,49 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from lakevault.operators.merge import Written, write
-from lakevault.operators.model import stamped, vault_rows
+from lakevault.operators.model import hashed, stamped, vault_rows
 from lakevault.operators.specs import MODEL
 from lakevault.operators.store import VaultStore
 from lakevault.session import run_folder
 
-# Hubs before links before satellites, so that a reader never meets a link without its hubs.
-KIND_ORDER = ("hub", "link", "satellite", "reference")
 
+# A handful of files gives a handful of tasks; so few are spread once before any digest is computed.
+FEW_FILES = 8
 
-def staged(rows: DataFrame, label: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder.
 
-    A dataset feeds several vault tables. Parsing or joining it once and reading it back column by
-    column is cheaper than repeating it per table, and a lost executor only re-reads files.
+def spread(rows: DataFrame) -> DataFrame:
+    """Give rows that come from very few files enough partitions to work in parallel."""
+    files = len(rows.inputFiles())
+    if not 0 < files <= FEW_FILES:
+        return rows
+    return rows.repartition(min(rows.sparkSession.sparkContext.defaultParallelism, FEW_FILES * files))
+
+
+def staged(rows: DataFrame, dataset: str) -> DataFrame:
+    """The batch with all its digests as a Parquet table in the shared folder.
+
+    A dataset feeds several vault tables. Parsing, joining and hashing happen once; each table then
+    reads just its columns, and a lost executor only re-reads files.
     """
-    folder = f"{run_folder(rows.sparkSession, 'stage')}/{label}"
-    rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    folder = f"{run_folder(rows.sparkSession, 'stage')}/{dataset}"
+    ready = hashed(spread(rows), MODEL[dataset])
+    ready.write.parquet(folder)
+    return rows.sparkSession.read.schema(ready.schema).parquet(folder)
 
 
-def load_dataset(store: VaultStore, dataset: str, rows: DataFrame, stage: bool = True) -> list[Written]:
+def load_dataset(store: VaultStore, dataset: str, rows: DataFrame) -> list[Written]:
     """Take one batch of a dataset into all its vault tables.
 
-    ``rows`` carry the dataset's columns plus ``load_dts``, ``record_source`` and ``seq``. Tables of
-    one kind do not depend on each other and are written side by side.
+    ``rows`` carry the dataset's columns plus ``load_dts``, ``record_source`` and ``seq``. Keys are
+    digests of business keys, so no table waits for another one's keys and all are written side by side.
     """
     if dataset not in MODEL:
         raise ValueError(f"unknown dataset {dataset!r}; known: {list(MODEL)}")
-    batch = staged(rows, dataset) if stage else rows
+    batch = staged(rows, dataset)
     batch_rows = batch.count()
-    written: list[Written] = []
-    for kind in KIND_ORDER:
-        tables = [table for table in MODEL[dataset] if table.kind == kind]
-        if tables:
-            with ThreadPoolExecutor(len(tables)) as pool:
-                written += pool.map(lambda t: write(store, t, vault_rows(batch, t), batch_rows), tables)
-    return written
+    tables = MODEL[dataset]
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(lambda table: write(store, table, vault_rows(batch, table), batch_rows), tables))
 
 
 def load_now() -> dt.datetime:
@@ -53,11 +59,10 @@ def load_now() -> dt.datetime:
 
 
 def load_table(
-    store: VaultStore, dataset: str, rows: DataFrame, record_source: str, stage: bool = True,
-    load_dts: dt.datetime | None = None,
+    store: VaultStore, dataset: str, rows: DataFrame, record_source: str, load_dts: dt.datetime | None = None
 ) -> list[Written]:
     """``load_dataset`` for rows that come straight from a source table."""
-    return load_dataset(store, dataset, stamped(rows, record_source, load_dts or load_now()), stage)
+    return load_dataset(store, dataset, stamped(rows, record_source, load_dts or load_now()))
 
 
 def run_all(

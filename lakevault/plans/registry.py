@@ -59,10 +59,10 @@ def load(store: VaultStore, folder: str, dataset: str, rows: DataFrame | None =
     spark = store.spark
     if dataset == "events":
         given = flat(spark, folder) if rows is None else rows
-        return load_table(store, dataset, given, f"{RECORD_SOURCE['events']}.events", load_dts=LOADED_AT)
+        return load_table(store, dataset, given, f"{RECORD_SOURCE['events']}.events", LOADED_AT)
     given = benchtables.versioned(spark, folder, dataset) if rows is None else rows
     source = f"{RECORD_SOURCE['batch']}.{dataset}"
-    return load_table(store, dataset, given, source, dataset not in benchtables.PLAIN, LOADED_AT)
+    return load_table(store, dataset, given, source, LOADED_AT)
 
 
 def vault(spark: SparkSession, folder: str, *datasets: str) -> VaultStore:
@@ -204,7 +204,7 @@ def upsert_reference(spark: SparkSession, folder: str) -> DataFrame:
     of_sellers = F.col("geolocation_city") == "-"
     for day, batch in enumerate((points.where(~of_sellers), points.where(of_sellers)), start=1):
         at = LOADED_AT + dt.timedelta(days=day)
-        load_table(store, "geolocation", batch, f"{RECORD_SOURCE['batch']}.geolocation", False, at)
+        load_table(store, "geolocation", batch, f"{RECORD_SOURCE['batch']}.geolocation", at)
     return store.read("ref_geolocation").drop("load_dts")
 
 

@@ -13,10 +13,6 @@ from lakevault.functions.measures import MONEY
 from lakevault.operators.model import SEQ_SCHEMA
 from lakevault.sources.schemas import SOURCES
 
-# Datasets that are a plain projection of one Parquet table: reading them again is cheaper than
-# staging a copy.
-PLAIN = {"customers", "sellers", "products", "order_items", "order_payments", "geolocation"}
-
 EVENT_TYPES = {
     "signup": "order_created",
     "view": "order_approved",
