@@ -39,9 +39,9 @@ def main() -> None:
         times[f"load_{dataset}"] = seconds(lambda: registry.load(store, FOLDER, dataset))
     for dataset in ("order_items", "order_payments", "events"):
         times[f"reload_{dataset}"] = seconds(lambda: registry.load(store, FOLDER, dataset))
-    work = {name: (lambda view=view: consume(view(store))) for name, view in gold.VIEWS.items()}
+    work = {name: (lambda view=view: consume(view(store, None))) for name, view in gold.VIEWS.items()}
     for name in reports.REPORTS:
-        work[name] = lambda name=name: consume(reports.run_report(name, lambda view: gold.VIEWS[view](store)))
+        work[name] = lambda name=name: consume(reports.run_report(name, gold.reader(store)))
     for name, action in work.items():
         action()
         times[name] = statistics.median(seconds(action) for _ in range(RUNS))

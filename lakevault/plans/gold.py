@@ -5,7 +5,7 @@ broadcast by their measured size, larger ones are merged and split where a key i
 """
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,18 +13,40 @@ from pyspark.sql import functions as F
 from lakevault.functions.measures import complete_days, money, money_avg, money_sum
 from lakevault.operators.store import VaultStore
 
+Columns = Collection[str] | None  # names a caller needs; None for all
 
-def with_place(rows: DataFrame, store: VaultStore, role: str) -> DataFrame:
+
+PLACE = {"customer_lat", "customer_lng"}
+
+
+def describe(rows: DataFrame, part: DataFrame, key: str, columns: Columns) -> DataFrame:
+    """Left join a part that has at most one row per key, unless nothing it adds is asked for.
+
+    Spark cannot know that the key is unique and would have to keep the join; leaving it out saves
+    the scan, the ranking and the shuffle of a whole satellite.
+    """
+    adds = [name for name in part.columns if name != key]
+    if columns is not None and not set(adds) & set(columns):
+        return rows
+    return rows.join(part, key, "left")
+
+
+def narrowed(rows: DataFrame, columns: Columns, *names: str) -> DataFrame:
+    """The view's columns in their order, or those of them that are asked for."""
+    return rows.select(*(name for name in names if columns is None or name in columns))
+
+
+def with_place(rows: DataFrame, store: VaultStore, role: str, columns: Columns) -> DataFrame:
     """Add ``<role>_lat`` and ``<role>_lng`` of the row's zip prefix, null when it is unknown."""
     places = store.read("ref_geolocation").select(
         F.col("geolocation_zip_code_prefix").alias(f"{role}_zip_code_prefix"),
         F.col("geolocation_lat").alias(f"{role}_lat"),
         F.col("geolocation_lng").alias(f"{role}_lng"),
     )
-    return rows.join(places, f"{role}_zip_code_prefix", "left")
+    return describe(rows, places, f"{role}_zip_code_prefix", columns)
 
 
-def dim_customer(store: VaultStore) -> DataFrame:
+def dim_customer(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per customer account; people are told apart by ``customer_unique_id``."""
     accounts = (
         store.read("hub_customer_account").select("customer_account_hk", "customer_id")
@@ -34,14 +56,19 @@ def dim_customer(store: VaultStore) -> DataFrame:
     profile = store.current("sat_customer_profile").select(
         "customer_account_hk", "customer_zip_code_prefix", "customer_city", "customer_state"
     )
-    described = accounts.join(profile, "customer_account_hk", "left")
-    return with_place(described, store, "customer").select(
+    # The place is looked up by the profile's zip prefix.
+    needed = columns if columns is None else {*columns, "customer_zip_code_prefix"} if PLACE & set(columns) else columns
+    described = describe(accounts, profile, "customer_account_hk", needed)
+    if "customer_zip_code_prefix" in described.columns:
+        described = with_place(described, store, "customer", columns)
+    return narrowed(
+        described, columns,
         "customer_account_hk", "customer_id", "customer_hk", "customer_unique_id",
         "customer_zip_code_prefix", "customer_city", "customer_state", "customer_lat", "customer_lng",
     )
 
 
-def dim_product(store: VaultStore) -> DataFrame:
+def dim_product(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per product; the English category falls back to the original name."""
     details = store.current("sat_product_details").select(
         "product_hk", "product_category_name", "product_weight_g", "product_photos_qty",
@@ -50,123 +77,134 @@ def dim_product(store: VaultStore) -> DataFrame:
         ).alias("product_volume_cm3"),
     )
     english = store.read("ref_product_category").select("product_category_name", "product_category_name_english")
-    return (
-        store.read("hub_product").select("product_hk", "product_id")
-        .join(details, "product_hk", "left")
-        .join(english, "product_category_name", "left")
-        .select(
-            "product_hk", "product_id", "product_category_name",
-            F.coalesce("product_category_name_english", "product_category_name").alias("product_category_name_english"),
-            "product_weight_g", "product_photos_qty", "product_volume_cm3",
-        )
+    products = store.read("hub_product").select("product_hk", "product_id").join(details, "product_hk", "left")
+    named = products.join(english, "product_category_name", "left").withColumn(
+        "product_category_name_english", F.coalesce("product_category_name_english", "product_category_name")
+    )
+    return narrowed(
+        named, columns,
+        "product_hk", "product_id", "product_category_name", "product_category_name_english",
+        "product_weight_g", "product_photos_qty", "product_volume_cm3",
     )
 
 
-def dim_seller(store: VaultStore) -> DataFrame:
+def dim_seller(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per seller."""
     profile = store.current("sat_seller_profile").select(
         "seller_hk", "seller_zip_code_prefix", "seller_city", "seller_state"
     )
-    described = store.read("hub_seller").select("seller_hk", "seller_id").join(profile, "seller_hk", "left")
-    return with_place(described, store, "seller").select(
+    sellers = store.read("hub_seller").select("seller_hk", "seller_id")
+    described = with_place(sellers.join(profile, "seller_hk", "left"), store, "seller", columns)
+    return narrowed(
+        described, columns,
         "seller_hk", "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state", "seller_lat", "seller_lng"
     )
 
 
-def fact_order(store: VaultStore) -> DataFrame:
+def fact_order(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per order and account link; orders known from events only have no status."""
+    purchase, delivered = "order_purchase_timestamp", "order_delivered_customer_date"
     status = store.current("sat_order_status").select(
-        "order_hk", "order_status", "order_purchase_timestamp", "order_approved_at",
-        "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+        "order_hk", "order_status", purchase, "order_approved_at", "order_delivered_carrier_date", delivered,
+        "order_estimated_delivery_date",
+        F.to_date(purchase).alias("order_purchase_date"),
+        complete_days(purchase, delivered).alias("dias_ate_entrega"),
+        complete_days("order_estimated_delivery_date", delivered).alias("dias_de_atraso"),
     )
-    return (
+    placed = (
         store.read("hub_order").select("order_hk", "order_id")
         .join(store.read("link_order_customer").select("order_hk", "customer_account_hk"), "order_hk", "left")
-        .join(status, "order_hk", "left")
-        .select(
-            "order_hk", "order_id", "customer_account_hk", "order_status", "order_purchase_timestamp",
-            "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
-            "order_estimated_delivery_date",
-            F.to_date("order_purchase_timestamp").alias("order_purchase_date"),
-            complete_days("order_purchase_timestamp", "order_delivered_customer_date").alias("dias_ate_entrega"),
-            complete_days("order_estimated_delivery_date", "order_delivered_customer_date").alias("dias_de_atraso"),
-        )
+    )
+    return narrowed(
+        describe(placed, status, "order_hk", columns), columns,
+        "order_hk", "order_id", "customer_account_hk", "order_status", purchase, "order_approved_at",
+        "order_delivered_carrier_date", delivered, "order_estimated_delivery_date", "order_purchase_date",
+        "dias_ate_entrega", "dias_de_atraso",
     )
 
 
-def fact_order_item(store: VaultStore) -> DataFrame:
+def fact_order_item(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per order item; price and freight live here and not on the order."""
     pricing = store.current("sat_order_item_pricing").select(
-        "link_order_item_hk", "shipping_limit_date", "price", "freight_value"
+        "link_order_item_hk", "shipping_limit_date", "price", "freight_value",
+        (money("price") + money("freight_value")).cast("double").alias("valor_total_item"),
+    )
+    items = store.read("link_order_item").select(
+        "link_order_item_hk", "order_hk", "product_hk", "seller_hk", "order_item_id"
     )
-    return (
-        store.read("link_order_item")
-        .select("link_order_item_hk", "order_hk", "product_hk", "seller_hk", "order_item_id")
-        .join(pricing, "link_order_item_hk", "left")
-        .withColumn("valor_total_item", (money("price") + money("freight_value")).cast("double"))
+    return narrowed(
+        describe(items, pricing, "link_order_item_hk", columns), columns,
+        "link_order_item_hk", "order_hk", "product_hk", "seller_hk", "order_item_id",
+        "shipping_limit_date", "price", "freight_value", "valor_total_item",
     )
 
 
-def fact_order_payment(store: VaultStore) -> DataFrame:
+def fact_order_payment(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per payment of an order."""
     payment = store.current("sat_order_payment").select(
         "link_order_payment_hk", "payment_type", "payment_installments", "payment_value"
     )
-    return (
-        store.read("link_order_payment").select("link_order_payment_hk", "order_hk", "payment_sequential")
-        .join(payment, "link_order_payment_hk", "left")
+    payments = store.read("link_order_payment").select("link_order_payment_hk", "order_hk", "payment_sequential")
+    return narrowed(
+        describe(payments, payment, "link_order_payment_hk", columns), columns,
+        "link_order_payment_hk", "order_hk", "payment_sequential",
+        "payment_type", "payment_installments", "payment_value",
     )
 
 
-def fact_order_review(store: VaultStore) -> DataFrame:
+def fact_order_review(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per review and reviewed order."""
     review = store.current("sat_order_review").select(
         "review_hk", "review_score", "review_comment_title", "review_creation_date", "review_answer_timestamp",
         complete_days("review_creation_date", "review_answer_timestamp").alias("dias_ate_resposta"),
     )
-    return (
+    reviews = (
         store.read("hub_review").select("review_hk", "review_id")
         .join(store.read("link_order_review").select("review_hk", "order_hk"), "review_hk", "left")
-        .join(review, "review_hk", "left")
-        .select(
-            "review_hk", "review_id", "order_hk", "review_score", "review_comment_title",
-            "review_creation_date", "review_answer_timestamp", "dias_ate_resposta",
-        )
+    )
+    return narrowed(
+        describe(reviews, review, "review_hk", columns), columns,
+        "review_hk", "review_id", "order_hk", "review_score", "review_comment_title",
+        "review_creation_date", "review_answer_timestamp", "dias_ate_resposta",
     )
 
 
-def fact_order_event(store: VaultStore) -> DataFrame:
+def fact_order_event(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per event. Order columns show the order's newest snapshot, not the state at the event."""
     context = store.current("sat_event_context").select(
         "event_hk", "event_type", "event_timestamp", "raw_partition_date"
     )
     snapshot = store.current("sat_hot_order_snapshot").select(
-        "order_hk", "product_category_name", "items_count", "price", "freight_value"
+        "order_hk", "product_category_name", "items_count", "price", "freight_value",
+        (money("price") + money("freight_value")).cast("double").alias("valor_total_evento"),
     )
     payment = store.current("sat_hot_payment_snapshot").select(
         "link_event_order_hk", "payment_type", "payment_installments"
     )
-    return (
+    events = (
         store.read("hub_event").select("event_hk", "event_id")
-        .join(context, "event_hk", "left")
         .join(store.read("link_event_order").select("event_hk", "link_event_order_hk", "order_hk"), "event_hk", "left")
         .join(store.read("link_event_customer").select("event_hk", "customer_hk"), "event_hk", "left")
-        .join(snapshot, "order_hk", "left")
-        .join(payment, "link_event_order_hk", "left")
-        .select(
-            "event_hk", "event_id", "event_type", "event_timestamp", "raw_partition_date", "order_hk",
-            "customer_hk", "product_category_name", "items_count", "price", "freight_value",
-            (money("price") + money("freight_value")).cast("double").alias("valor_total_evento"),
-            "payment_type", "payment_installments",
-        )
+    )
+    events = describe(events, context, "event_hk", columns)
+    events = describe(events, snapshot, "order_hk", columns)
+    events = describe(events, payment, "link_event_order_hk", columns)
+    return narrowed(
+        events, columns,
+        "event_hk", "event_id", "event_type", "event_timestamp", "raw_partition_date", "order_hk",
+        "customer_hk", "product_category_name", "items_count", "price", "freight_value", "valor_total_evento",
+        "payment_type", "payment_installments",
     )
 
 
-def agg_order_event_hourly(store: VaultStore) -> DataFrame:
+def agg_order_event_hourly(store: VaultStore, columns: Columns = None) -> DataFrame:
     """Events per hour, type and category."""
-    return (
-        fact_order_event(store)
-        .where(F.col("event_timestamp").isNotNull())
+    events = fact_order_event(
+        store,
+        ("event_type", "event_timestamp", "order_hk", "customer_hk", "product_category_name", "valor_total_evento"),
+    )
+    hours = (
+        events.where(F.col("event_timestamp").isNotNull())
         .groupBy(F.date_trunc("hour", "event_timestamp").alias("hora"), "event_type", "product_category_name")
         .agg(
             F.count(F.lit(1)).alias("eventos"),
@@ -176,10 +214,11 @@ def agg_order_event_hourly(store: VaultStore) -> DataFrame:
             money_avg("valor_total_evento").alias("ticket_medio"),
         )
     )
+    return narrowed(hours, columns, *hours.columns)
 
 
 # In order of dependency.
-VIEWS: dict[str, Callable[[VaultStore], DataFrame]] = {
+VIEWS: dict[str, Callable[[VaultStore, Columns], DataFrame]] = {
     "dim_customer": dim_customer,
     "dim_product": dim_product,
     "dim_seller": dim_seller,
@@ -192,10 +231,15 @@ VIEWS: dict[str, Callable[[VaultStore], DataFrame]] = {
 }
 
 
+def reader(store: VaultStore) -> Callable[..., DataFrame]:
+    """``view(name, *columns)`` over a store, the way reports read."""
+    return lambda name, *columns: VIEWS[name](store, columns or None)
+
+
 def create_views(store: VaultStore, prefix: str = "") -> list[str]:
     """Create or replace every view as ``<prefix><name>``; the names created, in order."""
     created = []
     for name, view in VIEWS.items():
-        view(store).createOrReplaceTempView(f"{prefix}{name}")
+        view(store, None).createOrReplaceTempView(f"{prefix}{name}")
         created.append(f"{prefix}{name}")
     return created

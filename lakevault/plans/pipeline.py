@@ -14,18 +14,6 @@ from lakevault.operators.store import VaultStore
 from lakevault.session import run_folder
 
 
-# A handful of files gives a handful of tasks; so few are spread once before any digest is computed.
-FEW_FILES = 8
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Give rows that come from very few files enough partitions to work in parallel."""
-    files = len(rows.inputFiles())
-    if not 0 < files <= FEW_FILES:
-        return rows
-    return rows.repartition(min(rows.sparkSession.sparkContext.defaultParallelism, FEW_FILES * files))
-
-
 def staged(rows: DataFrame, dataset: str) -> DataFrame:
     """The batch with all its digests as a Parquet table in the shared folder.
 
@@ -33,7 +21,7 @@ def staged(rows: DataFrame, dataset: str) -> DataFrame:
     reads just its columns, and a lost executor only re-reads files.
     """
     folder = f"{run_folder(rows.sparkSession, 'stage')}/{dataset}"
-    ready = hashed(spread(rows), MODEL[dataset])
+    ready = hashed(rows, MODEL[dataset])
     ready.write.parquet(folder)
     return rows.sparkSession.read.schema(ready.schema).parquet(folder)
 

@@ -46,6 +46,15 @@ def new_store(spark: SparkSession, label: str, buckets: int | None = None) -> Va
     return store
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores of a single machine although each test table is one small file.
+
+    On a cluster the tables come in many files and splits, and rows stay where they are.
+    """
+    context = rows.sparkSession.sparkContext
+    return rows.repartition(context.defaultParallelism, rows.columns[0]) if context.master.startswith("local") else rows
+
+
 def flat(spark: SparkSession, folder: str) -> DataFrame:
     """The test events as flat rows, as if landed in one file."""
     landed = benchtables.events(spark, folder).withColumns(
@@ -59,10 +68,10 @@ def load(store: VaultStore, folder: str, dataset: str, rows: DataFrame | None =
     spark = store.spark
     if dataset == "events":
         given = flat(spark, folder) if rows is None else rows
-        return load_table(store, dataset, given, f"{RECORD_SOURCE['events']}.events", LOADED_AT)
+        return load_table(store, dataset, spread(given), f"{RECORD_SOURCE['events']}.events", LOADED_AT)
     given = benchtables.versioned(spark, folder, dataset) if rows is None else rows
     source = f"{RECORD_SOURCE['batch']}.{dataset}"
-    return load_table(store, dataset, given, source, LOADED_AT)
+    return load_table(store, dataset, spread(given), source, LOADED_AT)
 
 
 def vault(spark: SparkSession, folder: str, *datasets: str) -> VaultStore:
@@ -127,14 +136,14 @@ def table_query(name: str, datasets: tuple[str, ...]) -> Query:
 
 
 def view_query(name: str) -> Query:
-    return lambda spark, folder: gold.VIEWS[name](vault(spark, folder, *VIEW_SOURCES[name]))
+    return lambda spark, folder: gold.VIEWS[name](vault(spark, folder, *VIEW_SOURCES[name]), None)
 
 
 def report_query(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         needed = dict.fromkeys(d for view in REPORT_VIEWS[name] for d in VIEW_SOURCES[view])
         store = vault(spark, folder, *needed)
-        return reports.run_report(name, lambda view: gold.VIEWS[view](store))
+        return reports.run_report(name, gold.reader(store))
 
     return query
 

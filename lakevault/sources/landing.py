@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakevault.operators.merge import fits_broadcast, missing_rows
 from lakevault.operators.model import first_row
 from lakevault.sources.schemas import EVENTS, SOURCES
 
@@ -51,17 +52,19 @@ def land_messages(batch: DataFrame, root: str, batch_id: int, run_date: dt.date)
 
     A message id already landed by an earlier micro-batch is left out, wherever its date folder is.
     Both outputs live in folders named after the micro-batch and are overwritten, so a repeated
-    micro-batch replaces its own output.
+    micro-batch replaces its own output. The list of landed ids is scanned, not shuffled, as long as
+    the micro-batch is small enough to be broadcast.
     """
     spark = batch.sparkSession
     ledger = f"{root.rstrip('/')}/landed_message_ids"
-    unique = first_row(batch.select("message_id", "body"), ["message_id"])
-    fresh = unique
+    messages = batch.select("message_id", "body")
     if batch_id > 0:
-        seen = spark.read.schema("message_id string, batch bigint").parquet(ledger)
-        fresh = unique.join(seen.where(F.col("batch") < batch_id), "message_id", "left_anti")
+        seen = spark.read.schema("message_id string, batch bigint").parquet(ledger).where(F.col("batch") < batch_id)
+        fresh = missing_rows(messages, seen, ["message_id"], fits_broadcast(batch.count()))
+    else:
+        fresh = first_row(messages, ["message_id"])
     target = f"{day_folder(root, EVENTS, run_date)}/batch-{batch_id:010d}"
     # A line break can only stand between JSON tokens, never inside a JSON text.
     line = F.regexp_replace("body", r"[\r\n]+", " ")
     fresh.select(line.alias("value")).write.mode("overwrite").text(target)
-    unique.select("message_id").write.mode("overwrite").parquet(f"{ledger}/batch={batch_id}")
+    messages.select("message_id").distinct().write.mode("overwrite").parquet(f"{ledger}/batch={batch_id}")
