@@ -43,8 +43,19 @@ DATASETS = {
                concat('P', l_partkey) as product_id, concat('S', l_suppkey) as seller_id,
                cast(l_shipdate as timestamp) as shipping_limit_date, l_extendedprice as price,
                cast(cast(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2)) as decimal(18,2)) as double)
-                   as freight_value
+                   as freight_value,
+               cast(l_shipdate as timestamp) as seq_at,
+               lpad(cast(cast(l_extendedprice as decimal(18,2)) as varchar), 12, '0') as seq_tie
         from lineitem""",
+    # The newest version of each item.
+    "sold": """
+        select * from (
+            select *, row_number() over (
+                partition by order_id, order_item_id, product_id, seller_id
+                order by seq_at desc, seq_tie desc,
+                         sha256(concat_ws('||', cast(shipping_limit_date as varchar), cast(price as varchar),
+                                          cast(freight_value as varchar))) desc) as place
+            from items) where place = 1""",
     "payments": """
         select concat('O', l_orderkey) as order_id, cast(l_linenumber as integer) as payment_sequential,
                l_returnflag as payment_type, cast(1 + cast(l_quantity as integer) % 2 as integer) as payment_installments,
@@ -87,7 +98,7 @@ DATASETS = {
                cast(1 + k % 10 as integer) as payment_installments, k, user_id
         from keyed_events""",
 }
-NEEDS = {"happenings": ("keyed_events",)}
+NEEDS = {"happenings": ("keyed_events",), "sold": ("items",)}
 
 
 def sha(*columns: str) -> str:
@@ -162,6 +173,7 @@ STATUS = [
     "order_delivered_customer_date", "order_estimated_delivery_date",
 ]
 ITEM = ["order_id", "order_item_id", "product_id", "seller_id"]
+PRICING = ["shipping_limit_date", "price", "freight_value"]
 PAYMENT = ["payment_type", "payment_installments", "payment_value"]
 REVIEW = [
     "order_id", "review_score", "review_comment_title", "review_comment_message", "review_creation_date",
@@ -198,7 +210,7 @@ EVENT_FACT = f"""
 ALL_ORDERS = "select order_id from purchases union select order_id from happenings"
 ITEM_VALUE = """
     select order_id, cast(sum(cast(price as decimal(18,2)) + cast(freight_value as decimal(18,2))) as decimal(18,2)) as valor
-    from items group by order_id"""
+    from sold group by order_id"""
 HISTORY_COUNT = """
     select count(*) from (select {key} as key, {diff} as hashdiff,
         lag({diff}) over (partition by {key} order by {order}) as before from {dataset}) where before is distinct from hashdiff"""
@@ -209,6 +221,9 @@ def history_count(dataset: str, key: list[str], payload: list[str], order: str)
     return HISTORY_COUNT.format(key=sha(*key), diff=diff, order=f"{order}, {diff}", dataset=dataset)
 
 
+DISTINCT_ITEMS = "select count(distinct (order_id, order_item_id, product_id, seller_id)) from {}"
+
+
 def count_rows(pairs: dict[str, str], label: str = "table_name", value: str = "row_count") -> str:
     return " union all ".join(f"select '{n}' as {label}, cast(({sql}) as bigint) as {value}" for n, sql in pairs.items())
 
@@ -321,9 +336,7 @@ ORACLE: dict[str, str] = {
     "sat_seller_profile": plain_satellite("sellers", "seller_hk", ["seller_id"], SELLER, batch("sellers")),
     "sat_product_details": plain_satellite("products", "product_hk", ["product_id"], DETAILS, batch("products")),
     "sat_order_status": plain_satellite("purchases", "order_hk", ["order_id"], STATUS, batch("orders")),
-    "sat_order_item_pricing": plain_satellite(
-        "items", "link_order_item_hk", ITEM, ["shipping_limit_date", "price", "freight_value"], batch("order_items")
-    ),
+    "sat_order_item_pricing": history("items", "link_order_item_hk", ITEM, PRICING, batch("order_items")),
     "sat_order_payment_history": history(
         "payments", "link_order_payment_hk", ["order_id", "payment_sequential"], PAYMENT, batch("order_payments")
     ),
@@ -374,15 +387,16 @@ ORACLE: dict[str, str] = {
     ),
     "insert_only_second_batch": query(
         " union all ".join(
-            f"select {number} as batch, '{table}' as table_name, (select count(*) from items where {staged}) as staged_rows, "
-            f"(select count(*) from items where {new}) as appended_rows"
-            for table in ("link_order_item", "sat_order_item_pricing")
-            for number, staged, new in (
-                (1, "shipping_limit_date < timestamp '2000-01-01'", "shipping_limit_date < timestamp '2000-01-01'"),
-                (2, "true", "shipping_limit_date >= timestamp '2000-01-01'"),
+            f"select 1 as batch, '{table}' as table_name, (select count(*) from early) as staged_rows, "
+            f"({early}) as appended_rows union all "
+            f"select 2, '{table}', (select count(*) from items), ({everything}) - ({early})"
+            for table, early, everything in (
+                ("link_order_item", DISTINCT_ITEMS.format("early"), DISTINCT_ITEMS.format("items")),
+                ("sat_order_item_pricing", history_count("early", ITEM, PRICING, "seq_at, seq_tie"),
+                 history_count("items", ITEM, PRICING, "seq_at, seq_tie")),
             )
         ),
-        "items",
+        "items", early="select * from items where shipping_limit_date < timestamp '2000-01-01'",
     ),
     "upsert_reference": query(
         f"select *, '{batch('geolocation')}' as record_source from second union all "
@@ -432,8 +446,8 @@ ORACLE: dict[str, str] = {
     "fact_order_item": query(
         f"select {sha(*ITEM)} as link_order_item_hk, {sha('order_id')} as order_hk, {sha('product_id')} as product_hk, "
         f"{sha('seller_id')} as seller_hk, order_item_id, shipping_limit_date, price, freight_value, "
-        "cast(cast(price as decimal(18,2)) + cast(freight_value as decimal(18,2)) as double) as valor_total_item from items",
-        "items",
+        "cast(cast(price as decimal(18,2)) + cast(freight_value as decimal(18,2)) as double) as valor_total_item from sold",
+        "sold",
     ),
     "fact_order_payment": query(
         f"select {sha('order_id', 'payment_sequential')} as link_order_payment_hk, {sha('order_id')} as order_hk, "
@@ -461,30 +475,30 @@ ORACLE: dict[str, str] = {
             {
                 "dim_customer": "select count(*) from customers", "dim_product": "select count(*) from products",
                 "dim_seller": "select count(*) from sellers", "fact_order": "select count(*) from all_orders",
-                "fact_order_item": "select count(*) from items",
+                "fact_order_item": "select count(*) from sold",
                 "fact_order_payment": "select count(distinct order_id || '/' || payment_sequential) from payments",
                 "fact_order_review": "select count(*) from reviews", "fact_order_event": "select count(*) from happenings",
                 "agg_order_event_hourly": "select count(distinct (date_trunc('hour', event_timestamp), event_type, "
                 "product_category_name)) from fact",
             }, label="view_name"),
-        *COUNTED.values(), "happenings", all_orders=ALL_ORDERS, latest=LATEST_SNAPSHOT, fact=EVENT_FACT,
+        *COUNTED.values(), "sold", "happenings", all_orders=ALL_ORDERS, latest=LATEST_SNAPSHOT, fact=EVENT_FACT,
     ),
     "receita_por_categoria": query(
         "select coalesce(product_category_name_english, p.product_category_name) as categoria, "
         "count(distinct order_id) as pedidos, count(*) as itens, cast(sum(cast(price as decimal(18,2))) as double) as receita, "
         "cast(sum(cast(freight_value as decimal(18,2))) as double) as frete, "
         "cast(sum(cast(price as decimal(18,2))) as double) / count(price) as preco_medio_item "
-        "from items join products as p using (product_id) "
+        "from sold join products as p using (product_id) "
         "left join translation as t on t.product_category_name = p.product_category_name "
         "group by 1 order by receita desc, categoria limit 20",
-        "items", "products", "translation",
+        "sold", "products", "translation",
     ),
     "ticket_medio_por_estado": query(
         "select customer_state as estado, count(*) as pedidos, cast(sum(valor) as double) as receita, "
         "cast(sum(valor) as double) / count(valor) as ticket_medio, cast(quantile_disc(valor, 0.5) as double) as ticket_mediano "
         "from purchases join order_value using (order_id) join customers using (customer_id) "
         "where customer_state is not null group by 1",
-        "purchases", "items", "customers", order_value=ITEM_VALUE,
+        "purchases", "sold", "customers", order_value=ITEM_VALUE,
     ),
     "prazo_de_entrega_por_estado": query(
         "select customer_state as estado, count(*) as pedidos_entregues, "
@@ -510,7 +524,7 @@ ORACLE: dict[str, str] = {
         "purchases",
     ),
     "raw_lines_roundtrip": query(
-        f"select *, '2024' as raw_year, '02' as raw_month, '01' as raw_day, date '2024-02-01' as raw_partition_date, "
+        f"select {', '.join(ITEM)}, {', '.join(PRICING)}, '2024' as raw_year, '02' as raw_month, '01' as raw_day, date '2024-02-01' as raw_partition_date, "
         f"'{batch('order_items')}' as record_source from items",
         "items",
     ),
@@ -608,8 +622,10 @@ ORACLE: dict[str, str] = {
         "from (select count(*) as n from sellers) "
         "union all select 'sellers', 'sat_seller_profile', n, n, 'ok' from (select count(*) as n from sellers) "
         "union all select 'products', null, 0, 0, 'failed' "
-        "union all select 'order_items', 'link_order_item', n, n, 'ok' from (select count(*) as n from items) "
-        "union all select 'order_items', 'sat_order_item_pricing', n, n, 'ok' from (select count(*) as n from items)",
+        "union all select 'order_items', 'link_order_item', n, "
+        f"({DISTINCT_ITEMS.format('items')}), 'ok' from (select count(*) as n from items) "
+        "union all select 'order_items', 'sat_order_item_pricing', n, "
+        f"({history_count('items', ITEM, PRICING, 'seq_at, seq_tie')}), 'ok' from (select count(*) as n from items)",
         "sellers", "items",
     ),
 }

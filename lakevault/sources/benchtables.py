@@ -118,6 +118,10 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
         freight.cast("double").alias("freight_value"),
+        F.struct(
+            F.col("l_shipdate").cast("timestamp").alias("at"),
+            F.lpad(F.col("l_extendedprice").cast(MONEY).cast("string"), 12, "0").alias("tie"),
+        ).alias("seq"),
     )
 
 
