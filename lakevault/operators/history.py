@@ -28,6 +28,11 @@ def moment() -> Column:
     return F.coalesce(F.unix_micros("seq.at"), F.lit(-(2**63)))
 
 
+def first_moments(incoming: DataFrame, key: str) -> DataFrame:
+    """(key, floor): the earliest incoming moment of each key."""
+    return incoming.groupBy(key).agg(F.min(moment()).alias("floor"))
+
+
 def neighbours(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """The stored versions that can decide about a small batch: (key, seq, hashdiff).
 
@@ -35,9 +40,8 @@ def neighbours(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     after it. A batch in order therefore fetches one stored row per key, however long the history,
     and the aggregate picks it on the map side.
     """
-    floor = F.broadcast(incoming.groupBy(key).agg(F.min(moment()).alias("floor")))
     version = F.struct(*VERSION_ORDER)
-    near = stored.select(key, *VERSION_ORDER).join(floor, key)
+    near = stored.select(key, *VERSION_ORDER).join(F.broadcast(first_moments(incoming, key)), key)
     return (
         near.groupBy(key, F.when(moment() >= F.col("floor"), version).alias("later"))
         .agg(F.max(version).alias("version"))
@@ -45,6 +49,13 @@ def neighbours(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     )
 
 
+def seen_later(remembered: DataFrame, incoming: DataFrame, key: str, small_batch: bool) -> DataFrame:
+    """Remembered rows of the incoming keys that lie at or after their first incoming row."""
+    floor = first_moments(incoming, key)
+    floor = F.broadcast(floor) if small_batch else floor
+    return remembered.join(floor, key).where(moment() >= F.col("floor")).drop("floor")
+
+
 def new_versions(
     incoming: DataFrame,
     stored: DataFrame | None,

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.operators.history import new_versions
+from lakevault.operators.history import VERSION_ORDER, new_versions, seen_later
 from lakevault.operators.model import first_row
 from lakevault.operators.specs import VaultTable
 from lakevault.operators.store import VaultStore
@@ -51,13 +51,37 @@ def insert_missing(store: VaultStore, table: VaultTable, rows: DataFrame, batch_
 
 
 def append_versions(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int) -> int:
-    """Satellites: versions that differ from the one before them."""
-    stored, most_rows = None, batch_rows
+    """Satellites: versions that differ from the one before them.
+
+    Where rows may come late, unchanged rows remembered from earlier batches are offered again: a
+    late row between a version and its confirmation turns the confirmation into a change back.
+    """
+    small, key = fits_broadcast(batch_rows), table.key[0]
+    stored, offered, most_rows = None, rows, batch_rows
     if not store.is_empty(table.name):
-        stored = store.read(table.name)
+        stored = store.rows(table.name)
         most_rows += stored.count()
-    fresh = new_versions(rows, stored, table.key[0], fits_broadcast(batch_rows), most_rows=most_rows)
-    return store.append(table, fresh)
+        if table.late:
+            remembered = store.rows(store.ensure_memory(table).name)
+            most_rows += remembered.count()
+            offered = rows.unionByName(seen_later(remembered, rows, key, small))
+    appended = store.append(table, new_versions(offered, stored, key, small, most_rows=most_rows))
+    if table.late:
+        remember(store, table, rows, small)
+    return appended
+
+
+def remember(store: VaultStore, table: VaultTable, rows: DataFrame, small: bool) -> None:
+    """Keep the newest row per key of a batch if it was unchanged and therefore not stored as a version.
+
+    The satellite alone would forget that its current version was still valid at that moment, and a
+    late row could wrongly become the current one.
+    """
+    memory = store.ensure_memory(table)
+    key = [table.key[0], *VERSION_ORDER]
+    newest = first_row(rows, table.key, [F.desc(name) for name in VERSION_ORDER])
+    known = store.rows(table.name).select(*key).unionByName(store.rows(memory.name).select(*key))
+    store.append(memory, missing_rows(newest, known, key, small))
 
 
 def upsert(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int) -> int:

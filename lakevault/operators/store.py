@@ -5,6 +5,8 @@ are appends as well: a reference keeps its superseded rows and ``read`` returns
 """
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -45,6 +47,12 @@ class VaultStore:
             f"{bucketing} LOCATION '{self.root}/{table.name}'"
         )
 
+    def ensure_memory(self, table: VaultTable) -> VaultTable:
+        """The companion table of a satellite that takes late rows: same columns, see ``merge.remember``."""
+        memory = replace(table, name=f"{table.name}_seen", late=False)
+        self.ensure_table(memory, self.spark.table(self.qualified(table.name)).schema)
+        return memory
+
     def ensure_all(self) -> None:
         """Register every table of the model, so that views resolve before the first load."""
         self.ensure_database()

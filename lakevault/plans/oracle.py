@@ -415,6 +415,18 @@ ORACLE: dict[str, str] = {
     "late_events": history(
         "happenings", "order_hk", ["order_id"], SNAPSHOT, EVENTS, EVENT_SEQ, keep=["order_hk", "hashdiff", "seq_at"]
     ),
+    "late_events_current": query(
+        f"select {sha('o.customer_unique_id')} as customer_hk, {sha('s.order_id')} as order_hk, "
+        f"s.product_category_name, s.product_name, s.items_count, s.price, s.freight_value, s.hashdiff, p.hashdiff as profile_hashdiff "
+        "from (select distinct order_id, customer_unique_id from happenings) as o "
+        "join latest as s on s.order_id = o.order_id and s.place = 1 "
+        "join people as p on p.customer_unique_id = o.customer_unique_id and p.place = 1",
+        "happenings",
+        latest=f"select *, {sha(*SNAPSHOT)} as hashdiff, row_number() over (partition by order_id "
+        "order by event_timestamp desc, event_id desc) as place from happenings",
+        people=f"select customer_unique_id, {sha(*HOT_PROFILE)} as hashdiff, row_number() over (partition by customer_unique_id "
+        "order by event_timestamp desc, event_id desc) as place from happenings",
+    ),
     "dim_customer": query(
         f"select {sha('customer_id')} as customer_account_hk, customer_id, {sha('customer_unique_id')} as customer_hk, "
         "customer_unique_id, customer_zip_code_prefix, customer_city, customer_state, geolocation_lat as customer_lat, "

@@ -243,6 +243,20 @@ def late_events(spark: SparkSession, folder: str) -> DataFrame:
     return history
 
 
+def late_events_current(spark: SparkSession, folder: str) -> DataFrame:
+    """The same late half without a replay: the current snapshots are right all the same."""
+    configure(spark)
+    store = new_store(spark, "late-current")
+    rows = flat(spark, folder)
+    on_time = F.col("event_type").isin("order_created", "order_invoiced", "order_delivered")
+    for batch in (rows.where(on_time), rows.where(~on_time)):
+        load(store, folder, "events", batch)
+    snapshots = store.current("sat_hot_order_snapshot").drop("load_dts", "record_source", "seq")
+    profiles = store.current("sat_hot_customer_profile").select("customer_hk", F.col("hashdiff").alias("profile_hashdiff"))
+    owners = store.read("link_event_customer").join(store.read("link_event_order").select("event_hk", "order_hk"), "event_hk")
+    return snapshots.join(owners.select("order_hk", "customer_hk").distinct(), "order_hk").join(profiles, "customer_hk")
+
+
 def raw_lines_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Items landed as JSON lines and read back."""
     configure(spark)
@@ -572,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "upsert_reference": upsert_reference,
     "dedup_deterministic": dedup_deterministic,
     "late_events": late_events,
+    "late_events_current": late_events_current,
     **{name: view_query(name) for name in gold.VIEWS},
     "views_as_tables": views_as_tables,
     **{name: report_query(name) for name in reports.REPORTS},

@@ -1,12 +1,15 @@
 import dataclasses
 import datetime as dt
+import hashlib
+from random import Random
 
 import pytest
 from helpers import LOADED, dataset, plan
+from pyspark.sql import functions as F
 
 from lakevault.operators import merge
 from lakevault.operators.merge import fits_broadcast, missing_rows, write
-from lakevault.operators.model import vault_rows
+from lakevault.operators.model import stamped, vault_rows
 from lakevault.operators.specs import HUBS, TABLES
 from lakevault.operators.store import VaultStore
 from lakevault.plans.pipeline import load_dataset
@@ -35,6 +38,47 @@ def test_hubs_keep_the_first_row_of_a_key(spark, store, batch_rows):
     assert sorted(r["customer_id"] for r in store.read(hub.name).collect()) == ["c1", "c2"]
 
 
+SNAPSHOT = TABLES["sat_hot_customer_profile"]
+
+
+def profiles(spark, *rows):
+    """Event-like rows (customer, day, city)."""
+    frame = spark.createDataFrame(rows, "customer_unique_id string, d int, customer_city string")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("d") * 86400)
+    return stamped(
+        frame.select(
+            "customer_unique_id", "customer_city",
+            *(F.lit(None).cast("string").alias(c) for c in ("customer_name", "customer_state", "customer_zip_code_prefix")),
+            F.struct(at.alias("at"), F.lit("").alias("tie")).alias("seq"),
+        ),
+        "raw.hot.events", LOADED,
+    )
+
+
+@pytest.mark.parametrize("batch_rows", [None, 10**9])
+def test_a_late_row_does_not_become_current(spark, store, batch_rows):
+    def current():
+        return {r["customer_hk"][:4]: r["customer_city"] for r in store.current(SNAPSHOT.name).collect()}
+
+    put(store, SNAPSHOT, profiles(spark, ("u1", 1, "a"), ("u1", 5, "A "), ("u2", 1, "x")), batch_rows)
+    assert store.read(SNAPSHOT.name).count() == 2
+    assert put(store, SNAPSHOT, profiles(spark, ("u1", 3, "b")), batch_rows) == 2
+    assert sorted(current().values()) == ["A ", "x"]
+    history = [r["customer_city"] for r in store.read(SNAPSHOT.name).orderBy("seq").collect() if r["customer_city"] != "x"]
+    assert history == ["a", "b", "A "]
+    assert put(store, SNAPSHOT, profiles(spark, ("u1", 3, "b"), ("u1", 1, "a"), ("u1", 5, "A ")), batch_rows) == 0
+
+
+def test_batches_in_any_order_agree_on_the_current_row(spark, store):
+    random = Random(7)
+    rows = [(f"u{i % 3}", day, random.choice("ab")) for i, day in enumerate(random.sample(range(60), 36))]
+    for start in range(0, 36, 9):
+        put(store, SNAPSHOT, profiles(spark, *rows[start:start + 9]))
+    newest = {key: max((d, c) for k, d, c in rows if k == key)[1] for key in ("u0", "u1", "u2")}
+    known = {r["customer_hk"]: r["customer_city"] for r in store.current(SNAPSHOT.name).collect()}
+    assert known == {hashlib.sha256(k.upper().encode()).hexdigest(): c for k, c in newest.items()}
+
+
 @pytest.mark.parametrize("batch_rows", [None, 10**9])
 def test_satellites_take_changes_only(spark, store, batch_rows):
     states = ["SP", "RJ", "RJ", "sp ", "SP"]
