@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,19 +13,25 @@ from lakevault.operators.merge import Written, write
 from lakevault.operators.model import hashed, stamped, vault_rows
 from lakevault.operators.specs import MODEL
 from lakevault.operators.store import VaultStore
-from lakevault.session import run_folder
+from lakevault.session import shared_folder
 
 
-def staged(rows: DataFrame, dataset: str) -> DataFrame:
-    """The batch with all its digests as a Parquet table in the shared folder.
+@contextmanager
+def staged(store: VaultStore, rows: DataFrame, dataset: str) -> Iterator[DataFrame]:
+    """The batch with all its digests as a Parquet table in the shared folder, dropped afterwards.
 
     A dataset feeds several vault tables. Parsing, joining and hashing happen once; each table then
     reads just its columns, and a lost executor only re-reads files.
     """
-    folder = f"{run_folder(rows.sparkSession, 'stage')}/{dataset}"
-    ready = hashed(rows, MODEL[dataset])
-    ready.write.parquet(folder)
-    return rows.sparkSession.read.schema(ready.schema).parquet(folder)
+    spark, database = rows.sparkSession, f"{store.database}_stage"
+    folder = f"{shared_folder(spark)}/lakevault/{database}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    name = f"{database}.{dataset}_{uuid.uuid4().hex[:12]}"
+    try:
+        hashed(rows, MODEL[dataset]).write.format("parquet").saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def load_dataset(store: VaultStore, dataset: str, rows: DataFrame) -> list[Written]:
@@ -34,10 +42,9 @@ def load_dataset(store: VaultStore, dataset: str, rows: DataFrame) -> list[Writt
     """
     if dataset not in MODEL:
         raise ValueError(f"unknown dataset {dataset!r}; known: {list(MODEL)}")
-    batch = staged(rows, dataset)
-    batch_rows = batch.count()
     tables = MODEL[dataset]
-    with ThreadPoolExecutor(len(tables)) as pool:
+    with staged(store, rows, dataset) as batch, ThreadPoolExecutor(len(tables)) as pool:
+        batch_rows = batch.count()
         return list(pool.map(lambda table: write(store, table, vault_rows(batch, table), batch_rows), tables))
 
 

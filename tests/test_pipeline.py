@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from helpers import dataset
 
@@ -29,6 +31,13 @@ def test_a_good_run_raises_nothing(spark, store):
     raise_if_failed(run_all(store, {"sellers": lambda: sellers(spark)}))
 
 
+def test_nothing_staged_is_left_behind(spark, store):
+    load_dataset(store, "sellers", sellers(spark))
+    assert spark.catalog.listTables(f"{store.database}_stage") == []
+    staging = spark.sql(f"DESCRIBE DATABASE {store.database}_stage").where("info_name = 'Location'").first()[1]
+    assert list(Path(staging.removeprefix("file:")).glob("*")) == []
+
+
 def test_an_empty_source_still_makes_its_tables(spark, store):
     done = load_dataset(store, "sellers", sellers(spark).limit(0))
     assert [(w.table, w.staged_rows) for w in done] == [("hub_seller", 0), ("sat_seller_profile", 0)]
