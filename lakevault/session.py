@@ -39,6 +39,10 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+# Folders of local sessions whose cluster settings name none, by application.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -48,11 +52,12 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="lakevault-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="lakevault-")
+    return _local_folders[application]
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

@@ -4,8 +4,8 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as driver
-
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+from lakevault.plans.oracle import ORACLE as SQL
+from lakevault.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert SQL.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
