@@ -5,19 +5,40 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakevault.llm import sentencepiece, tokenfile
+from lakevault.llm.common import stage
 from lakevault.llm.tokencount import token_counts
+from lakevault.session import run_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Identifiers of every text and the text decoded from them."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentencepiece.encode(_table(spark, folder, "documents"), model)
+    return sentencepiece.decode(encoded, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
+
+
+def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest of what a token folder, written from all texts, holds when it is read back."""
+    encoded = stage(tokenfile.tokenize(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")), "tokens")
+    path = run_folder(spark, "llm-token-file")
+    tokenfile.write_tokens(encoded, path)
+    return tokenfile.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op7_token_file": op7_token_file,
     "op9_token_counts": op9_token_counts,
 }
 
