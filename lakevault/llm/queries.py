@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakevault.llm import sentencepiece, tokenfile
 from lakevault.llm.common import stage
+from lakevault.llm.sharding import shard
 from lakevault.llm.tokencount import token_counts
 from lakevault.session import run_folder
 
@@ -24,6 +25,18 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.decode(encoded, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 shards of near-equal bytes; equal texts sort next to each other."""
+    text = F.coalesce("text", F.lit(""))
+    rows = _table(spark, folder, "documents").select(
+        "doc_id", F.octet_length(text).cast("long").alias("bytes"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash")
+    )
+    placed = shard(rows, F.col("bytes") + 16, [F.col("text_hash"), F.col("doc_id")])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of what a token folder, written from all texts, holds when it is read back."""
     encoded = stage(tokenfile.tokenize(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")), "tokens")
@@ -38,6 +51,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op6_sharding": op6_sharding,
     "op7_token_file": op7_token_file,
     "op9_token_counts": op9_token_counts,
 }
