@@ -4,10 +4,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import sentencepiece, tokenfile
+from lakevault.llm import langid, sentencepiece, tokenfile
 from lakevault.llm.common import stage
 from lakevault.llm.sharding import shard
 from lakevault.llm.tokencount import token_counts
@@ -25,6 +25,19 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.decode(encoded, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 
+def _remainder(divisor: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every text, learned from the rows that are not held out."""
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
+    docs = _table(spark, folder, "documents")
+    model = langid.train(docs.where(_remainder(4) != 2))
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return langid.label_languages(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes; equal texts sort next to each other."""
     text = F.coalesce("text", F.lit(""))
@@ -51,6 +64,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_language_id": op2_language_id,
     "op6_sharding": op6_sharding,
     "op7_token_file": op7_token_file,
     "op9_token_counts": op9_token_counts,
