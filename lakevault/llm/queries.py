@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import langid, sentencepiece, tokenfile
+from lakevault.llm import langid, quality, sentencepiece, tokenfile
 from lakevault.llm.common import stage
 from lakevault.llm.sharding import shard
 from lakevault.llm.tokencount import token_counts
@@ -38,6 +38,16 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.label_languages(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every text, learned from the labelled rows that are not held out."""
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(_remainder(3) != 1).select("doc_id", "quality")
+    model = quality.train(docs.join(labels, "doc_id"))
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return quality.score_quality(rows, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes; equal texts sort next to each other."""
     text = F.coalesce("text", F.lit(""))
@@ -65,6 +75,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
+    "op4_quality": op4_quality,
     "op6_sharding": op6_sharding,
     "op7_token_file": op7_token_file,
     "op9_token_counts": op9_token_counts,
