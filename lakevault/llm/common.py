@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from lakevault.session import run_folder
 
 # A slice of a batch holds about so many text bytes (or one text), which bounds a task's memory.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # A worker's table of distinct words is started anew when it holds so many words or characters.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 16 << 20
 
 
@@ -69,18 +69,18 @@ class Codes(dict):
 class WordTable:
     """Value lists of distinct words, each computed once; words repeat, so texts become lookups.
 
-    ``compute`` gets the new words and returns a list of integer sequences. A table that has outgrown its
-    bounds is started anew and the full one kept for reference, so frequent words are not computed again;
-    results never depend on what is remembered.
+    ``compute`` gets the new words and returns all their values in a row and how many each has. A table that
+    has outgrown its bounds is started anew and the full one kept for reference, so frequent words are not
+    computed again; results never depend on what is remembered.
     """
 
-    def __init__(self, compute: Callable[[list], list], dtype=np.int32, words: int = CACHE_WORDS, chars: int = CACHE_CHARS):
+    def __init__(self, compute: Callable, dtype=np.int32, words: int = CACHE_WORDS, chars: int = CACHE_CHARS):
         self.compute, self.dtype, self.words, self.chars = compute, dtype, words, chars
         self.codes = Codes()
         self.reset()
 
     def reset(self) -> None:
-        self.older = (self.codes, self.flat, self.starts, self.lengths) if self.codes else ({},)
+        self.older = (self.codes, self.flat, self.starts, self.lengths) if self.codes else ({}, *[np.empty(0, np.int64)] * 3)
         self.codes = Codes()
         self.flat = np.empty(0, self.dtype)
         self.starts = np.empty(0, np.int64)
@@ -94,27 +94,21 @@ class WordTable:
         parts = [np.fromiter(map(look, split(text)), np.int32) for text in texts]
         if self.codes.fresh:
             self.learn()
-        ends = np.cumsum([len(part) for part in parts], dtype=np.int64)
-        return np.concatenate(parts) if parts else np.empty(0, np.int32), ends
+        return np.concatenate(parts) if parts else np.empty(0, np.int32), np.cumsum([len(part) for part in parts], dtype=np.int64)
 
     def learn(self) -> None:
         fresh, self.codes.fresh = self.codes.fresh, []
         seen, *values = self.older
-        rows = [None] * len(fresh)
-        unknown = []
-        for at, word in enumerate(fresh):
-            code = seen.get(word)
-            if code is None:
-                unknown.append(at)
-            else:
-                flat, starts, lengths = values
-                rows[at] = flat[starts[code] : starts[code] + lengths[code]].tolist()
-        for at, row in zip(unknown, self.compute([fresh[at] for at in unknown])):
-            rows[at] = row
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        starts = len(self.flat) + np.cumsum(lengths) - lengths
-        more = np.fromiter((value for row in rows for value in row), self.dtype, int(lengths.sum()))
-        self.flat = np.concatenate([self.flat, more])
+        before = np.fromiter((seen.get(word, -1) for word in fresh), np.int64, len(fresh))
+        known, unknown = np.flatnonzero(before >= 0), np.flatnonzero(before < 0)
+        old, old_lengths = ragged(*values, before[known])
+        new, new_lengths = self.compute([fresh[at] for at in unknown]) if len(unknown) else (old[:0], old_lengths[:0])
+        lengths = np.empty(len(fresh), np.int64)
+        starts = np.empty(len(fresh), np.int64)
+        for at, own, first in ((known, old_lengths, len(self.flat)), (unknown, np.asarray(new_lengths, np.int64), len(self.flat) + len(old))):
+            lengths[at] = own
+            starts[at] = first + np.cumsum(own) - own
+        self.flat = np.concatenate([self.flat, old, new]).astype(self.dtype, copy=False)
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
 
@@ -123,6 +117,11 @@ class WordTable:
         return ragged(self.flat, self.starts, self.lengths, codes)
 
 
+def rows_of(rows: list, dtype=np.int32) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all rows one after the other, and the rows' lengths."""
+    return np.array([value for row in rows for value in row], dtype), np.fromiter(map(len, rows), np.int64, len(rows))
+
+
 def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenate chosen rows of a ragged table; also their lengths."""
     counts = lengths[rows]

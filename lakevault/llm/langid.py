@@ -49,7 +49,7 @@ class LanguageModel:
     moves: np.ndarray
     first: np.ndarray
 
-    def scores(self, words: list[str]) -> list[np.ndarray]:
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores of every language for each word, then its number of letters."""
         get, flat, ends = self.rows.get, [], []
         for word in words:
@@ -60,7 +60,7 @@ class LanguageModel:
         ends = np.array(ends, np.int64)
         scores = total[ends] - total[np.concatenate([[0], ends[:-1]])]
         letters = [[sum(map(str.isalpha, word))] for word in words]
-        return np.concatenate([scores, letters], 1).tolist()
+        return np.concatenate([scores, letters], 1).reshape(-1), np.full(len(words), scores.shape[1] + 1)
 
 
 def _pieces(lines: list[str]) -> tuple[list[str], np.ndarray]:

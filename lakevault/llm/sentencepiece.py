@@ -24,11 +24,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lakevault.llm.common import WordTable, lists, ragged, slices, sums, texts
+from lakevault.llm.common import WordTable, lists, ragged, rows_of, slices, sums, texts
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
+# So many borders between pieces are remembered.
+MOST_FITS = 300_000
+
 
 class Model:
     """The pieces of a model file, and the segmentation of sorted words."""
@@ -39,26 +42,31 @@ class Model:
         with open(path, "rb") as file:
             proto = sentencepiece_model_pb2.ModelProto.FromString(file.read())
         rules, trainer = proto.normalizer_spec, proto.trainer_spec
-        if rules.precompiled_charsmap or not rules.escape_whitespaces or rules.remove_extra_whitespaces or trainer.treat_whitespace_as_suffix:
+        if rules.precompiled_charsmap or not rules.escape_whitespaces or not rules.add_dummy_prefix or rules.remove_extra_whitespaces or trainer.treat_whitespace_as_suffix:
             raise ValueError(f"{path} changes texts in ways that are not handled")
         if trainer.model_type not in (1, 2):
             raise ValueError(f"{path} is neither a unigram nor a merge model")
         self.merges = trainer.model_type == 2
-        self.prefix = MARK if rules.add_dummy_prefix else ""
         self.unknown = next(k for k, piece in enumerate(proto.pieces) if piece.type == 2)
         kinds = {1, 4} if self.merges else {1, 4, 5}
         self.scores = {piece.piece: piece.score for piece in proto.pieces if piece.type in kinds}
+        self.names = [piece.piece for piece in proto.pieces]
+        self.score_of = [piece.score for piece in proto.pieces]
         self.numbers = {piece.piece: k for k, piece in enumerate(proto.pieces)}
         self.bytes = [self.numbers.get(f"<0x{byte:02X}>", self.unknown) for byte in range(256)]
         self.byte_fallback = trainer.byte_fallback
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[int, bool] = {}  # by left << 20 | right
         if self.merges:
             # Pieces that merging never yields by itself cannot end a prefix.
-            self.ends = {piece for piece in self.scores if len(piece) == 1 or self.merged(piece) == [piece]}
+            self.ends = {piece: self.numbers[piece] for piece in self.scores if len(piece) == 1 or self.merged(piece) == [piece]}
         else:
-            self.ends = set(self.scores)
+            self.ends = {piece: self.numbers[piece] for piece in self.scores}
+        self.breaks = not any("\n" in piece and len(piece) > 1 for piece in self.scores)
         self.longest = max(map(len, self.ends), default=1)
+        self.reach: dict[str, int] = {}  # longest piece by its last two characters
+        for piece in self.ends:
+            self.reach[piece[-2:]] = max(len(piece), self.reach.get(piece[-2:], 1))
         # What each piece adds to a decoded text.
         surface = []
         for k, piece in enumerate(proto.pieces):
@@ -75,8 +83,29 @@ class Model:
         self.silent = np.array([piece.type == 3 for piece in proto.pieces] or [False])
 
     def split(self, text: str) -> list[str]:
-        """Marked words of a text; an empty text has none."""
-        return WORD.findall(self.prefix + text.replace(" ", MARK)) if text else []
+        """Marked words of a text, each without its first mark; an empty text has none.
+
+        If a line break is part of no longer piece, nothing merges over it and words are cut there, too; those
+        that begin with one have no mark.
+        """
+        if not text:
+            return []
+        if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+            return self.cut([word[1:] for word in WORD.findall(MARK + text.replace(" ", MARK))])
+        return self.cut(text.split(" "))
+
+    def cut(self, words: list[str]) -> list[str]:
+        if not self.breaks:
+            return words
+        found = []
+        for word in words:
+            if "\n" in word:
+                first, *others = word.split("\n")
+                found.append(first)
+                found += ["\n" + other for other in others]
+            else:
+                found.append(word)
+        return found
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short string by merging: the pair of highest score first, of equal ones the leftmost."""
@@ -92,76 +121,79 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fit(self, left: str, right: str) -> bool:
+    def fit(self, left: int, right: int) -> bool:
         """Whether merging leaves the border between two pieces."""
-        pair = (left, right)
-        found = self.fits.get(pair)
-        if found is None:
-            if len(self.fits) >= 1_000_000:
-                self.fits.clear()
-            found = self.fits[pair] = self.merged(left + right) == [left, right]
+        if len(self.fits) >= MOST_FITS:
+            self.fits.clear()
+        pair = [self.names[left], self.names[right]]
+        found = self.fits[left << 20 | right] = self.merged("".join(pair)) == pair
         return found
 
-    def segment(self, words: list[str]) -> list[list[int]]:
-        """Identifiers of each word; words share the forward states of their common prefixes."""
+    def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Identifiers of all words in a row, and how many each has; words share the states of common prefixes."""
+        words = [word if self.breaks and word[:1] == "\n" else MARK + word for word in words]
         order = sorted(range(len(words)), key=words.__getitem__)
         found: list[list[int]] = [[]] * len(words)
-        path: list[tuple[str, float]] = []  # the last piece and the score of each prefix of the word at hand
-        last, step = "", self.step_merges if self.merges else self.step_unigram
+        # For each prefix of the word at hand: its last piece (-1: a character without one), where that starts, the score.
+        pieces: list[int] = []
+        starts: list[int] = []
+        scores: list[float] = []
+        extend = self.extend_merges if self.merges else self.extend_unigram
+        last = ""
         for at in order:
             word = words[at]
             shared, most = 0, min(len(last), len(word))
             while shared < most and last[shared] == word[shared]:
                 shared += 1
-            del path[shared:]
-            for end in range(shared + 1, len(word) + 1):
-                path.append(step(word, end, path))
-            last = word
-            pieces, end = [], len(word)
+            del pieces[shared:], starts[shared:], scores[shared:]
+            extend(word, shared, pieces, starts, scores)
+            last, end, ids = word, len(word), []
             while end:
-                piece = path[end - 1][0]
-                pieces.append(piece)
-                end -= len(piece)
-            found[at] = self.identifiers(pieces[::-1])
-        return found
-
-    def step_merges(self, word: str, end: int, path: list) -> tuple[str, float]:
-        ends, fits = self.ends, self.fits
-        for start in range(max(0, end - self.longest), end - 1):
-            piece = word[start:end]
-            if piece in ends:
-                if not start:
-                    return piece, 0.0
-                left = path[start - 1][0]
-                fit = fits.get((left, piece))
-                if fit or (fit is None and self.fit(left, piece)):
-                    return piece, 0.0
-        return word[end - 1], 0.0
-
-    def step_unigram(self, word: str, end: int, path: list) -> tuple[str, float]:
-        best = None
-        for start in range(max(0, end - self.longest), end):
-            piece = word[start:end]
-            score = self.scores.get(piece)
-            if score is None:
-                if start < end - 1:
+                start, piece = starts[end - 1], pieces[end - 1]
+                if piece >= 0:
+                    ids.append(piece)
+                elif self.byte_fallback:
+                    ids.extend(self.bytes[byte] for byte in reversed(word[start:end].encode(errors="replace")))
+                elif not ids or ids[-1] != self.unknown:
+                    ids.append(self.unknown)
+                end = start
+            ids.reverse()
+            found[at] = ids
+        return rows_of(found)
+
+    def extend_merges(self, word: str, shared: int, pieces: list, starts: list, scores: list) -> None:
+        ends, fits, reach = self.ends, self.fits, self.reach
+        for end in range(shared + 1, len(word) + 1):
+            longest = reach.get(word[end - 2 : end], 1)
+            for start in range(end - longest if end > longest else 0, end):
+                piece = ends.get(word[start:end])
+                if piece is not None:
+                    if not start or start == end - 1:
+                        break
+                    left = pieces[start - 1]
+                    if left < 0:
+                        break
+                    fit = fits.get(left << 20 | piece)
+                    if fit or fit is None and self.fit(left, piece):
+                        break
+            else:
+                start, piece = end - 1, -1
+            pieces.append(piece)
+            starts.append(start)
+
+    def extend_unigram(self, word: str, shared: int, pieces: list, starts: list, scores: list) -> None:
+        for end in range(shared + 1, len(word) + 1):
+            best = None
+            for start in range(max(0, end - self.longest), end):
+                piece = self.ends.get(word[start:end], -1)
+                if piece < 0 and start < end - 1:
                     continue
-                score = self.lowest
-            total = score + (path[start - 1][1] if start else 0.0)
-            if best is None or total > best[1]:
-                best = (piece, total)
-        return best
-
-    def identifiers(self, pieces: list[str]) -> list[int]:
-        ids, numbers = [], self.numbers
-        for piece in pieces:
-            if piece in self.scores:
-                ids.append(numbers[piece])
-            elif self.byte_fallback:
-                ids.extend(self.bytes[byte] for byte in piece.encode())
-            elif not ids or ids[-1] != self.unknown:
-                ids.append(self.unknown)
-        return ids
+                score = (self.score_of[piece] if piece >= 0 else self.lowest) + (scores[start - 1] if start else 0.0)
+                if best is None or score > best[0]:
+                    best = (score, start, piece)
+            scores.append(best[0])
+            starts.append(best[1])
+            pieces.append(best[2])
 
     def join(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         """Texts of consecutive runs of identifiers."""
@@ -172,7 +204,7 @@ class Model:
             while first < end and self.silent[ids[first]]:
                 first += 1
             # The mark in front is not part of the text.
-            skip = 1 if self.prefix and first < end and self.marked[ids[first]] else 0
+            skip = 1 if first < end and self.marked[ids[first]] else 0
             texts.append(raw[start + skip : stop].decode(errors="replace"))
             start = stop
         return texts

@@ -111,9 +111,10 @@ class Merges:
                 self.words[word] = found
         return found
 
-    def count_pieces(self, pieces: list[str]) -> list[tuple[int]]:
+    def count_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Counts of coarse pieces; each is split into words first."""
-        return [(1 if piece in self.added else sum(map(self.count_word, FINE.findall(piece))),) for piece in pieces]
+        counts = [1 if piece in self.added else sum(map(self.count_word, FINE.findall(piece))) for piece in pieces]
+        return np.array(counts, np.int32), np.ones(len(pieces), np.int64)
 
     def splitter(self):
         """Splits a text into coarse pieces; strings of added tokens are pieces of their own."""

@@ -25,13 +25,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import CACHE_WORDS, WordTable, slices, sums, texts
+from lakevault.llm.common import WordTable, ragged, rows_of, slices, sums, texts
 
 BLOCK_TOKENS = 1 << 16
 # Bytes of the four ranks under each control byte.
 LENGTHS = np.array([[1 + (byte >> 2 * k & 3) for k in range(4)] for byte in range(256)], np.uint8)
-# Texts are cut at these blanks only; what other white space does inside a piece is left to the tokenizer.
+# Texts are cut at blanks. Four control characters that are blanks to ``str.split`` are none to the tokenizer.
 PIECE = re.compile("[^ \t\n\r]+")
+CONTROLS = "\x1c\x1d\x1e\x1f"
+
+
+def pieces(text: str) -> list[str]:
+    """The pieces of a text in lower case, letter by letter as the tokenizer has it."""
+    text = text.replace("Σ", "σ").lower()
+    return PIECE.findall(text) if any(control in text for control in CONTROLS) else text.split()
+
 
 # Letter words of a call to the tokenizer; calls cost more than words.
 JOINED = 256
@@ -52,47 +60,38 @@ class Pieces:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.known: dict[str, list[int]] = {}
 
-    def plain(self, pieces: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def plain(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return rows_of([found.ids for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
 
-    def joined(self, words: list[str]) -> list[list[int]]:
+    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters alone, encoded in one text; each one's last token says that it ends a word."""
-        ids = np.array(self.plain([" ".join(words)])[0], np.int64)
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words):
-            return self.plain(words)
-        return [part.tolist() for part in np.split(ids, ends[:-1])]
-
-    def encode(self, pieces: list[str]) -> list[list[int]]:
-        """A piece of letters with full stops or commas behind is a word and a tail, which never merge."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        cut = []
-        letters, others = {}, {}
-        for piece in pieces:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        lengths = np.diff(np.flatnonzero(self.closes[ids]) + 1, prepend=0)
+        return (ids, lengths) if len(lengths) == len(words) else self.plain(words)
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Letters, and the full stops and commas behind them, never merge: they are encoded apart, each kind once."""
+        words: dict[str, int] = {}
+        others: dict[str, int] = {"": 0}
+        heads, tails = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        for at, piece in enumerate(pieces):
             word = piece.rstrip(".,")
-            # Other letters may change with their neighbours; the tokenizer sees to them.
-            lower = word.lower() if word.isascii() else word
-            if word.isalpha() and word.lower().isalpha() and len(word) <= 64:
-                tail = piece[len(word) :]
-                if lower not in self.known:
-                    letters[lower] = None
-                if tail and tail not in self.known:
-                    others[tail] = None
-                cut.append((lower, tail))
+            if word.isalpha():
+                heads[at] = words.setdefault(word, len(words))
+                if len(word) < len(piece):
+                    tails[at] = others.setdefault(piece[len(word) :], len(others))
             else:
-                others[piece] = None
-                cut.append((piece, ""))
-        found = dict(zip(others, self.plain(list(others))))
-        words = list(letters)
-        for start in range(0, len(words), JOINED):
-            part = words[start : start + JOINED]
-            self.known.update(zip(part, self.joined(part)))
-        self.known.update((tail, found[tail]) for _, tail in cut if tail in found)
-        known = self.known
-        return [known[head] + (known[tail] if tail else []) if head in known else found[head] for head, tail in cut]
+                heads[at] = -1
+                tails[at] = others.setdefault(piece, len(others))
+        listed = list(words)
+        parts = [self.joined(listed[at : at + JOINED]) for at in range(0, len(listed), JOINED)] + [self.plain(list(others))]
+        lengths = np.concatenate([part for _, part in parts])
+        flat, starts = np.concatenate([part for part, _ in parts]), np.cumsum(lengths) - lengths
+        nothing = len(listed)  # the empty piece
+        rows = np.stack([np.where(heads < 0, nothing, heads), nothing + tails], 1)
+        values, _ = ragged(flat, starts, lengths, rows.reshape(-1))
+        return values, lengths[rows].sum(1)
 
 
 _tables: dict[str, WordTable] = {}
@@ -104,10 +103,10 @@ def _table(path: str) -> WordTable:
     return _tables[path]
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def tokenize(docs: DataFrame, path: str, end_id: int = 1, width: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Identifiers of every whole text under a vocabulary that drops white space, with ``end_id`` at the end.
 
-    One row for each row: doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers). Such a vocabulary never
+    One row for each row: doc_id, n_tokens, ids (little-endian unsigned numbers of ``width`` bytes, 2 or 4). Such a vocabulary never
     joins what blanks separate, so each distinct piece between blanks is encoded once per worker. A null text
     counts as empty and gets the end id alone.
     """
@@ -115,12 +114,12 @@ def tokenize(docs: DataFrame, path: str, end_id: int = 1, id_column: str = "doc_
     def encode(batches):
         table = _table(path)
         for batch in slices(batches, "text"):
-            codes, ends = table.encode(PIECE.findall, texts(batch, "text"))
+            codes, ends = table.encode(pieces, texts(batch, "text"))
             values, counts = table.gather(codes)
             stops = np.cumsum(sums(counts, ends))
-            values = np.insert(values, stops, end_id).astype("<u4")
+            values = np.insert(values, stops, end_id).astype(f"<u{width}")
             stops = stops + np.arange(1, len(stops) + 1)
-            offsets = pa.py_buffer(np.concatenate([[0], 4 * stops]).astype(np.int64))
+            offsets = pa.py_buffer(np.concatenate([[0], width * stops]).astype(np.int64))
             ids = pa.Array.from_buffers(pa.large_binary(), len(stops), [None, offsets, pa.py_buffer(values)]).cast(pa.binary())
             sizes = pa.array(np.diff(stops, prepend=0))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, ids], ["doc_id", "n_tokens", "ids"])
@@ -153,14 +152,14 @@ def unpack(control: bytes, data: bytes, size: int) -> np.ndarray:
     return ranks
 
 
-def frequencies(encoded: DataFrame) -> DataFrame:
+def frequencies(encoded: DataFrame, width: int = 4) -> DataFrame:
     """How often each identifier occurs; every task adds up its own rows first."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column("ids"):
-                found = np.bincount(np.frombuffer(value.as_buffer(), "<u4"))
+                found = np.bincount(np.frombuffer(value.as_buffer(), f"<u{width}"))
                 if len(found) > len(total):
                     found, total = total, found
                 total[: len(found)] += found
@@ -170,14 +169,14 @@ def frequencies(encoded: DataFrame) -> DataFrame:
     return encoded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write_tokens(encoded: DataFrame, path: str) -> None:
+def write_tokens(encoded: DataFrame, path: str, width: int = 4) -> None:
     """Write ``tokenize`` rows (read more than once, so stage them first) as a token folder.
 
     Rows are exchanged once, into ranges of ids; null ids come first, equal ids in the order of their tokens.
-    Only the ranks, at most as many as the vocabulary has entries, pass the driver.
+    ``width`` is that of ``tokenize``. Only the ranks, at most as many as the vocabulary has entries, pass the driver.
     """
     spark = encoded.sparkSession
-    ordered = frequencies(encoded).orderBy(F.desc("n"), "id").collect()
+    ordered = frequencies(encoded, width).orderBy(F.desc("n"), "id").collect()
     ids = np.array([row["id"] for row in ordered], np.int64)
     counts = [row["n"] for row in ordered]
     listed = [(rank, int(token), n) for rank, (token, n) in enumerate(zip(ids, counts))]
@@ -200,7 +199,7 @@ def write_tokens(encoded: DataFrame, path: str) -> None:
         filled = 0
         for batch in batches:
             for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                tokens = np.frombuffer(value.as_buffer(), "<u4")
+                tokens = np.frombuffer(value.as_buffer(), f"<u{width}")
                 docs.append(doc)
                 sizes.append(len(tokens))
                 waiting.append(tokens)
@@ -224,7 +223,7 @@ BLOCK_ARROW = pa.schema(
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The documents of a token folder: doc_id, start (tokens of all documents before it), n_tokens, ids (as in ``tokenize``)."""
+    """The documents of a token folder: doc_id, start (tokens of all documents before it), n_tokens, ids (little-endian unsigned 32-bit numbers)."""
     ranks = spark.read.schema("rank int, id long, n long").parquet(f"{path}/ranks").select("rank", "id").collect()
     id_of = np.zeros(max(1, len(ranks)), "<u4")
     id_of[[row["rank"] for row in ranks]] = [row["id"] for row in ranks]
