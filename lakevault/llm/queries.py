@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakevault.llm import langid, quality, sentencepiece, tokenfile
 from lakevault.llm.common import stage
+from lakevault.llm.jaccard import similar_groups
 from lakevault.llm.sharding import shard
 from lakevault.llm.tokencount import token_counts
 from lakevault.session import run_folder
@@ -38,6 +39,11 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.label_languages(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of five-word shingles are similar by 0.8 or more."""
+    return similar_groups(_table(spark, folder, "documents"))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every text, learned from the labelled rows that are not held out."""
     held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
@@ -76,6 +82,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_quality": op4_quality,
     "op6_sharding": op6_sharding,
     "op7_token_file": op7_token_file,
