@@ -103,12 +103,13 @@ class WordTable:
         known, unknown = np.flatnonzero(before >= 0), np.flatnonzero(before < 0)
         old, old_lengths = ragged(*values, before[known])
         new, new_lengths = self.compute([fresh[at] for at in unknown]) if len(unknown) else (old[:0], old_lengths[:0])
-        lengths = np.empty(len(fresh), np.int64)
-        starts = np.empty(len(fresh), np.int64)
-        for at, own, first in ((known, old_lengths, len(self.flat)), (unknown, np.asarray(new_lengths, np.int64), len(self.flat) + len(old))):
-            lengths[at] = own
-            starts[at] = first + np.cumsum(own) - own
-        self.flat = np.concatenate([self.flat, old, new]).astype(self.dtype, copy=False)
+        # Values in the order of the codes.
+        both, sizes = np.concatenate([old, new]), np.concatenate([old_lengths, np.asarray(new_lengths, np.int64)])
+        place = np.empty(len(fresh), np.int64)
+        place[np.concatenate([known, unknown])] = np.arange(len(fresh))
+        values, lengths = ragged(both, np.cumsum(sizes) - sizes, sizes, place)
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        self.flat = np.concatenate([self.flat, values]).astype(self.dtype, copy=False)
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
 

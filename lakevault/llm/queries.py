@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakevault.llm import langid, quality, sentencepiece, tokenfile
 from lakevault.llm.common import stage
+from lakevault.llm.decontam import leaks
 from lakevault.llm.jaccard import similar_groups
 from lakevault.llm.sharding import shard
 from lakevault.llm.tokencount import token_counts
@@ -79,6 +80,11 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that documents hold, as they are or with other numbers, names and units."""
+    return leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_token_file": op7_token_file,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 # SQL for the queries that SQL can express.
