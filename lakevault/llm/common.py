@@ -80,7 +80,8 @@ class WordTable:
         self.reset()
 
     def reset(self) -> None:
-        self.older = (self.codes, self.flat, self.starts, self.lengths) if self.codes else ({}, *[np.empty(0, np.int64)] * 3)
+        none = np.empty(0, np.int64)
+        self.older = (self.codes, self.flat, self.starts, self.lengths) if self.codes else ({}, np.empty(0, self.dtype), none, none)
         self.codes = Codes()
         self.flat = np.empty(0, self.dtype)
         self.starts = np.empty(0, np.int64)
@@ -104,7 +105,8 @@ class WordTable:
         old, old_lengths = ragged(*values, before[known])
         new, new_lengths = self.compute([fresh[at] for at in unknown]) if len(unknown) else (old[:0], old_lengths[:0])
         # Values in the order of the codes.
-        both, sizes = np.concatenate([old, new]), np.concatenate([old_lengths, np.asarray(new_lengths, np.int64)])
+        # (Of one type before they meet: numpy would turn signed and unsigned numbers into floats.)
+        both, sizes = np.concatenate([old, np.asarray(new, self.dtype)]), np.concatenate([old_lengths, np.asarray(new_lengths, np.int64)])
         place = np.empty(len(fresh), np.int64)
         place[np.concatenate([known, unknown])] = np.arange(len(fresh))
         values, lengths = ragged(both, np.cumsum(sizes) - sizes, sizes, place)

@@ -61,7 +61,8 @@ def describe(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         else:
             kind = LITERAL
         ends = word.rstrip("\"')]}»”")[-1:] in (".", "!", "?", ":")
-        found[at] = hash_word(plain), kind | ends << 2
+        found[at, 0] = hash_word(plain)
+        found[at, 1] = kind | ends << 2
     return found.reshape(-1), np.full(len(words), 2)
 
 
