@@ -1,6 +1,6 @@
 """Benchmark questions in documents, also with other numbers, names and units: template canonicalisation.
 
-Words become template tokens: numbers, units behind numbers and names (capitalised words inside a sentence) turn
+Words become template tokens: numbers, units behind numbers and names (words with a capital in front, inside a sentence) turn
 into typed placeholders, other words lose case and outer marks. Windows of ``WINDOW`` template tokens of documents
 and benchmark items meet in a hash join. Along one alignment of a document with an item, each value of the item
 has to stand for one value of the document (and the other way round): a question whose numbers were exchanged
@@ -13,11 +13,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.llm.common import WordTable, slices, stage, texts
-from lakevault.llm.shingles import VALUES, mix, powers, windows
+from lakevault.llm.shingles import mix, windows
 
 WINDOW = 5
 LITERALS = 3  # a window says something if so many of its tokens are words
@@ -41,11 +42,6 @@ LITERAL, NUMERIC, UNIT, CAPITAL = range(4)
 MARKS = mix(np.arange(101, 105, dtype=np.uint64))  # hashes of the placeholders, by kind
 
 
-def hash_word(word: str) -> int:
-    raw = np.frombuffer(word.encode(errors="replace"), np.uint8)
-    return int(mix((VALUES[raw] * powers(np.uint64(0x9E3779B97F4A7C15), len(raw))).sum(dtype=np.uint64).reshape(1))[0])
-
-
 def describe(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """For each raw word: the hash of its plain form, then its kind and (in bit 2) whether a sentence ends with it."""
     found = np.zeros((len(words), 2), np.uint64)
@@ -56,16 +52,19 @@ def describe(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             kind = NUMERIC
         elif plain in UNITS:
             kind = UNIT
-        elif bare[:1].isupper():
+        elif bare[:1].isupper() and (len(bare) == 1 or not bare.isupper()):  # words all in capitals tell nothing
             kind = CAPITAL
         else:
             kind = LITERAL
         ends = word.rstrip("\"')]}»”")[-1:] in (".", "!", "?", ":")
-        found[at, 0] = hash_word(plain)
+        found[at, 0] = xxhash.xxh3_64_intdigest(plain.encode(errors="replace"))
         found[at, 1] = kind | ends << 2
     return found.reshape(-1), np.full(len(words), 2)
 
 
+_words = WordTable(describe, np.uint64)  # of one worker
+
+
 def template(plain: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the template tokens of one text, and which of them are placeholders (their kind, else 0)."""
     kind, ends = marks & 3, marks >> 2
@@ -84,7 +83,7 @@ def _windows(rows: DataFrame, key: str, keep: np.ndarray | None) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(keep)
 
     def run(batches):
-        table, keep = WordTable(describe, np.uint64), shared.value
+        table, keep = _words, shared.value
         for batch in slices(batches, "text"):
             codes, ends = table.encode(str.split, texts(batch, "text"))
             values = table.flat.reshape(-1, 2)
