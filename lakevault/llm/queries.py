@@ -12,6 +12,7 @@ from lakevault.llm.common import stage
 from lakevault.llm.decontam import leaks
 from lakevault.llm.jaccard import similar_groups
 from lakevault.llm.sharding import shard
+from lakevault.llm.suffix import remove_repeats
 from lakevault.llm.tokencount import token_counts
 from lakevault.session import run_folder
 
@@ -55,6 +56,12 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(rows, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every text without strings of 100 bytes that start earlier, too."""
+    found = remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes; equal texts sort next to each other."""
     text = F.coalesce("text", F.lit(""))
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_quality": op4_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
     "op7_token_file": op7_token_file,
     "op9_token_counts": op9_token_counts,
