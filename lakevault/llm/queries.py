@@ -11,6 +11,7 @@ from lakevault.llm import langid, quality, sentencepiece, tokenfile
 from lakevault.llm.common import stage
 from lakevault.llm.decontam import leaks
 from lakevault.llm.jaccard import similar_groups
+from lakevault.llm.neighbours import nearest
 from lakevault.llm.sharding import shard
 from lakevault.llm.suffix import remove_repeats
 from lakevault.llm.tokencount import token_counts
@@ -83,6 +84,12 @@ def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth id."""
+    vectors = stage(_table(spark, folder, "embeddings").select("vec_id", "embedding"), "vectors")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -100,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
     "op7_token_file": op7_token_file,
+    "op8_neighbours": op8_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }

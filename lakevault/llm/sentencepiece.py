@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakevault.llm.common import WordTable, lists, ragged, rows_of, slices, sums, texts
 
@@ -239,6 +241,28 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def encode_checked(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
+    """All columns of ``docs`` with ids, and round_trip: whether decoding them gives the text (null: the empty one).
+
+    It does unless the text has a mark of its own, or no valid UTF-8. Columns of these names are replaced.
+    """
+    kept = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name not in ("ids", "round_trip")])
+
+    def run(batches):
+        model, table = _model(path)
+        for batch in slices(batches, text_column):
+            given = texts(batch, text_column)
+            codes, ends = table.encode(model.split, given)
+            ids, counts = table.gather(codes)
+            ends = np.cumsum(sums(counts, ends))
+            same = [text == back for text, back in zip(given, model.join(ids, ends))]
+            more = [lists(ids, ends, pa.int32()), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "ids", "round_trip"])
+
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
+    return kept.mapInArrow(run, T.StructType([*kept.schema, *fields]))
+
+
 def decode(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
     """Texts of lists of identifiers: doc_id, ids, text. A null list and null or unknown identifiers add nothing.
 
