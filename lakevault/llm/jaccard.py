@@ -1,7 +1,7 @@
 """Groups of documents whose sets of word shingles are similar: an exact Jaccard self-join by prefix filtering.
 
-Shingles are ordered by how often their hash bucket occurs in the corpus, rarest first (one order for all
-documents, so results do not depend on it). Two sets of the wanted similarity share one of the first
+Shingles are ordered rarest first, by how often the rarest of their words occurs in the corpus (counted by hash
+bucket; one order for all documents, so results do not depend on it). Two sets of the wanted similarity share one of the first
 n - ceil(t n) + 1 shingles of each; only these are exchanged. A pair that meets at a shingle goes on if
 
 * length: the smaller set is at least t times the larger,
@@ -11,8 +11,9 @@ and is verified once, in the exchanged texts: first by the suffix filter (halves
 overlap), then by counting the overlap.
 
 Connected groups need not all their pairs. Each shingle's documents are first compared with one leader per band of
-lengths; the links found give preliminary components. Then each shingle's documents of *different* components
-are compared with each other, which is complete: what it leaves out is connected already.
+lengths, and those outside its largest component then with one of that component each, another one for every
+shingle. The links found give preliminary components. Last, each shingle's documents of *different* components are
+compared with each other, which is complete: what it leaves out is connected already.
 """
 from __future__ import annotations
 
@@ -27,8 +28,9 @@ from lakevault.llm.common import slices, stage
 from lakevault.llm.components import components
 from lakevault.llm.shingles import by_row, mix, windows
 
-# Hash buckets in which occurrences are counted for the order; 4 MB in every task, whatever the input.
-BUCKETS, PARTS = 1 << 20, 16
+# Hash buckets in which words are counted for the order; 8 MB in every task, whatever the input.
+BUCKETS, PARTS = 1 << 21, 16
+SHIFT = np.uint64(64 - 21)
 MEMBERS = 256  # documents that meet one copy of a leader's text
 
 
@@ -37,26 +39,35 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
     return [np.unique(windows(found, size)) for found in by_row(column)]
 
 
+def rarest_first(words: np.ndarray, size: int, counts: np.ndarray) -> np.ndarray:
+    """Distinct shingle hashes of one text, those with the rarest words first, equal ones by hash."""
+    rank = counts[(words >> SHIFT).astype(np.int64)]
+    many = max(1, len(words) - size + 1)
+    rarest = rank[:many].copy()
+    for k in range(1, min(size, len(words))):
+        np.minimum(rarest, rank[k : many + k], out=rarest)
+    found, first = np.unique(windows(words, size), return_index=True)
+    return found[np.argsort(rarest[first], kind="stable")]
+
+
 def needed(total: np.ndarray | int, percent: int):
     """Smallest overlap of two sets of ``total`` members together that makes them similar."""
     return -(-percent * total // (100 + percent))
 
 
 def describe(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
-    """Per row: doc_id, n and a 128-bit digest of the set; and how often each bucket occurs."""
+    """Per row: doc_id, n and a 128-bit digest of the set; and how often words of each bucket occur."""
 
     def run(batches):
         counts = np.zeros(BUCKETS, np.uint32)
         for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column("text"), size)
+            words = by_row(batch.column("text"))
+            sets = [np.unique(windows(found, size)) for found in words]
             digests = np.zeros((2, len(sets)), np.uint64)
             for at, found in enumerate(sets):
                 digests[0, at] = mix(found).sum(dtype=np.uint64)
                 digests[1, at] = mix(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-                counts += np.bincount((found >> np.uint64(44)).astype(np.int64), minlength=BUCKETS).astype(np.uint32) if len(found) > 50_000 else 0
-            small = [found >> np.uint64(44) for found in sets if len(found) <= 50_000]
-            if small:
-                counts += np.bincount(np.concatenate(small).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
+            counts += np.bincount((np.concatenate(words) >> SHIFT).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
             numbers = pa.array(np.fromiter(map(len, sets), np.int64, len(sets)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), numbers, pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())],
@@ -92,17 +103,17 @@ def postings(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> Dat
         order, met = shared.value, set()
         for batch in slices(batches, "text"):
             tokens, docs, numbers, places = [], [], [], []
-            for doc, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), size)):
+            for doc, words in zip(batch.column("doc_id").to_pylist(), by_row(batch.column("text"))):
+                if not len(words) or doc is None:
+                    continue
+                found = rarest_first(words, size, order)
                 n = len(found)
-                digest = found.tobytes() if n < 16 else (n, int(mix(found).sum(dtype=np.uint64)), int(found[n // 2]))
-                if not n or doc is None or digest in met:
+                digest = (n, int(mix(found).sum(dtype=np.uint64)), int(mix(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
+                if digest in met:
                     continue
                 met.add(digest)
                 keep = n - -(-percent * n // 100) + 1
-                rank = order[(found >> np.uint64(44)).astype(np.int64)]
-                # Rarest bucket first, equal ones by hash: a stable sort of what is sorted by hash.
-                first = found[np.argsort(rank, kind="stable")[:keep]]
-                tokens.append(first.view(np.int64))
+                tokens.append(found[:keep].view(np.int64))
                 docs.append(np.full(keep, doc, np.int64))
                 numbers.append(np.full(keep, n, np.int32))
                 places.append(np.arange(keep, dtype=np.int32))
@@ -198,12 +209,27 @@ def leaders(spread: DataFrame, percent: int) -> DataFrame:
     return spread.mapInArrow(run, "token long, doc_id long, n int, at int, leader long")
 
 
-def crossing(spread: DataFrame, percent: int) -> DataFrame:
+def crossing(spread: DataFrame, percent: int, star: bool) -> DataFrame:
     """Pairs of documents of different components that meet at a shingle and pass the filters.
 
-    ``spread`` is exchanged by token and sorted by token and n, and has a column component.
+    ``spread`` is exchanged by token and sorted by token and n, and has a column component. With ``star`` not all
+    of them: each document outside a shingle's largest component with one inside.
     """
 
+    def rays(token, doc, n, at, component):
+        kinds, sizes = np.unique(component, return_counts=True)
+        spin = mix((kinds ^ token).view(np.uint64))
+        largest = kinds[np.lexsort((spin, sizes))[-1]]
+        major, minor = np.flatnonzero(component == largest), np.flatnonzero(component != largest)
+        low = np.searchsorted(n[major], -(-percent * n[minor] // 100), side="left")
+        high = np.searchsorted(n[major], 100 * n[minor] // percent, side="right")
+        minor, low, high = minor[low < high], low[low < high], high[low < high]
+        spin = mix((doc[minor] ^ token).view(np.uint64)) >> np.uint64(8)
+        other = major[low + (spin % (high - low).astype(np.uint64)).astype(np.int64)]
+        close = np.minimum(n[minor] - at[minor], n[other] - at[other]) >= needed(n[minor] + n[other], percent)
+        if close.any():
+            yield doc[minor[close]], doc[other[close]]
+
     def group(doc, n, at, component):
         kinds, sizes = np.unique(component, return_counts=True)
         if len(kinds) < 2:
@@ -235,7 +261,8 @@ def crossing(spread: DataFrame, percent: int) -> DataFrame:
             mixed = np.minimum.reduceat(component, borders[:-1]) != np.maximum.reduceat(component, borders[:-1])
             for at in np.flatnonzero(mixed).tolist():
                 part = slice(borders[at], borders[at + 1])
-                for x, y in group(columns[1][part], columns[2][part].astype(np.int64), columns[3][part].astype(np.int64), component[part]):
+                pairs = rays(token[borders[at]], columns[1][part], columns[2][part].astype(np.int64), columns[3][part].astype(np.int64), component[part]) if star else group(columns[1][part], columns[2][part].astype(np.int64), columns[3][part].astype(np.int64), component[part])
+                for x, y in pairs:
                     found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["leader", "doc_id"])
 
@@ -321,15 +348,18 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_column:
     copies = info.join(copies.where("first != last"), ["n", "a", "b"]).where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     spread = postings(rows, order, size, percent).repartition("token").sortWithinPartitions("token", "n", "doc_id")
     met = stage(leaders(spread, percent), "postings")
-    pairs = met.where("leader is not null").select("leader", "doc_id").distinct()
-    first = stage(verify(pairs, rows, size, percent).unionByName(copies), "first-links")
-    joined = components(first)
-    shared = met.where("leader is null").select("token", "doc_id", "n", "at").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    shared = shared.withColumn("component", F.coalesce("component", "doc_id")).select("token", "doc_id", "n", "at", "component")
-    again = crossing(shared.repartition("token").sortWithinPartitions("token", "n", "doc_id"), percent).distinct()
-    again = stage(again, "crossing")
-    if not again.isEmpty():
-        more = verify(again, rows, size, percent)
-        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    pairs = met.where("leader is not null").select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id"))
+    pairs = stage(pairs.distinct(), "pairs")
+    joined = components(stage(verify(pairs, rows, size, percent).unionByName(copies), "first-links"))
+    for star in (True, False):
+        shared = met.where("leader is null").select("token", "doc_id", "n", "at").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        shared = shared.withColumn("component", F.coalesce("component", "doc_id")).select("token", "doc_id", "n", "at", "component")
+        again = crossing(shared.repartition("token").sortWithinPartitions("token", "n", "doc_id"), percent, star)
+        again = stage(again.distinct().join(pairs, ["leader", "doc_id"], "left_anti"), "crossing")
+        if not again.isEmpty():
+            more = stage(verify(again, rows, size, percent), "links")
+            pairs = pairs.unionByName(again)
+            if not more.isEmpty():
+                joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     found = info.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
