@@ -32,7 +32,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
         if name != "report":
             job.add_argument("--raw", required=True, help="folder of the landed files")
     jobs.choices["load-batch"].add_argument("--datasets", default="all")
-    jobs.choices["load-batch"].add_argument("--layout", choices=("array", "lines"), default="array")
+    jobs.choices["load-batch"].add_argument("--layout", choices=("lines", "pretty"), default="lines")
     jobs.choices["load-events"].add_argument("--checkpoint", required=True)
     jobs.choices["report"].add_argument("name", nargs="?")
     return parser.parse_args(given)

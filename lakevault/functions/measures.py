@@ -8,9 +8,12 @@ MONEY = "decimal(18,2)"
 
 
 def money(amount: str | Column) -> Column:
-    """A stored double as exact cents; sums over it do not depend on row order."""
+    """A stored double as exact cents; sums over it do not depend on row order.
+
+    An amount that no 18 digits hold is null, so that it cannot stop a view; ``quality.lost_amounts`` counts them.
+    """
     column = F.col(amount) if isinstance(amount, str) else amount
-    return column.cast(MONEY)
+    return column.try_cast(MONEY)
 
 
 def money_sum(amount: str | Column) -> Column:

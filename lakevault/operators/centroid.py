@@ -1,7 +1,7 @@
 """One point per zip prefix."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Degrees with 14 decimals: sums do not depend on the order in which partitions are combined.
@@ -13,8 +13,15 @@ def zip_centroids(points: DataFrame) -> DataFrame:
 
     Two aggregates on purpose. The first keeps only number and date buffers, so it runs as a hash
     aggregate with map-side combine over the raw points and a zip with very many points shrinks
-    before the shuffle; the text minima then work on the few distinct rows that remain.
+    before the shuffle; the text minima then work on the few distinct rows that remain. A point that was
+    landed more than once counts once, as it was landed last.
     """
+    newest = [F.desc(name) for name in ("seq", "load_dts") if name in points.columns]
+    others = [F.asc(name) for name in points.columns if name not in ("geolocation_id", "seq", "load_dts")]
+    keyed = F.col("geolocation_id").isNotNull()
+    place = F.row_number().over(Window.partitionBy("geolocation_id").orderBy(*newest, *others))
+    last = points.where(keyed).withColumn("_place", place).where("_place = 1").drop("_place")
+    points = last.unionByName(points.where(~keyed))
     zip_code = "geolocation_zip_code_prefix"
     lat, lng = F.col("geolocation_lat").cast(DEGREES), F.col("geolocation_lng").cast(DEGREES)
     distinct_places = points.groupBy(zip_code, "geolocation_city", "geolocation_state", "record_source").agg(

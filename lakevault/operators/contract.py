@@ -33,6 +33,8 @@ AT_LEAST = {
     "order.freight_value": 0,
     "payment.payment_installments": 1,
 }
+# Amounts beyond this are mistakes; the views add amounts as 18-digit decimals.
+AT_MOST = {"order.price": 1_000_000_000, "order.freight_value": 1_000_000_000}
 REQUEST_EVENTS = (1, 500)
 MAX_ATTEMPTS = 4
 
@@ -49,6 +51,8 @@ def violations(event: str = "") -> Column:
     state = column["customer.customer_state"]
     broken.append(F.when(F.length(state) != STATE_LENGTH, F.lit("customer.customer_state:length")))
     broken += [F.when(column[name] < least, F.lit(f"{name}:minimum")) for name, least in AT_LEAST.items()]
+    # (Not a number compares as greater than any.)
+    broken += [F.when(column[name] > most, F.lit(f"{name}:maximum")) for name, most in AT_MOST.items()]
     return F.array_compact(F.array(*broken))
 
 
@@ -61,19 +65,19 @@ def checked_requests(events: DataFrame, request: str) -> DataFrame:
     """Contract at request level: one bad event, or a wrong number of events, rejects all its events.
 
     The verdict is an aggregate per request, so a request of any size is combined on the map side
-    and never gathered in one place.
+    and never gathered in one place. Events without a request id form one request.
     """
     judged = checked(events)
     low, high = REQUEST_EVENTS
     size = F.count(F.lit(1))
-    verdict = judged.groupBy(request).agg(
+    verdict = judged.groupBy(F.col(request).alias("_request")).agg(
         (~size.between(low, high)).alias("wrong_size"), F.max(F.size("violations") > 0).alias("any_bad")
     )
     own = F.when(F.col("wrong_size"), F.array_append("violations", F.lit(REQUEST_SIZE))).otherwise(F.col("violations"))
     return (
-        judged.join(verdict, request)
+        judged.join(verdict, F.col(request).eqNullSafe(F.col("_request")))
         .withColumns({"violations": own, "rejected": F.col("any_bad") | F.col("wrong_size")})
-        .drop("wrong_size", "any_bad")
+        .drop("wrong_size", "any_bad", "_request")
     )
 
 

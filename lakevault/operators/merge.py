@@ -109,5 +109,6 @@ def write(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int
     store.ensure_table(table, rows.schema)
     if batch_rows == 0:
         return Written(table.name, table.kind, 0, 0)
-    appended = STRATEGIES[table.kind](store, table, rows, batch_rows)
+    with store.lease(table.name):
+        appended = STRATEGIES[table.kind](store, table, rows, batch_rows)
     return Written(table.name, table.kind, batch_rows, appended)

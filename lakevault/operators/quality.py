@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakevault.functions.measures import money
 from lakevault.sources.schemas import SOURCES, Source
 
 # Fixed value: a landed event older than this when it reaches the vault counts as backlog.
@@ -78,3 +79,9 @@ def pipeline_health(events: DataFrame, happened: str, handled: str, bad: Column)
         )
         .withColumn("alarme", (F.col("maior_atraso_segundos") > BACKLOG_SECONDS) | (F.col("rejeitados") > 0))
     )
+
+
+def lost_amounts(table: DataFrame, columns: list[str]) -> DataFrame:
+    """Amounts that the views leave out because no 18-digit decimal holds them: (column_name, lost_rows)."""
+    lost = [F.count_if(F.col(name).isNotNull() & money(name).isNull()).alias(name) for name in columns]
+    return table.agg(*lost).unpivot([], columns, "column_name", "lost_rows")

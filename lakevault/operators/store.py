@@ -5,8 +5,12 @@ are appends as well: a reference keeps its superseded rows and ``read`` returns
 """
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,6 +25,10 @@ from lakevault.sources.schemas import EVENT_SCHEMA, SOURCES
 BUCKETED_KINDS = {"hub", "link"}
 
 
+# A lease that is older belongs to a job that died.
+LEASE_SECONDS = 6 * 3600
+
+
 class VaultStore:
     """All tables of one vault below ``root``, registered in ``database``."""
 
@@ -81,6 +89,35 @@ class VaultStore:
         """The newest version per key of a satellite."""
         return current(self.rows(name), TABLES[name].key[0])
 
+    @contextmanager
+    def lease(self, name: str) -> Iterator[None]:
+        """Be the only writer of a table, among all jobs of the vault, until the block ends.
+
+        A file that only one job can create stands for the lease, in the vault's own folder. What is missing is
+        found and appended under one lease, so two loads that share a hub cannot both add a key.
+        """
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_leases/{name}")
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        while True:
+            try:
+                system.create(path, False).close()
+                break
+            except Py4JJavaError as error:
+                if "AlreadyExists" not in error.java_exception.getClass().getName():
+                    raise
+            try:
+                if time.time() - system.getFileStatus(path).getModificationTime() / 1000 > LEASE_SECONDS:
+                    system.delete(path, False)
+            except Py4JJavaError as error:  # given back meanwhile
+                if "FileNotFound" not in error.java_exception.getClass().getName():
+                    raise
+            time.sleep(0.1)
+        try:
+            yield
+        finally:
+            system.delete(path, False)
+
     def is_empty(self, name: str) -> bool:
         return self.rows(name).isEmpty()
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from lakevault.operators.merge import Written, write
@@ -45,7 +46,9 @@ def load_dataset(store: VaultStore, dataset: str, rows: DataFrame) -> list[Writt
     tables = MODEL[dataset]
     with staged(store, rows, dataset) as batch, ThreadPoolExecutor(len(tables)) as pool:
         batch_rows = batch.count()
-        return list(pool.map(lambda table: write(store, table, vault_rows(batch, table), batch_rows), tables))
+        # The threads keep the job group of the caller, so cancelling a stream cancels its writes.
+        take = inheritable_thread_target(rows.sparkSession)(lambda table: write(store, table, vault_rows(batch, table), batch_rows))
+        return list(pool.map(take, tables))
 
 
 def load_now() -> dt.datetime:
@@ -70,7 +73,7 @@ def run_all(
             for done in load(store, dataset, rows()):
                 outcome.append((dataset, done.table, done.staged_rows, done.appended_rows, "ok", None))
         except Exception as error:  # the other datasets still have to run
-            outcome.append((dataset, None, 0, 0, "failed", f"{type(error).__name__}: {error}"[:500]))
+            outcome.append((dataset, None, 0, 0, "failed", f"{type(error).__name__}: {error}"))
     return report(store.spark, outcome)
 
 

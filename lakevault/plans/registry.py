@@ -46,15 +46,6 @@ def new_store(spark: SparkSession, label: str, buckets: int | None = None) -> Va
     return store
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores of a single machine although each test table is one small file.
-
-    On a cluster the tables come in many files and splits, and rows stay where they are.
-    """
-    context = rows.sparkSession.sparkContext
-    return rows.repartition(context.defaultParallelism, rows.columns[0]) if context.master.startswith("local") else rows
-
-
 def flat(spark: SparkSession, folder: str) -> DataFrame:
     """The test events as flat rows, as if landed in one file."""
     landed = benchtables.events(spark, folder).withColumns(
@@ -68,10 +59,10 @@ def load(store: VaultStore, folder: str, dataset: str, rows: DataFrame | None =
     spark = store.spark
     if dataset == "events":
         given = flat(spark, folder) if rows is None else rows
-        return load_table(store, dataset, spread(given), f"{RECORD_SOURCE['events']}.events", LOADED_AT)
+        return load_table(store, dataset, given, f"{RECORD_SOURCE['events']}.events", LOADED_AT)
     given = benchtables.versioned(spark, folder, dataset) if rows is None else rows
     source = f"{RECORD_SOURCE['batch']}.{dataset}"
-    return load_table(store, dataset, spread(given), source, LOADED_AT)
+    return load_table(store, dataset, given, source, LOADED_AT)
 
 
 def vault(spark: SparkSession, folder: str, *datasets: str) -> VaultStore:
@@ -262,7 +253,7 @@ def raw_lines_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
     root = run_folder(spark, "raw")
     land_batch(benchtables.dataset(spark, folder, "order_items"), root, "order_items", LANDED_ON)
-    rows = read_batches(spark, root, "order_items", LOADED_AT, layout="lines", since=LANDED_ON)
+    rows = read_batches(spark, root, "order_items", LOADED_AT, since=LANDED_ON)
     return rows.select(
         *SOURCES["order_items"].columns, "raw_year", "raw_month", "raw_day", "raw_partition_date", "record_source"
     )
@@ -346,7 +337,7 @@ def extract_changes(spark: SparkSession, folder: str) -> DataFrame:
     root = run_folder(spark, "changes")
     products = benchtables.dataset(spark, folder, "products")
     land_batch(products, root, "products", LANDED_ON)
-    landed = read_batches(spark, root, "products", LOADED_AT, layout="lines")
+    landed = read_batches(spark, root, "products", LOADED_AT)
     photos = F.col("product_photos_qty")
     today = products.withColumn("product_photos_qty", F.when(photos == 0, F.lit(1)).otherwise(photos))
     return changed_rows(today, landed, SOURCES["products"])

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # State of de-duplication and hourly counts may outgrow the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -60,6 +62,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data, wherever it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new, never reused folder below the shared one."""
     application = spark.sparkContext.applicationId

@@ -4,11 +4,12 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.operators.merge import fits_broadcast, missing_rows
 from lakevault.operators.model import first_row
+from lakevault.sources.raw import has_files
 from lakevault.sources.schemas import EVENTS, SOURCES
 
 # Fixed value: microseconds survive the way through JSON.
@@ -44,27 +45,39 @@ def land_batch(
         ).alias("value")
     )
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(target)
-    return spark.read.schema(source.schema).option("multiLine", True).json(target)
+    return spark.read.schema(source.schema).json(target)  # an array on one line is read row by row
 
 
-def land_messages(batch: DataFrame, root: str, batch_id: int, run_date: dt.date) -> None:
+def once(spark: SparkSession, path: str, value: str) -> str:
+    """The value kept at a place: what was written there first, by whichever attempt."""
+    if not has_files(spark, path):
+        spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema("value string").parquet(path).first()["value"]
+
+
+def land_messages(batch: DataFrame, root: str, run: str, batch_id: int, run_date: dt.date) -> None:
     """Land one micro-batch of (message_id, body) so that each message id is landed once.
 
-    A message id already landed by an earlier micro-batch is left out, wherever its date folder is.
-    Both outputs live in folders named after the micro-batch and are overwritten, so a repeated
-    micro-batch replaces its own output. The list of landed ids is scanned, not shuffled, as long as
-    the micro-batch is small enough to be broadcast.
+    ``run`` names the checkpoint the micro-batch belongs to. A message id that any other micro-batch of any
+    run has landed is left out, wherever its date folder is. Both outputs live in folders of their own,
+    named after run and micro-batch; a repeated micro-batch replaces its own output and keeps the date of
+    its first attempt, and no run ever writes over another one's folder. The ledger is scanned, not
+    shuffled, as long as the micro-batch is small enough to be broadcast.
     """
     spark = batch.sparkSession
     ledger = f"{root.rstrip('/')}/landed_message_ids"
+    name = f"run={run}/batch={batch_id:010d}"
+    day = dt.date.fromisoformat(once(spark, f"{root.rstrip('/')}/landing_dates/{name}", run_date.isoformat()))
     messages = batch.select("message_id", "body")
-    if batch_id > 0:
-        seen = spark.read.schema("message_id string, batch bigint").parquet(ledger).where(F.col("batch") < batch_id)
-        fresh = missing_rows(messages, seen, ["message_id"], fits_broadcast(batch.count()))
-    else:
-        fresh = first_row(messages, ["message_id"])
-    target = f"{day_folder(root, EVENTS, run_date)}/batch-{batch_id:010d}"
+    fresh = first_row(messages, ["message_id"])
+    if has_files(spark, ledger):
+        seen = spark.read.schema("message_id string, run string, batch bigint").parquet(ledger)
+        others = seen.where((F.col("run") != run) | (F.col("batch") != batch_id))
+        fresh = missing_rows(messages, others, ["message_id"], fits_broadcast(batch.count()))
+    target = f"{day_folder(root, EVENTS, day)}/run-{run}-batch-{batch_id:010d}"
     # A line break can only stand between JSON tokens, never inside a JSON text.
     line = F.regexp_replace("body", r"[\r\n]+", " ")
-    fresh.select(line.alias("value")).write.mode("overwrite").text(target)
-    messages.select("message_id").distinct().write.mode("overwrite").parquet(f"{ledger}/batch={batch_id}")
+    fresh = fresh.select("message_id", line.alias("value"))
+    fresh.select("value").write.mode("overwrite").text(target)
+    # Of ids that another run has landed this one keeps no entry: each id is in the ledger once.
+    fresh.select("message_id").write.mode("overwrite").parquet(f"{ledger}/{name}")

@@ -15,6 +15,7 @@ from lakevault.operators.model import sequence, stamped
 from lakevault.sources.schemas import EVENT_SCHEMA, EVENTS, RECORD_SOURCE, SOURCES
 
 CORRUPT = "_corrupt"
+LINES, PRETTY = "lines", "pretty"
 PARTITIONS = StructType().add("year", "integer").add("month", "integer").add("day", "integer")
 
 
@@ -23,14 +24,16 @@ def dataset_path(root: str, dataset: str = EVENTS) -> str:
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
-    """Is there any file to read? Only file names are looked at."""
-    try:
-        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return not listing.select("path").isEmpty()
+    """Is there any file to read? The listing stops at the first one whose name is not hidden."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return False
+    files = system.listFiles(folder, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def _json_rows(spark: SparkSession, path: str, schema: StructType, array_files: bool) -> DataFrame:
@@ -52,6 +55,18 @@ def _json_rows(spark: SparkSession, path: str, schema: StructType, array_files:
     return rows
 
 
+def refuse_many_values(spark: SparkSession, path: str) -> None:
+    """Raise if a file has several lines that begin and end a JSON value: of such a file only the first would be read."""
+    if not has_files(spark, path):
+        return
+    lines = spark.read.option("pathGlobFilter", "*.{json,txt}").option("recursiveFileLookup", True).text(path)
+    whole = F.col("value").rlike(r"^(\{.*\}|\[.*\])\s*$")
+    files = lines.where(whole).groupBy(F.col("_metadata.file_path").alias("file")).count().where("count > 1")
+    found = files.limit(1).collect()
+    if found:
+        raise ValueError(f"{found[0]['file']} holds several values, one to a line; read it with layout='{LINES}'")
+
+
 def _unreadable(schema: StructType):
     """A file or line that gave no value at all. One bad value only empties its own field."""
     return F.col(CORRUPT).isNotNull() & F.coalesce(
@@ -76,21 +91,28 @@ def read_batches(
     root: str,
     dataset: str,
     load_dts: dt.datetime,
-    layout: str = "array",
+    layout: str = LINES,
     since: dt.date | None = None,
 ) -> DataFrame:
     """Rows of a batch dataset; no folder at all gives an empty frame of the same schema.
 
-    ``layout``: ``array`` for one JSON array per file, ``lines`` for one object per line, which large
-    landings should use because such files can be split. ``since`` limits the landing dates read.
+    ``layout``: ``lines`` takes one object or one whole array of objects per line, so it reads landings
+    of both forms, and files can be split. ``pretty`` is for files of one value printed over many lines;
+    it raises if a file holds more than one. ``since`` limits the landing dates read.
     """
     schema = SOURCES[dataset].schema
-    rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == "array")
+    if layout not in (LINES, PRETTY):
+        raise ValueError(f"unknown layout {layout!r}; known: {LINES}, {PRETTY}")
+    if layout == PRETTY:
+        refuse_many_values(spark, dataset_path(root, dataset))
+    rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == PRETTY)
     if since is not None:
         rows = rows.where(F.make_date("year", "month", "day") >= F.lit(since))
     good = rows.where(~_unreadable(schema)).drop(CORRUPT)
     loaded = with_raw_metadata(good, f"{RECORD_SOURCE['batch']}.{dataset}", load_dts)
-    return loaded.withColumn("seq", sequence("raw_partition_date", "raw_file"))
+    # The place below the dataset's folder: another spelling of the root does not change the order.
+    place = F.substring_index("raw_file", f"/{dataset}/year=", -1)
+    return loaded.withColumn("_place", place).withColumn("seq", sequence("raw_partition_date", "_place")).drop("_place")
 
 
 def read_events(
@@ -104,10 +126,10 @@ def read_events(
     return with_raw_metadata(good, f"{RECORD_SOURCE['events']}.{EVENTS}", load_dts)
 
 
-def read_unreadable(spark: SparkSession, root: str, dataset: str, layout: str = "array") -> DataFrame:
+def read_unreadable(spark: SparkSession, root: str, dataset: str, layout: str = LINES) -> DataFrame:
     """What the readers leave out: (raw_file, payload) of files or lines that are no JSON."""
     schema = EVENT_SCHEMA if dataset == EVENTS else SOURCES[dataset].schema
-    rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == "array" and dataset != EVENTS)
+    rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == PRETTY and dataset != EVENTS)
     return rows.where(_unreadable(schema)).select("raw_file", F.col(CORRUPT).alias("payload"))
 
 

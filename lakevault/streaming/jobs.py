@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lakevault.operators.contract import accepted, parsed, quarantined
 from lakevault.operators.store import VaultStore
 from lakevault.plans.pipeline import load_dataset, load_now
-from lakevault.sources.landing import land_messages
+from lakevault.session import remove, shared_folder
+from lakevault.sources.landing import land_messages, once
 from lakevault.sources.raw import CORRUPT, PARTITIONS, flat_events, with_raw_metadata
 from lakevault.sources.schemas import EVENT_SCHEMA, EVENTS, RECORD_SOURCE
 
@@ -71,14 +73,20 @@ def landing_job(
 ) -> StreamingQuery:
     """Messages into the raw layer, each id once; messages that break the contract into quarantine.
 
-    Both sinks overwrite the folder of their micro-batch, so a repeated micro-batch replaces itself.
+    The checkpoint has an id of its own, kept in it; sinks are folders named after that and the
+    micro-batch, so a repeated micro-batch replaces itself and a new checkpoint touches nothing of an
+    earlier one's. The judged micro-batch is a file until both sinks are written.
     """
+    run = once(spark, f"{checkpoint.rstrip('/')}/run_id", uuid.uuid4().hex)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        judged = parsed(batch).persist()
-        land_messages(accepted(judged), raw_root, batch_id, run_date)
-        quarantined(judged).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-        judged.unpersist()
+        session = batch.sparkSession
+        staged = f"{shared_folder(session)}/lakevault/judged/{run}-{batch_id}"
+        parsed(batch).write.mode("overwrite").parquet(staged)
+        judged = session.read.parquet(staged)
+        land_messages(accepted(judged), raw_root, run, batch_id, run_date)
+        quarantined(judged).write.mode("overwrite").parquet(f"{quarantine}/run={run}/batch={batch_id}")
+        remove(session, staged)
 
     return drain(message_stream(spark, path, files_per_batch).writeStream.foreachBatch(take), checkpoint)
 

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from test_raw import event
 
 from lakevault.operators.contract import (
@@ -99,3 +100,19 @@ def test_a_repaired_message_passes(spark):
     waiting = spark.createDataFrame([row], "message_id string, body string, reasons array<string>, attempt int")
     good, again, _ = redrive(waiting)
     assert good.first()["event_id"] == "e1" and again.isEmpty()
+
+
+def test_events_without_request_id_are_kept_and_amounts_are_bounded(spark):
+    events = spark.createDataFrame(
+        [("r1", 5.0), (None, 5.0), (None, 1e20), ("r2", float("nan"))], "request string, price double"
+    )
+    order = F.struct(F.lit("o").alias("order_id"), F.lit("c").alias("product_category_name"), F.lit("p").alias("product_name"),
+                     F.lit(1).alias("items_count"), F.col("price"), F.lit(1.0).alias("freight_value"))
+    customer = F.struct(*[F.lit("SP").alias(name) for name in ("customer_unique_id", "customer_name", "customer_city", "customer_state", "customer_zip_code_prefix")])
+    payment = F.struct(F.lit("boleto").alias("payment_type"), F.lit(1).alias("payment_installments"))
+    full = events.select("request", F.lit("e").alias("event_id"), F.lit("t").alias("event_type"), F.current_timestamp().alias("event_timestamp"),
+                         customer.alias("customer"), order.alias("order"), payment.alias("payment"))
+    rows = checked_requests(full, "request").collect()
+    assert sorted((r["request"] or "", r["rejected"], r["violations"]) for r in rows) == [
+        ("", True, []), ("", True, ["order.price:maximum"]), ("r1", False, []), ("r2", True, ["order.price:maximum"]),
+    ]

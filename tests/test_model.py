@@ -65,7 +65,7 @@ def test_zip_centroid(spark):
             "geolocation_lng": lng, "geolocation_city": city, "geolocation_state": state,
         }
 
-    points = [point(1, "01310", 1.0, 10.0), point(2, "01310", 3.0, 30.0, "a"), point(3, None, 9.0, 9.0), point(4, "2", None, None)]
+    points = [point(1, "01310", 1.0, 10.0), point(1, "01310", 1.0, 10.0), point(2, "01310", 3.0, 30.0, "a"), point(3, None, 9.0, 9.0), point(4, "2", None, None)]
     found = {r["geolocation_zip_code_prefix"]: r for r in vault_rows(dataset(spark, "geolocation", points), TABLES["ref_geolocation"]).collect()}
     assert set(found) == {"01310", "2"}
     assert (found["01310"]["geolocation_lat"], found["01310"]["geolocation_lng"]) == (2.0, 20.0)

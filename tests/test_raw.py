@@ -2,6 +2,7 @@ import datetime as dt
 import json
 from pathlib import Path
 
+import pytest
 from helpers import LOADED
 
 from lakevault.sources.raw import flat_events, has_files, read_batches, read_events, read_unreadable
@@ -30,7 +31,7 @@ def event(number, **more):
 def test_one_row_per_array_element(spark, folder):
     people = [{"customer_id": "c1", "customer_unique_id": "u1"}, {"customer_id": "c2", "customer_unique_id": "u2"}]
     put(folder, "customers", "120000-000001-page0001.json", json.dumps(people, indent=2))
-    rows = read_batches(spark, folder, "customers", LOADED).collect()
+    rows = read_batches(spark, folder, "customers", LOADED, layout="pretty").collect()
     assert sorted(r["customer_id"] for r in rows) == ["c1", "c2"]
     assert {r["raw_partition_date"] for r in rows} == {dt.date(2026, 7, 10)}
     assert {(r["raw_year"], r["raw_month"], r["raw_day"]) for r in rows} == {("2026", "07", "10")}
@@ -38,6 +39,18 @@ def test_one_row_per_array_element(spark, folder):
     assert all(r["raw_file"].endswith("page0001.json") for r in rows)
 
 
+def test_lines_and_one_line_arrays_side_by_side(spark, folder):
+    put(folder, "sellers", "a.json", '[{"seller_id":"s1"},{"seller_id":"s2"}]')
+    put(folder, "sellers", "b.json", '{"seller_id":"s3"}\n{"seller_id":"s4"}\n')
+    rows = read_batches(spark, folder, "sellers", LOADED).collect()
+    assert sorted(r["seller_id"] for r in rows) == ["s1", "s2", "s3", "s4"]
+    assert {r["seq"]["tie"] for r in rows} == {"2026/month=07/day=10/a.json", "2026/month=07/day=10/b.json"}
+    with pytest.raises(ValueError, match="several values"):
+        read_batches(spark, folder, "sellers", LOADED, layout="pretty")
+    with pytest.raises(ValueError, match="unknown layout"):
+        read_batches(spark, folder, "sellers", LOADED, layout="array")
+
+
 def test_a_broken_file_and_a_bad_value(spark, folder):
     put(folder, "order_items", "a.json", '[{"order_id":"o1","order_item_id":1,"price":"x"},{"order_id":"o2","order_item_id":2,"price":2.5}]')
     put(folder, "order_items", "b.json", '[{"order_id":"o3"},')

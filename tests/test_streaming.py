@@ -80,6 +80,20 @@ def test_messages_are_landed_once_across_days(spark, folder):
     assert [(r["message_id"], r["reasons"], r["attempt"]) for r in bad] == [("m2", ["malformed"], 1)]
 
 
+def test_a_new_checkpoint_deletes_and_repeats_nothing(spark, folder):
+    def run(inbox, check, day):
+        jobs.landing_job(spark, f"{folder}/{inbox}", f"{folder}/raw", f"{folder}/bad", f"{folder}/{check}", day)
+        rows = flat_events(read_events(spark, f"{folder}/raw", LOADED)).collect()
+        return sorted((r["event_id"], r["raw_partition_date"].day) for r in rows)
+
+    put(f"{folder}/in1", "a.json", message(1, at(1, 10)), message(2, at(2, 10)), message(9, "nao-e-json{"))
+    assert run("in1", "check-1", TODAY) == [("e1", 10), ("e2", 10)]
+    put(f"{folder}/in2", "b.json", message(2, at(2, 10)), message(3, at(3, 11)))
+    assert run("in2", "check-2", TODAY + dt.timedelta(days=1)) == [("e1", 10), ("e2", 10), ("e3", 11)]
+    assert run("in2", "check-3", TODAY + dt.timedelta(days=2)) == [("e1", 10), ("e2", 10), ("e3", 11)]
+    assert [r["message_id"] for r in spark.read.parquet(f"{folder}/bad").collect()] == ["m9"]
+
+
 def test_copies_within_the_delay_are_dropped_in_the_stream(spark, folder):
     put(f"{folder}/in", "a.json", message(1, "{}"), message(2, "{}"))
     put(f"{folder}/in", "b.json", message(1, "{}", 5), message(3, "{}", 5))
