@@ -48,11 +48,12 @@ def with_place(rows: DataFrame, store: VaultStore, role: str, columns: Columns)
 
 def dim_customer(store: VaultStore, columns: Columns = None) -> DataFrame:
     """One row per customer account; people are told apart by ``customer_unique_id``."""
-    accounts = (
-        store.read("hub_customer_account").select("customer_account_hk", "customer_id")
-        .join(store.read("link_customer_account").select("customer_account_hk", "customer_hk"), "customer_account_hk")
-        .join(store.read("hub_customer").select("customer_hk", "customer_unique_id"), "customer_hk")
-    )
+    # The link carries both keys and is loaded with both hubs; a hub is read for its business key only.
+    accounts = store.read("link_customer_account").select("customer_account_hk", "customer_hk")
+    if columns is None or "customer_id" in columns:
+        accounts = accounts.join(store.read("hub_customer_account").select("customer_account_hk", "customer_id"), "customer_account_hk")
+    if columns is None or "customer_unique_id" in columns:
+        accounts = accounts.join(store.read("hub_customer").select("customer_hk", "customer_unique_id"), "customer_hk")
     profile = store.current("sat_customer_profile").select(
         "customer_account_hk", "customer_zip_code_prefix", "customer_city", "customer_state"
     )
@@ -101,8 +102,7 @@ def dim_seller(store: VaultStore, columns: Columns = None) -> DataFrame:
     )
 
 
-def fact_order(store: VaultStore, columns: Columns = None) -> DataFrame:
-    """One row per order and account link; orders known from events only have no status."""
+def order_rows(store: VaultStore, orders: DataFrame, columns: Columns) -> DataFrame:
     purchase, delivered = "order_purchase_timestamp", "order_delivered_customer_date"
     status = store.current("sat_order_status").select(
         "order_hk", "order_status", purchase, "order_approved_at", "order_delivered_carrier_date", delivered,
@@ -111,16 +111,26 @@ def fact_order(store: VaultStore, columns: Columns = None) -> DataFrame:
         complete_days(purchase, delivered).alias("dias_ate_entrega"),
         complete_days("order_estimated_delivery_date", delivered).alias("dias_de_atraso"),
     )
+    return narrowed(
+        describe(orders, status, "order_hk", columns), columns,
+        "order_hk", *(["order_id"] if "order_id" in orders.columns else []), "customer_account_hk", "order_status", purchase,
+        "order_approved_at", "order_delivered_carrier_date", delivered, "order_estimated_delivery_date", "order_purchase_date",
+        "dias_ate_entrega", "dias_de_atraso",
+    )
+
+
+def fact_order(store: VaultStore, columns: Columns = None) -> DataFrame:
+    """One row per order and account link; orders known from events only have no status."""
     placed = (
         store.read("hub_order").select("order_hk", "order_id")
         .join(store.read("link_order_customer").select("order_hk", "customer_account_hk"), "order_hk", "left")
     )
-    return narrowed(
-        describe(placed, status, "order_hk", columns), columns,
-        "order_hk", "order_id", "customer_account_hk", "order_status", purchase, "order_approved_at",
-        "order_delivered_carrier_date", delivered, "order_estimated_delivery_date", "order_purchase_date",
-        "dias_ate_entrega", "dias_de_atraso",
-    )
+    return order_rows(store, placed, columns)
+
+
+def account_orders(store: VaultStore, columns: Columns = None) -> DataFrame:
+    """The rows of ``fact_order`` that belong to an account, without the order's own key: the hub is not read."""
+    return order_rows(store, store.read("link_order_customer").select("order_hk", "customer_account_hk"), columns)
 
 
 def fact_order_item(store: VaultStore, columns: Columns = None) -> DataFrame:
@@ -197,6 +207,13 @@ def fact_order_event(store: VaultStore, columns: Columns = None) -> DataFrame:
     )
 
 
+def order_events(store: VaultStore, columns: Columns = None) -> DataFrame:
+    """Event type and time of every event that names an order; neither the hub nor the customer link is read."""
+    context = store.current("sat_event_context").select("event_hk", "event_type", "event_timestamp")
+    events = store.read("link_event_order").select("event_hk", "order_hk")
+    return narrowed(describe(events, context, "event_hk", columns), columns, "event_hk", "order_hk", "event_type", "event_timestamp")
+
+
 def agg_order_event_hourly(store: VaultStore, columns: Columns = None) -> DataFrame:
     """Events per hour, type and category."""
     events = fact_order_event(
@@ -231,9 +248,13 @@ VIEWS: dict[str, Callable[[VaultStore, Columns], DataFrame]] = {
 }
 
 
+# Parts of views for reports that need no more; they are not published.
+PARTS: dict[str, Callable[[VaultStore, Columns], DataFrame]] = {"account_orders": account_orders, "order_events": order_events}
+
+
 def reader(store: VaultStore) -> Callable[..., DataFrame]:
     """``view(name, *columns)`` over a store, the way reports read."""
-    return lambda name, *columns: VIEWS[name](store, columns or None)
+    return lambda name, *columns: (VIEWS | PARTS)[name](store, columns or None)
 
 
 def create_views(store: VaultStore, prefix: str = "") -> list[str]:

@@ -3,10 +3,11 @@ import inspect
 import json
 
 import pytest
-from helpers import dataset, plan
+from conftest import SMALL
+from helpers import dataset, exchanges, plan
 from test_raw import event, put
 
-from lakevault.plans import gold, reports
+from lakevault.plans import gold, registry, reports
 from lakevault.plans.pipeline import load_dataset
 from lakevault.plans.registry import new_store
 from lakevault.session import run_folder
@@ -161,3 +162,16 @@ def test_an_unknown_report_names_the_known_ones():
 def test_views_resolve_before_the_first_load(store):
     store.ensure_all()
     assert all(view(store, None).isEmpty() for view in gold.VIEWS.values())
+
+
+def test_reports_read_no_table_they_do_not_need(spark):
+    registry.vault(spark, SMALL, "customers", "geolocation", "orders", "order_items", "events")
+    view = gold.reader(registry.vault(spark, SMALL))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(reports.run_report("funil_de_eventos", view)) <= 5
+        assert exchanges(reports.run_report("ticket_medio_por_estado", view)) <= 10
+        for name in ("funil_de_eventos", "ticket_medio_por_estado"):
+            assert "hub_" not in plan(reports.run_report(name, view))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
