@@ -102,22 +102,25 @@ class QualityModel:
         return np.where(np.isnan(chance), self.base, 1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * odds))))
 
 
-def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, rounds: int = 150) -> QualityModel | None:
-    """Fit the model to texts of known quality (columns text, quality: 1 good, 0 bad); None without any.
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, rounds: int = 150) -> QualityModel | None:
+    """Fit the model to documents (doc_id, text) of known quality (doc_id, quality: 1 good, 0 bad); None without any.
 
-    All lines of a text take its label. Fitted on the driver to a sample of about ``sample_rows`` texts of each
-    label (twice that at most), of at most ``sample_bytes`` bytes each; which rows it takes depends on their
-    contents alone. The share of good labels, over all rows, is the score of a text without lines.
+    All lines of a text take its label. Fitted on the driver to a sample of about ``sample_rows`` labels of each
+    kind (twice that at most) whose texts have at most ``sample_bytes`` bytes; which labels it takes depends on
+    their contents alone. The sampled labels are brought to the documents, so no text is exchanged. The share of
+    good labels, over all rows, is the score of a text without lines.
     """
-    usable = labelled.select("text", F.col("quality").cast("int").alias("quality")).where("text is not null and quality in (0, 1)")
+    usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
     counts = {row["quality"]: row["count"] for row in usable.groupBy("quality").count().collect()}
     if not counts:
         return None
     base = counts.get(1, 0) / sum(counts.values())
-    places = F.pmod(F.xxhash64("text", "quality"), F.lit(1_000_000))
+    places = F.pmod(F.xxhash64("doc_id", "quality"), F.lit(1_000_000))
     share = F.create_map(*[F.lit(x) for label, n in sorted(counts.items()) for x in (label, int(1e6 * min(1.0, sample_rows / n)) + 1)])
-    usable = usable.where(F.octet_length("text") <= sample_bytes).where(places < share[F.col("quality")])
-    sample = usable.orderBy(places, "text", "quality").limit(2 * sample_rows * len(counts)).collect()
+    most = 2 * sample_rows * len(counts)
+    chosen = usable.where(places < share[F.col("quality")]).orderBy(places, "doc_id", "quality").limit(most)
+    texts_ = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes))
+    sample = texts_.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id", "quality"), "text", "quality").limit(most).collect()
     found, sizes, lines = line_features([row["text"] for row in sample])
     width = found.shape[1]
     flat = QualityModel(np.ones(width), np.zeros((width, 2)), np.zeros((2, 2)), np.zeros(2), (0.0, 0.0), base)

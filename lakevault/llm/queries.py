@@ -52,7 +52,7 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     labels = _table(spark, folder, "labels").where(_remainder(3) != 1).select("doc_id", "quality")
-    model = quality.train(docs.join(labels, "doc_id"))
+    model = quality.train(docs, labels)
     rows = docs.select("doc_id", "text", held_out.alias("held_out"))
     return quality.score_quality(rows, model).select("doc_id", "held_out", "score", "predicted")
 

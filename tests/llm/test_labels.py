@@ -70,16 +70,17 @@ def test_quality_of_held_out_texts(spark):
 
 def test_quality_of_odd_texts(spark):
     docs = spark.createDataFrame([(k, text, "x") for k, text in enumerate([None, "", " \n ", "a" * 200_000, "One line."])], "doc_id long, text string, score string")
-    good = spark.createDataFrame([("A sentence of words.", 1)] * 3, "text string, quality int")
-    for model in (None, quality.train(good), quality.train(good.union(good.selectExpr("'###'", "0")))):
+    texts = spark.createDataFrame([(1, "A sentence of words."), (2, "###"), (2, "###"), (3, None), (None, "x")], "doc_id long, text string")
+    good = spark.createDataFrame([(1, 1), (1, 1), (3, 1), (9, 1), (None, 0)], "doc_id long, quality int")
+    for model in (None, quality.train(texts, good), quality.train(texts, good.union(good.selectExpr("doc_id + 1", "0")))):
         rows = quality.score_quality(docs, model).collect()
         assert len(rows) == 5 and all(0 <= row["score"] <= 1 for row in rows)
-    assert quality.train(good.limit(0)) is None
+    assert quality.train(texts, good.limit(0)) is None
 
 
-QUESTION = "Today Anna Miller drives 120 km from Rome to Bern in 3 hours and then rests for 2 hours before she drives another 45 km with Anna as before"
-CHANGED = "Today Tom Baker drives 250 miles from Oslo to Kiel in 7 minutes and then rests for 4 minutes before she drives another 33 miles with Tom as before"
-TORN = "Today Tom Baker drives 250 miles from Oslo to Kiel in 7 minutes and then rests for 4 minutes before she drives another 33 miles with Eve as before"
+QUESTION = "Today Anna Miller drives 120 km from Rome to Bern in 3 hours and then rests for 2 hours before she drives another 45 km while people look for Anna in the hall and ask for Anna at the door"
+CHANGED = "Today Tom Baker drives 250 miles from Oslo to Kiel in 7 minutes and then rests for 4 minutes before she drives another 33 miles while people look for Tom in the hall and ask for Tom at the door"
+TORN = "Today Tom Baker drives 250 miles from Oslo to Kiel in 7 minutes and then rests for 4 minutes before she drives another 33 miles while people look for Tom in the hall and ask for Eve at the door"
 
 
 def test_questions_are_found_with_other_numbers_names_and_units(spark):
