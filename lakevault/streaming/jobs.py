@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakevault.operators.contract import accepted, parsed, quarantined
+from lakevault.operators.contract import accepted, parsed, quarantined, redrive
 from lakevault.operators.store import VaultStore
 from lakevault.plans.pipeline import load_dataset, load_now
 from lakevault.session import remove, shared_folder
 from lakevault.sources.landing import land_messages, once
-from lakevault.sources.raw import CORRUPT, PARTITIONS, flat_events, with_raw_metadata
+from lakevault.sources.raw import CORRUPT, PARTITIONS, flat_events, has_files, with_raw_metadata
 from lakevault.sources.schemas import EVENT_SCHEMA, EVENTS, RECORD_SOURCE
 
 
@@ -91,6 +91,26 @@ def landing_job(
     return drain(message_stream(spark, path, files_per_batch).writeStream.foreachBatch(take), checkpoint)
 
 
+def redrive_job(spark: SparkSession, raw_root: str, quarantine: str, run_date: dt.date) -> dict[str, int]:
+    """Judge all quarantined messages again: the good ones are landed, the others wait on or are given up.
+
+    The new quarantine is written before the files it was made from are deleted; a run that dies in between
+    leaves messages twice in quarantine, and landing takes each id once.
+    """
+    if not has_files(spark, quarantine):
+        return {"landed": 0, "waiting": 0, "given_up": 0}
+    run = f"redrive-{uuid.uuid4().hex}"
+    held = spark.read.schema("message_id string, body string, reasons array<string>, attempt int").parquet(quarantine)
+    files = [row["file"] for row in held.select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
+    good, again, spent = redrive(held.select("message_id", "body", "reasons", "attempt").dropDuplicates(["message_id"]))
+    counts = {"landed": good.count(), "waiting": again.count(), "given_up": spent.count()}
+    land_messages(good, raw_root, run, 0, run_date)
+    again.unionByName(spent).write.parquet(f"{quarantine}/run={run}/batch=0")
+    for file in files:
+        remove(spark, file)
+    return counts
+
+
 def distinct_messages(messages: DataFrame, delay: str) -> DataFrame:
     """Each message id once, as long as copies are sent within ``delay`` of each other."""
     return messages.withWatermark("sent_at", delay).dropDuplicatesWithinWatermark(["message_id"])
