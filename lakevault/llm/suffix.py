@@ -32,7 +32,7 @@ from lakevault.llm.shingles import VALUES, bytes_of, mix, powers
 
 LENGTH, GRAM = 100, 32
 CHUNK = 1 << 19  # bytes handled at once; positions in a chunk need 20 bits
-BLOCK = 3 << 20  # bytes of an index block; one anchor's fragments are not split
+BLOCK = 2 << 20  # bytes of an index block; one anchor's fragments are not split
 HOT = 20_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -117,19 +117,43 @@ def fragments(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def find_fragments(docs: DataFrame) -> DataFrame:
-    """Fragments of all texts: anchor, frag (hashes), doc_id, start (of the first string), many (strings)."""
+    """Fragments of all texts: anchor, frag (hashes), doc_id, start (of the first string), many (strings), key (to deal them out by).
+
+    Of equal fragments in one chunk only the first has to meet others. The rest are repeats already: they have no
+    anchor and are dealt out evenly, so a fragment that is everywhere makes no task larger than a chunk's firsts do.
+    """
 
     def run(batches):
         for batch in batches:
             for data, ids, begins, offsets in chunks(batch):
                 anchor, frag, start, many, owner = fragments(data, begins)
+                doc, start = ids[owner], start - begins[owner] + offsets[owner]
+                order = np.lexsort((start, doc, frag, anchor))
+                repeat = np.zeros(len(order), bool)
+                repeat[order], _ = repeats_of(anchor[order], frag[order], doc[order], start[order], None)
+                key = np.where(repeat, mix(frag ^ mix(doc.view(np.uint64) + start.astype(np.uint64))), anchor)
                 columns = [
-                    pa.array(anchor.view(np.int64)), pa.array(frag.view(np.int64)), pa.array(ids[owner]),
-                    pa.array(start - begins[owner] + offsets[owner]), pa.array(many.astype(np.int32)),
+                    pa.array(anchor.view(np.int64), mask=repeat), pa.array(frag.view(np.int64)), pa.array(doc),
+                    pa.array(start), pa.array(many.astype(np.int32)), pa.array(key.view(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "frag", "doc_id", "start", "many"])
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "frag", "doc_id", "start", "many", "key"])
 
-    return docs.mapInArrow(run, "anchor long, frag long, doc_id long, start long, many int")
+    return docs.mapInArrow(run, "anchor long, frag long, doc_id long, start long, many int, key long")
+
+
+def repeats_of(anchor: np.ndarray, frag: np.ndarray, doc: np.ndarray, start: np.ndarray, first: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Of sorted fragments those that an equal one precedes, and (anchor, frag, doc, start) of the last group's first.
+
+    ``first`` is that of the rows before. The same place (of an id that occurs twice) does not precede itself.
+    """
+    new = np.ones(len(anchor), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (frag[1:] != frag[:-1])
+    new[0] = first is None or (anchor[0], frag[0]) != first[:2]
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+    own = first or (0, 0, 0, 0)
+    first_doc, first_start = np.where(lead < 0, own[2], doc[lead]), np.where(lead < 0, own[3], start[lead])
+    at = lead[-1]
+    return ~new & ((doc != first_doc) | (start != first_start)), own if at < 0 else (anchor[at], frag[at], doc[at], start[at])
 
 
 def settle(found: DataFrame) -> DataFrame:
@@ -139,7 +163,7 @@ def settle(found: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        held, several, last = None, False, None
+        held, several, first = None, False, None
         names = ["anchor", "doc_id", "start", "many"]
 
         def out(columns, mask, keep_anchor):
@@ -150,16 +174,21 @@ def settle(found: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
+            known = batch.column("anchor").is_valid().to_numpy(zero_copy_only=False)
+            if not known.all():  # they come first
+                repeats_ = [batch.column(k).filter(pa.array(~known)).to_numpy(zero_copy_only=False) for k in range(5)]
+                yield out(repeats_, np.ones(int((~known).sum()), bool), False)
+                batch = batch.filter(pa.array(known))
+                if not batch.num_rows:
+                    continue
             columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
             anchor, frag, doc, start, _ = columns
             new = np.ones(len(anchor), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (frag[1:] != frag[:-1])
-            if last is not None:
-                new[0] = (anchor[0], frag[0]) != last[:2]
-            last = (anchor[-1], frag[-1])
-            # Rows that share the very place (ids that occur twice) are no earlier occurrence of each other.
-            if not new.all():
-                yield out(columns, ~new, False)
+            new[0] = first is None or (anchor[0], frag[0]) != first[:2]
+            repeat, first = repeats_of(anchor, frag, doc, start, first)
+            if repeat.any():
+                yield out(columns, repeat, False)
             kept = [column[new] for column in columns]
             if held is not None:
                 kept = [np.concatenate([[before], column]) for before, column in zip(held, kept)]
@@ -177,7 +206,7 @@ def settle(found: DataFrame) -> DataFrame:
         if held is not None and several:
             yield out([np.array([value]) for value in held], np.array([True]), True)
 
-    spread = found.repartition("anchor").sortWithinPartitions("anchor", "frag", "doc_id", "start")
+    spread = found.repartition("key").sortWithinPartitions("anchor", "frag", "doc_id", "start")
     return spread.mapInArrow(run, "anchor long, doc_id long, start long, many int")
 
 
@@ -382,7 +411,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     wanted = mixed.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     pieces = stage(cut_out(docs, wanted), "fragment-bytes")
     indexed = resolve(pieces.where("bytes is not null").select("anchor", "doc_id", "start", "bytes"))
-    single = settle(pieces.where("bytes is null").select("anchor", "frag", "doc_id", "start", F.lit(1).alias("many"))).where("anchor is null")
+    # Strings of a hot anchor are dealt out by their own hash; equal ones still meet.
+    single = settle(pieces.where("bytes is null").select("anchor", "frag", "doc_id", "start", F.lit(1).alias("many"), F.col("frag").alias("key"))).where("anchor is null")
     plain = settled.where("anchor is null").select("doc_id", "start", "many")
     return plain.unionByName(indexed).unionByName(single.select("doc_id", "start", "many"))
 

@@ -163,7 +163,9 @@ def test_run_index_finds_first_occurrences(seed):
 
 def test_rows_without_id_and_empty_tables(spark):
     text = "".join(random.Random(8).choices("abcdefgh ", k=150))
-    docs = spark.createDataFrame([(None, text), (3, text), (3, text), (5, None)], "doc_id long, text string")
+    docs = spark.createDataFrame([(None, text), (3, text), (3, text), (5, None)], "doc_id long, text string").repartition(2)
     found = sorted(((row["doc_id"], row["n_removed"], row["n_spans"]) for row in suffix.remove_repeats(docs).collect()), key=str)
     assert found == sorted([(None, 0, 0), (3, 150, 1), (3, 150, 1), (5, 0, 0)], key=str)
+    twice = docs.where("doc_id = 3")
+    assert [(row["n_removed"], row["n_spans"]) for row in suffix.remove_repeats(twice).collect()] == [(0, 0)] * 2
     assert suffix.remove_repeats(docs.limit(0)).count() == 0
