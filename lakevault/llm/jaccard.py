@@ -31,6 +31,7 @@ from lakevault.llm.shingles import by_row, mix, windows
 # Hash buckets in which words are counted for the order; 8 MB in every task, whatever the input.
 BUCKETS, PARTS = 1 << 21, 16
 SHIFT = np.uint64(64 - 21)
+FEW = 8  # documents of a shingle whose pairs are all looked at
 MEMBERS = 256  # documents that meet one copy of a leader's text
 
 
@@ -213,7 +214,8 @@ def crossing(spread: DataFrame, percent: int, star: bool) -> DataFrame:
     """Pairs of documents of different components that meet at a shingle and pass the filters.
 
     ``spread`` is exchanged by token and sorted by token and n, and has a column component. With ``star`` not all
-    of them: each document outside a shingle's largest component with one inside.
+    of them: each document outside a shingle's largest component with one inside, for shingles of more than
+    ``FEW`` documents.
     """
 
     def rays(token, doc, n, at, component):
@@ -258,7 +260,22 @@ def crossing(spread: DataFrame, percent: int, star: bool) -> DataFrame:
             token = columns[0]
             borders = [0, *(np.flatnonzero(np.diff(token)) + 1).tolist(), len(token)]
             component = columns[4]
+            sizes = np.diff(borders)
             mixed = np.minimum.reduceat(component, borders[:-1]) != np.maximum.reduceat(component, borders[:-1])
+            if not star:
+                # Small groups all at once: each row with the next ones of its group.
+                few = np.repeat(mixed & (sizes <= FEW), sizes)
+                doc, n, place = columns[1], columns[2].astype(np.int64), columns[3].astype(np.int64)
+                found = []
+                for step in range(1, FEW):
+                    x = np.flatnonzero(few[:-step] & (token[:-step] == token[step:]) & (component[:-step] != component[step:]))
+                    y = x + step
+                    near = (np.minimum(n[x] - place[x], n[y] - place[y]) >= needed(n[x] + n[y], percent)) & (100 * n[x] >= percent * n[y])
+                    found.append(np.stack([np.minimum(doc[x], doc[y])[near], np.maximum(doc[x], doc[y])[near]], 1))
+                found = np.unique(np.concatenate(found), axis=0)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["leader", "doc_id"])
+            mixed &= sizes > FEW
             for at in np.flatnonzero(mixed).tolist():
                 part = slice(borders[at], borders[at + 1])
                 pairs = rays(token[borders[at]], columns[1][part], columns[2][part].astype(np.int64), columns[3][part].astype(np.int64), component[part]) if star else group(columns[1][part], columns[2][part].astype(np.int64), columns[3][part].astype(np.int64), component[part])
