@@ -210,16 +210,17 @@ def leaders(spread: DataFrame, percent: int) -> DataFrame:
     return spread.mapInArrow(run, "token long, doc_id long, n int, at int, leader long")
 
 
-def crossing(spread: DataFrame, percent: int, star: bool) -> DataFrame:
+def crossing(spread: DataFrame, percent: int, star: int) -> DataFrame:
     """Pairs of documents of different components that meet at a shingle and pass the filters.
 
-    ``spread`` is exchanged by token and sorted by token and n, and has a column component. With ``star`` not all
-    of them: each document outside a shingle's largest component with one inside, for shingles of more than
+    ``spread`` is exchanged by token and sorted by token and n, and has a column component. With ``star`` (the
+    number of the round) not all of them: each document outside a shingle's largest component with one inside, for shingles of more than
     ``FEW`` documents.
     """
 
     def rays(token, doc, n, at, component):
         kinds, sizes = np.unique(component, return_counts=True)
+        token = token ^ star << 40  # other choices in each round
         spin = mix((kinds ^ token).view(np.uint64))
         largest = kinds[np.lexsort((spin, sizes))[-1]]
         major, minor = np.flatnonzero(component == largest), np.flatnonzero(component != largest)
@@ -315,16 +316,13 @@ def bound(x: np.ndarray, y: np.ndarray, depth: int = 3) -> int:
 def verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those pairs (leader, doc_id; each once) whose sets are similar, as links a, b.
 
-    Texts of the documents concerned are staged, then brought to their pairs: a leader's text is sent once for
-    about ``MEMBERS`` documents, so a document that leads very many is spread over many tasks.
+    Texts are brought to their pairs: a leader's text is sent once for about ``MEMBERS`` documents, so a document
+    that leads very many is spread over many tasks.
     """
-    pairs = stage(pairs, "pairs")
     salted = pairs.groupBy("leader").agg(F.count("*").alias("many")).join(pairs, "leader")
     salted = stage(salted.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.ceil(F.col("many") / MEMBERS)).cast("long")).cast("int")).drop("many"), "pairs")
     heads = salted.select("leader", "salt").distinct().select(F.col("leader").alias("doc_id"), "leader", "salt")
-    needs = salted.unionByName(heads).select("doc_id").distinct()
-    held = stage(docs.join(needs, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "pair-texts")
-    rows = salted.unionByName(heads).join(held, "doc_id").select("leader", "salt", "doc_id", "text")
+    rows = salted.unionByName(heads).join(docs, "doc_id").select("leader", "salt", "doc_id", "text")
     rows = rows.repartition("leader", "salt").sortWithinPartitions("leader", "salt", (F.col("doc_id") != F.col("leader")), "doc_id")
 
     def run(batches):
@@ -365,16 +363,19 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_column:
     copies = info.join(copies.where("first != last"), ["n", "a", "b"]).where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     spread = postings(rows, order, size, percent).repartition("token").sortWithinPartitions("token", "n", "doc_id")
     met = stage(leaders(spread, percent), "postings")
+    # Texts that share a prefix shingle with another one; all verification is among them.
+    shared = met.where("leader is null").select("doc_id").distinct()
+    held = stage(rows.join(shared, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "pair-texts")
     pairs = met.where("leader is not null").select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id"))
     pairs = stage(pairs.distinct(), "pairs")
-    joined = components(stage(verify(pairs, rows, size, percent).unionByName(copies), "first-links"))
-    for star in (True, False):
+    joined = components(stage(verify(pairs, held, size, percent).unionByName(copies), "first-links"))
+    for star in (1, 2, 0):
         shared = met.where("leader is null").select("token", "doc_id", "n", "at").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         shared = shared.withColumn("component", F.coalesce("component", "doc_id")).select("token", "doc_id", "n", "at", "component")
         again = crossing(shared.repartition("token").sortWithinPartitions("token", "n", "doc_id"), percent, star)
         again = stage(again.distinct().join(pairs, ["leader", "doc_id"], "left_anti"), "crossing")
         if not again.isEmpty():
-            more = stage(verify(again, rows, size, percent), "links")
+            more = stage(verify(again, held, size, percent), "links")
             pairs = pairs.unionByName(again)
             if not more.isEmpty():
                 joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
