@@ -1,5 +1,6 @@
 """Language, quality, benchmark leaks, shards and neighbours."""
 import random
+import re
 
 import numpy as np
 import pytest
@@ -164,3 +165,20 @@ def test_neighbours_of_odd_vectors(spark):
     few = frame.where("vec_id in (0, 1)")
     assert [(row["query_id"], row["vec_id"]) for row in neighbours.nearest(few, few.where("vec_id = 0")).collect()] == [(0, 1)]
     assert neighbours.nearest(frame.limit(0), frame).count() == 0
+
+
+def test_edited_stripped_capitalised_and_partial_copies_are_found(spark):
+    item = (
+        "The garden behind our old house was full of apple trees. Every autumn the children of Mrs Brown came over with baskets "
+        "and picked as many as they could carry. Paul once fell out of the tallest tree and broke both arms. Nobody climbed it again."
+    )
+    words = item.split()
+    edited = " ".join("exchanged" if k in (9, 30) else word for k, word in enumerate(words))
+    inserted = " ".join([*words[:12], "and", "so", "on", *words[12:]])
+    texts = [item, edited, inserted, re.sub(r"[^\w\s]", "", item), item.upper(), item.lower(), " ".join(words[:24]), " ".join(words[20:]), " ".join(words[:9])]
+    around = "Some other text of plain words stands in front"
+    docs = spark.createDataFrame([(k, f"{around} {text} {around}") for k, text in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = leaks(docs, items).collect()
+    assert {row["doc_id"] for row in found} == set(range(8))
+    assert all(0.35 <= row["coverage"] <= 1 and row["windows"] >= row["matched"] for row in found)
