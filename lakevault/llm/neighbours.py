@@ -93,8 +93,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, wanted: int = 20, pivots: in
         return empty(spark, RESULT)
     width = lengths["width"]
     rows = rows.where(F.size("embedding") == width)
-    sample = rows.orderBy(F.xxhash64("embedding"), "vec_id").limit(pivots).collect()
-    anchors = np.unique(np.array([row["embedding"] for row in sample]), axis=0)
+    # Copies and multiples of a vector are one direction: they must not take each other's seats.
+    scaled = rows.select(F.transform("embedding", lambda x: x / F.array_max(F.transform("embedding", F.abs))).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x))
+    directions = scaled.select(F.transform("v", lambda x: F.round(x / norm, 6)).alias("v")).distinct()
+    sample = directions.orderBy(F.xxhash64("v"), "v").limit(pivots).collect()
+    anchors = np.array([row["v"] for row in sample])
     anchors /= np.sqrt((anchors**2).sum(1, keepdims=True))
     shards = max(1, -(-rows.count() // shard_rows))
     index = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "vec_id", "embedding")

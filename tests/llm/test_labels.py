@@ -182,3 +182,27 @@ def test_edited_stripped_capitalised_and_partial_copies_are_found(spark):
     found = leaks(docs, items).collect()
     assert {row["doc_id"] for row in found} == set(range(8))
     assert all(0.35 <= row["coverage"] <= 1 and row["windows"] >= row["matched"] for row in found)
+
+
+def recall_of(rows, vectors, wanted=20):
+    hits = total = 0
+    found = rows.toPandas()
+    for query, part in found.groupby("query_id"):
+        scores = (vectors @ vectors[query]).round(12)
+        scores[query] = -np.inf
+        hits, total = hits + len(set(np.argsort(-scores, kind="stable")[:wanted].tolist()) & set(part["vec_id"])), total + wanted
+    return hits / total
+
+
+def around_centres(rows, seed):
+    """Unit vectors around 60 centres."""
+    chance = np.random.default_rng(seed)
+    vectors = chance.normal(size=(60, 16))[chance.integers(0, 60, rows)] + 0.5 * chance.normal(size=(rows, 16))
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def test_groups_of_copies_do_not_use_up_the_pivots(spark):
+    vectors = around_centres(100, 1)[np.arange(6000) % 100]
+    frame = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(vectors)], "vec_id long, embedding array<double>")
+    asked = frame.where("vec_id >= 5900")
+    assert recall_of(neighbours.nearest(frame, asked, pivots=32, prefix=16, share=0.05, least=300), vectors) >= 0.9
