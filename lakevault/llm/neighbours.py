@@ -6,6 +6,10 @@ distance of two such lists (pivots that one of them lacks count as just behind i
 they share, the more so the further ahead it stands in both. The vectors of smallest distance are reranked by
 their exact inner product.
 
+Lists tell directions apart, not lengths, but long vectors have large inner products. So a shard is cut into bands of
+about equal length, each with an index and candidates of its own; a query goes through them from the longest on and
+stops where a band's length times its own bounds all scores below those found.
+
 The index is cut by vector into shards of about ``SHARD_ROWS`` rows; each task holds the postings of one shard at a
 time and streams all queries past it, so memory does not grow with vectors or queries.
 """
@@ -20,8 +24,10 @@ from lakevault.llm.common import empty, stage
 
 PIVOTS, PREFIX = 256, 96
 SHARD_ROWS = 20_000
-# Candidates of a shard that are reranked: a share of its rows, and a number at least.
+# Candidates of a band that are reranked: a share of its rows, and a number at least.
 SHARE, LEAST = 0.05, 1000
+# The longest vector of a band is longer than the shortest by this factor at most.
+BAND = 1.25
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -76,6 +82,38 @@ class Shard:
         return self.ids[rows[best]], scores[best]
 
 
+def norms(vectors: np.ndarray) -> np.ndarray:
+    top = np.abs(vectors).max(1, keepdims=True)
+    return top[:, 0] * np.sqrt(((vectors / top) ** 2).sum(1))
+
+
+class Bands:
+    """Shards of vectors of about equal length, the longest first, each with the length that none of it exceeds."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, prefix: int):
+        lengths = norms(vectors)
+        order = np.argsort(-lengths, kind="stable")
+        self.bands, start = [], 0
+        while start < len(order):
+            end = int(np.searchsorted(-lengths[order], -lengths[order[start]] / BAND, side="right"))
+            rows = order[start:end]
+            self.bands.append((float(lengths[order[start]]), Shard(ids[rows], vectors[rows], pivots, prefix)))
+            start = end
+
+    def search(self, own: int, vector: np.ndarray, own_list: np.ndarray, wanted: int, share: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+        ids, scores = np.empty(0, np.int64), np.empty(0)
+        length = float(norms(vector[None])[0])
+        for longest, shard in self.bands:
+            # (A little more than the bound, for rounding.)
+            if len(ids) == wanted and scores[-1] > longest * length * (1 + 1e-9):
+                break
+            found = shard.search(own, vector, own_list, wanted, max(least, int(share * len(shard.ids)), wanted + 1))
+            ids, scores = np.concatenate([ids, found[0]]), np.concatenate([scores, found[1]])
+            best = np.lexsort((ids, -scores))[:wanted]
+            ids, scores = ids[best], scores[best]
+        return ids, scores
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, wanted: int = 20, pivots: int = PIVOTS, prefix: int = PREFIX, shard_rows: int = SHARD_ROWS, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """The ``wanted`` nearest rows of ``vectors`` found for each row of ``queries``: query_id, rank (from 1), vec_id, score.
 
@@ -114,7 +152,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, wanted: int = 20, pivots: in
             all_ids, all_vectors = np.concatenate(ids), np.concatenate(parts)
             keep = np.ones(len(all_ids), bool)  # rows come by id, so repeated ones stand together
             keep[1:] = (all_ids[1:] != all_ids[:-1]) | (all_vectors[1:] != all_vectors[:-1]).any(1)
-            return Shard(all_ids[keep], all_vectors[keep], anchors, prefix)
+            return Bands(all_ids[keep], all_vectors[keep], anchors, prefix)
 
         for batch in batches:
             if not batch.num_rows:
@@ -132,8 +170,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, wanted: int = 20, pivots: in
                 if not ids:
                     continue
                 shard = shard or built()
-                candidates = max(least, int(share * len(shard.ids)), wanted)
-                found = [shard.search(own[k], block[k], own_list, wanted, candidates) for k, own_list in enumerate(permutations(block, anchors, prefix))]
+                found = [shard.search(own[k], block[k], own_list, wanted, share, least) for k, own_list in enumerate(permutations(block, anchors, prefix))]
                 asked = np.repeat(own, [len(part) for part, _ in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(asked), pa.array(np.concatenate([part for part, _ in found])), pa.array(np.concatenate([scores for _, scores in found]))], ["query_id", "vec_id", "score"]

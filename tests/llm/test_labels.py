@@ -206,3 +206,10 @@ def test_groups_of_copies_do_not_use_up_the_pivots(spark):
     frame = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(vectors)], "vec_id long, embedding array<double>")
     asked = frame.where("vec_id >= 5900")
     assert recall_of(neighbours.nearest(frame, asked, pivots=32, prefix=16, share=0.05, least=300), vectors) >= 0.9
+
+
+@pytest.mark.parametrize("sigma", [0.25, 1.0])
+def test_neighbours_of_unequal_lengths(spark, sigma):
+    vectors = around_centres(8000, 2) * np.exp(sigma * np.random.default_rng(3).normal(size=(8000, 1)))
+    frame = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(vectors)], "vec_id long, embedding array<double>")
+    assert recall_of(neighbours.nearest(frame, frame.where("vec_id % 100 = 0"), share=0.05, least=100), vectors) >= 0.9
