@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakevault.llm.common import stage
 from lakevault.llm.shingles import VALUES, bytes_of, mix, powers
+from lakevault.operators.merge import fits_broadcast
 
 LENGTH, GRAM = 100, 32
 CHUNK = 1 << 19  # bytes handled at once; positions in a chunk need 20 bits
@@ -117,7 +118,7 @@ def fragments(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def find_fragments(docs: DataFrame) -> DataFrame:
-    """Fragments of all texts: anchor, frag (hashes), doc_id, start (of the first string), many (strings), key (to deal them out by).
+    """Fragments of all texts: anchor, frag (hashes), doc_id, number, start (of the first string), many (strings), key (to deal them out by).
 
     Of equal fragments in one chunk only the first has to meet others. The rest are repeats already: they have no
     anchor and are dealt out evenly, so a fragment that is everywhere makes no task larger than a chunk's firsts do.
@@ -125,35 +126,38 @@ def find_fragments(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for data, ids, begins, offsets in chunks(batch):
+            keys = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("doc_id", "number")]
+            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column("text")], ["doc_id", "text"])
+            for data, ids, begins, offsets in chunks(rows):
                 anchor, frag, start, many, owner = fragments(data, begins)
-                doc, start = ids[owner], start - begins[owner] + offsets[owner]
-                order = np.lexsort((start, doc, frag, anchor))
+                doc, number = (key[ids[owner]] for key in keys)
+                start = start - begins[owner] + offsets[owner]
+                order = np.lexsort((start, number, doc, frag, anchor))
                 repeat = np.zeros(len(order), bool)
-                repeat[order], _ = repeats_of(anchor[order], frag[order], doc[order], start[order], None)
-                key = np.where(repeat, mix(frag ^ mix(doc.view(np.uint64) + start.astype(np.uint64))), anchor)
+                repeat[order], _ = repeats_of(anchor[order], frag[order], doc[order], number[order], start[order], None)
+                key = np.where(repeat, mix(frag ^ mix((doc.view(np.uint64) ^ mix(number.view(np.uint64))) + start.astype(np.uint64))), anchor)
                 columns = [
-                    pa.array(anchor.view(np.int64), mask=repeat), pa.array(frag.view(np.int64)), pa.array(doc),
+                    pa.array(anchor.view(np.int64), mask=repeat), pa.array(frag.view(np.int64)), pa.array(doc), pa.array(number),
                     pa.array(start), pa.array(many.astype(np.int32)), pa.array(key.view(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "frag", "doc_id", "start", "many", "key"])
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "frag", "doc_id", "number", "start", "many", "key"])
 
-    return docs.mapInArrow(run, "anchor long, frag long, doc_id long, start long, many int, key long")
+    return docs.mapInArrow(run, "anchor long, frag long, doc_id long, number long, start long, many int, key long")
 
 
-def repeats_of(anchor: np.ndarray, frag: np.ndarray, doc: np.ndarray, start: np.ndarray, first: tuple | None) -> tuple[np.ndarray, tuple]:
-    """Of sorted fragments those that an equal one precedes, and (anchor, frag, doc, start) of the last group's first.
+def repeats_of(anchor: np.ndarray, frag: np.ndarray, doc: np.ndarray, number: np.ndarray, start: np.ndarray, first: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Of sorted fragments those that an equal one precedes, and (anchor, frag, doc, number, start) of the last group's first.
 
-    ``first`` is that of the rows before. The same place (of an id that occurs twice) does not precede itself.
+    ``first`` is that of the rows before. The same place (of a row that occurs twice) does not precede itself.
     """
     new = np.ones(len(anchor), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (frag[1:] != frag[:-1])
     new[0] = first is None or (anchor[0], frag[0]) != first[:2]
     lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
-    own = first or (0, 0, 0, 0)
-    first_doc, first_start = np.where(lead < 0, own[2], doc[lead]), np.where(lead < 0, own[3], start[lead])
+    own = first or (0, 0, 0, 0, 0)
+    first_doc, first_number, first_start = (np.where(lead < 0, before, values[lead]) for before, values in zip(own[2:], (doc, number, start)))
     at = lead[-1]
-    return ~new & ((doc != first_doc) | (start != first_start)), own if at < 0 else (anchor[at], frag[at], doc[at], start[at])
+    return ~new & ((doc != first_doc) | (number != first_number) | (start != first_start)), own if at < 0 else (anchor[at], frag[at], doc[at], number[at], start[at])
 
 
 def settle(found: DataFrame) -> DataFrame:
@@ -164,29 +168,29 @@ def settle(found: DataFrame) -> DataFrame:
 
     def run(batches):
         held, several, first = None, False, None
-        names = ["anchor", "doc_id", "start", "many"]
+        names = ["anchor", "doc_id", "number", "start", "many"]
 
         def out(columns, mask, keep_anchor):
             size = int(mask.sum())
             anchor = pa.array(columns[0][mask]) if keep_anchor else pa.nulls(size, pa.int64())
-            return pa.RecordBatch.from_arrays([anchor, pa.array(columns[2][mask]), pa.array(columns[3][mask]), pa.array(columns[4][mask].astype(np.int32))], names)
+            return pa.RecordBatch.from_arrays([anchor, *(pa.array(columns[k][mask]) for k in (2, 3, 4)), pa.array(columns[5][mask].astype(np.int32))], names)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             known = batch.column("anchor").is_valid().to_numpy(zero_copy_only=False)
             if not known.all():  # they come first
-                repeats_ = [batch.column(k).filter(pa.array(~known)).to_numpy(zero_copy_only=False) for k in range(5)]
+                repeats_ = [batch.column(k).filter(pa.array(~known)).to_numpy(zero_copy_only=False) for k in range(6)]
                 yield out(repeats_, np.ones(int((~known).sum()), bool), False)
                 batch = batch.filter(pa.array(known))
                 if not batch.num_rows:
                     continue
-            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
-            anchor, frag, doc, start, _ = columns
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+            anchor, frag, doc, number, start, _ = columns
             new = np.ones(len(anchor), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (frag[1:] != frag[:-1])
             new[0] = first is None or (anchor[0], frag[0]) != first[:2]
-            repeat, first = repeats_of(anchor, frag, doc, start, first)
+            repeat, first = repeats_of(anchor, frag, doc, number, start, first)
             if repeat.any():
                 yield out(columns, repeat, False)
             kept = [column[new] for column in columns]
@@ -206,8 +210,8 @@ def settle(found: DataFrame) -> DataFrame:
         if held is not None and several:
             yield out([np.array([value]) for value in held], np.array([True]), True)
 
-    spread = found.repartition("key").sortWithinPartitions("anchor", "frag", "doc_id", "start")
-    return spread.mapInArrow(run, "anchor long, doc_id long, start long, many int")
+    spread = found.repartition("key").sortWithinPartitions("anchor", "frag", "doc_id", "number", "start")
+    return spread.mapInArrow(run, "anchor long, doc_id long, number long, start long, many int")
 
 
 class RunIndex:
@@ -335,39 +339,42 @@ def index_block(docs: np.ndarray, starts: np.ndarray, texts: list[bytes]) -> tup
 
 
 def resolve(pieces: DataFrame) -> DataFrame:
-    """Repeats among different fragments (anchor, doc_id, start, bytes): doc_id, start, many."""
+    """Repeats among different fragments (anchor, doc_id, number, start, bytes): doc_id, number, start, many."""
 
     def run(batches):
         docs, starts, texts, filled, last = [], [], [], 0, None
 
         def finish():
-            found = index_block(np.array(docs), np.array(starts), texts)
-            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int32))], ["doc_id", "start", "many"])
+            keys, place = np.unique(np.array(docs, np.int64).reshape(-1, 2), axis=0, return_inverse=True)  # in document order
+            found = index_block(place.reshape(-1), np.array(starts), texts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys[found[0], 0]), pa.array(keys[found[0], 1]), pa.array(found[1]), pa.array(found[2].astype(np.int32))], ["doc_id", "number", "start", "many"]
+            )
 
         for batch in batches:
-            for anchor, doc, start, text in zip(*[batch.column(k).to_pylist() for k in range(4)]):
+            for anchor, doc, number, start, text in zip(*[batch.column(k).to_pylist() for k in range(5)]):
                 if anchor != last and filled >= BLOCK:
                     yield finish()
                     docs, starts, texts, filled = [], [], [], 0
                 last = anchor
-                docs.append(doc)
+                docs.append((doc, number))
                 starts.append(start)
                 texts.append(text)
                 filled += len(text)
         if docs:
             yield finish()
 
-    spread = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
-    return spread.mapInArrow(run, "doc_id long, start long, many int")
+    spread = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "number", "start")
+    return spread.mapInArrow(run, "doc_id long, number long, start long, many int")
 
 
 def cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of wanted fragments (anchor, doc_id, start, many, hot); of hot anchors the hash of each string instead.
+    """The bytes of wanted fragments (anchor, doc_id, number, start, many, hot); of hot anchors the hash of each string instead.
 
-    Rows: anchor, doc_id, start, bytes (null: a single string of a hot anchor), frag.
+    Rows: anchor, doc_id, number, start, bytes (null: a single string of a hot anchor), frag.
     """
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "many", "hot")).alias("wanted"))
-    joined = docs.join(lists, "doc_id").select("doc_id", "text", "wanted")
+    lists = wanted.groupBy("doc_id", "number").agg(F.collect_list(F.struct("anchor", "start", "many", "hot")).alias("wanted"))
+    joined = docs.join(lists, ["doc_id", "number"]).select("doc_id", "number", "text", "wanted")
 
     def run(batches):
         for batch in batches:
@@ -375,8 +382,8 @@ def cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 one = batch.slice(row, 1)
                 data, borders = bytes_of(one.column("text"))
                 data = data[borders[0] : borders[1]]
-                out: dict[str, list] = {"anchor": [], "doc_id": [], "start": [], "bytes": [], "frag": []}
-                doc = one.column("doc_id")[0].as_py()
+                out: dict[str, list] = {"anchor": [], "doc_id": [], "number": [], "start": [], "bytes": [], "frag": []}
+                doc, number = one.column("doc_id")[0].as_py(), one.column("number")[0].as_py()
                 for want in one.column("wanted")[0].as_py():
                     part = data[want["start"] : want["start"] + want["many"] + LENGTH - 1]
                     if want["hot"]:
@@ -385,52 +392,74 @@ def cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         for k, value in enumerate(found):
                             out["anchor"].append(want["anchor"])
                             out["doc_id"].append(doc)
+                            out["number"].append(number)
                             out["start"].append(want["start"] + k)
                             out["bytes"].append(None)
                             out["frag"].append(value)
                     else:
                         out["anchor"].append(want["anchor"])
                         out["doc_id"].append(doc)
+                        out["number"].append(number)
                         out["start"].append(want["start"])
                         out["bytes"].append(part.tobytes())
                         out["frag"].append(None)
                 if out["anchor"]:
                     yield pa.RecordBatch.from_pydict(out, schema=PIECES)
 
-    return joined.mapInArrow(run, "anchor long, doc_id long, start long, bytes binary, frag long")
+    return joined.mapInArrow(run, "anchor long, doc_id long, number long, start long, bytes binary, frag long")
 
 
-PIECES = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary()), ("frag", pa.int64())])
+PIECES = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary()), ("frag", pa.int64())])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Strings of LENGTH bytes that start earlier, too, as runs: doc_id, start of the first string, many strings."""
+    """Strings of LENGTH bytes that start earlier, too, as runs: doc_id, number, start of the first string, many strings."""
     settled = stage(settle(find_fragments(docs)), "fragments")
     mixed = settled.where("anchor is not null")
     hot = mixed.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor", F.lit(True).alias("hot"))
     wanted = mixed.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     pieces = stage(cut_out(docs, wanted), "fragment-bytes")
-    indexed = resolve(pieces.where("bytes is not null").select("anchor", "doc_id", "start", "bytes"))
+    indexed = resolve(pieces.where("bytes is not null").select("anchor", "doc_id", "number", "start", "bytes"))
     # Strings of a hot anchor are dealt out by their own hash; equal ones still meet.
-    single = settle(pieces.where("bytes is null").select("anchor", "frag", "doc_id", "start", F.lit(1).alias("many"), F.col("frag").alias("key"))).where("anchor is null")
-    plain = settled.where("anchor is null").select("doc_id", "start", "many")
-    return plain.unionByName(indexed).unionByName(single.select("doc_id", "start", "many"))
+    single = settle(pieces.where("bytes is null").select("anchor", "frag", "doc_id", "number", "start", F.lit(1).alias("many"), F.col("frag").alias("key"))).where("anchor is null")
+    plain = settled.where("anchor is null").select("doc_id", "number", "start", "many")
+    return plain.unionByName(indexed).unionByName(single.select("doc_id", "number", "start", "many"))
+
+
+def numbered(docs: DataFrame, key: Column, text: Column) -> DataFrame:
+    """All rows with _key and _number, which order and tell apart the documents.
+
+    Rows without a key have the lowest one and negative numbers of their own; they are staged, so that these stay. Other
+    numbers are 0, or the hash of the text where texts differ under one key.
+    """
+    lowest, digest = -(2**63), F.shiftrightunsigned(F.xxhash64(text), 1)
+    none = stage(docs.where(key.isNull()).withColumns({"_key": F.lit(lowest), "_number": F.monotonically_increasing_id() + F.lit(lowest)}), "no-key")
+    rows = docs.where(key.isNotNull()).withColumn("_key", key)
+    by_key = rows.groupBy("_key").agg(F.min(digest).alias("least"), F.max(digest).alias("most"))
+    several = stage(by_key.where("least != most").select("_key", F.lit(True).alias("_several")), "several-texts")
+    many = several.count()
+    if many:
+        rows = rows.join(F.broadcast(several) if fits_broadcast(many) else several, "_key", "left")
+        rows = rows.withColumn("_number", F.when(F.col("_several"), digest).otherwise(F.lit(0).cast("long"))).drop("_several")
+    else:
+        rows = rows.withColumn("_number", F.lit(0).cast("long"))
+    return rows.unionByName(none)
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of ``docs`` with n_bytes, n_removed, n_spans (maximal removed runs) and kept (the bytes that stay).
 
     One row for each row. Bytes are those of UTF-8, a null text has none, so a kept text may begin inside a
-    character. Documents come in the order of their ids, null first; rows of one id count as one document, and an
-    equal place in it is not earlier. Matches never cross texts. Columns with the new names are replaced.
+    character. Documents come in the order of their ids, null first. Every row without an id is a document; rows
+    that share id and text are one, and an equal place in it is not earlier; rows that share the id alone are several. Matches never cross texts. Columns with the new names are replaced.
     """
-    lowest = F.lit(-(2**63))
     new = ("n_bytes", "n_removed", "n_spans", "kept")
-    key = F.coalesce(F.col(f"`{id_column}`").cast("long"), lowest)
-    texts = docs.select(key.alias("doc_id"), F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"))
-    spans = repeats(texts).groupBy("doc_id").agg(F.collect_list(F.struct("start", "many")).alias("_spans"))
     kept = [F.col(f"`{name}`") for name in docs.columns if name not in new]
-    rows = docs.select(*kept, key.alias("_key")).join(spans.withColumnRenamed("doc_id", "_key"), "_key", "left").drop("_key")
+    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
+    rows = numbered(docs.select(*kept), F.col(f"`{id_column}`").cast("long"), text)
+    spans = repeats(rows.select(F.col("_key").alias("doc_id"), F.col("_number").alias("number"), text.alias("text")))
+    spans = spans.groupBy(F.col("doc_id").alias("_key"), F.col("number").alias("_number")).agg(F.collect_list(F.struct("start", "many")).alias("_spans"))
+    rows = rows.join(spans, ["_key", "_number"], "left").drop("_key", "_number")
 
     def run(batches):
         for batch in batches:

@@ -169,3 +169,17 @@ def test_rows_without_id_and_empty_tables(spark):
     twice = docs.where("doc_id = 3")
     assert [(row["n_removed"], row["n_spans"]) for row in suffix.remove_repeats(twice).collect()] == [(0, 0)] * 2
     assert suffix.remove_repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_different_texts_under_null_and_equal_ids(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)
+    chance = random.Random(9)
+    noise = lambda n: "".join(chance.choices("abcdefghij klmnop", k=n))
+    part, other = noise(150), noise(400)
+    rows = [(None, part + noise(150) + part, 0), (None, "short text", 1), (None, other, 2), (None, other, 3), (5, noise(300), 4), (5, noise(80) + part, 5), (5, noise(20), 6), (-(2**63), noise(500), 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place int").repartition(3)
+    found = {row["place"]: (row["n_bytes"], row["n_removed"]) for row in suffix.remove_repeats(docs).collect()}
+    assert {place: size for place, (size, _) in found.items()} == {row[2]: len(row[1]) for row in rows}
+    assert found[0][1] == 150 and sorted((found[2][1], found[3][1])) == [0, 400] and found[5][1] == 150
+    assert found[1][1] == found[4][1] == found[6][1] == found[7][1] == 0
