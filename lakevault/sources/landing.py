@@ -59,7 +59,7 @@ def land_messages(batch: DataFrame, root: str, run: str, batch_id: int, run_date
     """Land one micro-batch of (message_id, body) so that each message id is landed once.
 
     ``run`` names the checkpoint the micro-batch belongs to. A message id that any other micro-batch of any
-    run has landed is left out, wherever its date folder is. Both outputs live in folders of their own,
+    run has landed is left out, wherever its date folder is; messages without an id are all landed. Both outputs live in folders of their own,
     named after run and micro-batch; a repeated micro-batch replaces its own output and keeps the date of
     its first attempt, and no run ever writes over another one's folder. The ledger is scanned, not
     shuffled, as long as the micro-batch is small enough to be broadcast.
@@ -69,15 +69,17 @@ def land_messages(batch: DataFrame, root: str, run: str, batch_id: int, run_date
     name = f"run={run}/batch={batch_id:010d}"
     day = dt.date.fromisoformat(once(spark, f"{root.rstrip('/')}/landing_dates/{name}", run_date.isoformat()))
     messages = batch.select("message_id", "body")
-    fresh = first_row(messages, ["message_id"])
+    named = messages.where("message_id is not null")
+    fresh = first_row(named, ["message_id"])
     if has_files(spark, ledger):
         seen = spark.read.schema("message_id string, run string, batch bigint").parquet(ledger)
         others = seen.where((F.col("run") != run) | (F.col("batch") != batch_id))
-        fresh = missing_rows(messages, others, ["message_id"], fits_broadcast(batch.count()))
+        fresh = missing_rows(named, others, ["message_id"], fits_broadcast(batch.count()))
+    fresh = fresh.unionByName(messages.where("message_id is null"))
     target = f"{day_folder(root, EVENTS, day)}/run-{run}-batch-{batch_id:010d}"
     # A line break can only stand between JSON tokens, never inside a JSON text.
     line = F.regexp_replace("body", r"[\r\n]+", " ")
     fresh = fresh.select("message_id", line.alias("value"))
     fresh.select("value").write.mode("overwrite").text(target)
     # Of ids that another run has landed this one keeps no entry: each id is in the ledger once.
-    fresh.select("message_id").write.mode("overwrite").parquet(f"{ledger}/{name}")
+    fresh.select("message_id").where("message_id is not null").write.mode("overwrite").parquet(f"{ledger}/{name}")

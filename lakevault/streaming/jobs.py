@@ -94,23 +94,53 @@ def landing_job(
 def redrive_job(spark: SparkSession, raw_root: str, quarantine: str, run_date: dt.date) -> dict[str, int]:
     """Judge all quarantined messages again: the good ones are landed, the others wait on or are given up.
 
-    The new quarantine is written before the files it was made from are deleted; a run that dies in between
-    leaves messages twice in quarantine, and landing takes each id once.
+    Only whole repeated messages (id, body and attempt) count once; those without an id each count. The micro-batch
+    folders to be replaced are noted with the run before anything is written, so a run that died is carried on
+    under its own name: it lands and writes the same folders again, and removes the old ones when both are written.
     """
-    if not has_files(spark, quarantine):
-        return {"landed": 0, "waiting": 0, "given_up": 0}
-    run = f"redrive-{uuid.uuid4().hex}"
-    held = spark.read.schema("message_id string, body string, reasons array<string>, attempt int").parquet(quarantine)
-    files = [row["file"] for row in held.select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
-    good, again, spent = redrive(held.select("message_id", "body", "reasons", "attempt").dropDuplicates(["message_id"]))
-    counts = {"landed": good.count(), "waiting": again.count(), "given_up": spent.count()}
-    land_messages(good, raw_root, run, 0, run_date)
-    again.unionByName(spent).write.parquet(f"{quarantine}/run={run}/batch=0")
-    for file in files:
-        remove(spark, file)
+    quarantine = quarantine.rstrip("/")
+    pending = f"{quarantine}/_redrive"
+    noted = exists(spark, f"{pending}/plan/_SUCCESS")
+    plan = spark.read.schema("run string, folder string").parquet(f"{pending}/plan").collect() if noted else []
+    if plan:
+        run, folders = plan[0]["run"], [row["folder"] for row in plan]
+    else:
+        if not has_files(spark, quarantine):
+            return {"landed": 0, "waiting": 0, "given_up": 0}
+        run, folders = f"redrive-{uuid.uuid4().hex}", batch_folders(spark, quarantine)
+        if not folders:
+            return {"landed": 0, "waiting": 0, "given_up": 0}
+        spark.createDataFrame([(run, folder) for folder in folders], "run string, folder string").coalesce(1).write.mode("overwrite").parquet(f"{pending}/plan")
+    judged = f"{pending}/judged-{run}"
+    if not exists(spark, f"{judged}/_SUCCESS"):
+        held = spark.read.schema("message_id string, body string, reasons array<string>, attempt int").parquet(*folders)
+        named = held.where("message_id is not null").dropDuplicates(["message_id", "body", "attempt"])
+        good, again, spent = redrive(named.unionByName(held.where("message_id is null")))
+        kinds = [good.select("message_id", "body").withColumn("kind", F.lit("landed")), again.withColumn("kind", F.lit("waiting")), spent.withColumn("kind", F.lit("given_up"))]
+        kinds[0].unionByName(kinds[1], True).unionByName(kinds[2], True).write.mode("overwrite").parquet(judged)
+    found = spark.read.schema("message_id string, body string, reasons array<string>, attempt int, kind string").parquet(judged)
+    counts = {"landed": 0, "waiting": 0, "given_up": 0} | {row["kind"]: row["count"] for row in found.groupBy("kind").count().collect()}
+    land_messages(found.where("kind = 'landed'"), raw_root, run, 0, run_date)
+    found.where("kind != 'landed'").drop("kind").write.mode("overwrite").parquet(f"{quarantine}/run={run}/batch=0")
+    for folder in folders:
+        remove(spark, folder)
+    remove(spark, f"{pending}/plan")
+    remove(spark, judged)
     return counts
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def batch_folders(spark: SparkSession, quarantine: str) -> list[str]:
+    """The finished micro-batches in quarantine, as folders; their files are not listed."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{quarantine}/run=*/batch=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [status.getPath().getParent().toString() for status in found]
+
+
 def distinct_messages(messages: DataFrame, delay: str) -> DataFrame:
     """Each message id once, as long as copies are sent within ``delay`` of each other."""
     return messages.withWatermark("sent_at", delay).dropDuplicatesWithinWatermark(["message_id"])

@@ -1,4 +1,5 @@
 """The command-line jobs, from landed files to a printed report."""
+import datetime as dt
 import json
 from pathlib import Path
 
@@ -74,3 +75,16 @@ def test_landing_redrive_and_hours(spark, folder, capsys):
     assert "'given_up': 2" in capsys.readouterr().out
     main(["hourly", "--raw", f"{folder}/raw", "--sink", f"{folder}/hours", "--checkpoint", f"{folder}/check-hours"])
     assert jobs.latest_hours(spark, f"{folder}/hours").collect()[0]["eventos"] == 1
+
+
+def test_redrive_keeps_every_message_without_id(spark, folder):
+    day = dt.date(2026, 7, 10)
+    good = json.dumps(event(1))
+    rows = [(None, "nao-e-json{", 1), (None, "nem isto", 1), ("m1", "a{", 1), ("m1", "b{", 1), ("m1", "b{", 1), (None, good, 1), (None, json.dumps(event(2)), 1), ("m2", "c{", 4)]
+    held = spark.createDataFrame([(key, body, ["malformed"], attempt) for key, body, attempt in rows], "message_id string, body string, reasons array<string>, attempt int")
+    held.write.parquet(f"{folder}/bad/run=a/batch=0")
+    counts = jobs.redrive_job(spark, f"{folder}/raw", f"{folder}/bad", day)
+    assert counts["landed"] == 2 and counts["waiting"] + counts["given_up"] == 5
+    left = spark.read.parquet(f"{folder}/bad").select("message_id", "body").collect()
+    assert sorted(row["body"] for row in left) == ["a{", "b{", "c{", "nao-e-json{", "nem isto"]
+    assert spark.read.text(f"{folder}/raw/events").count() == 2
