@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import langid, quality, sentencepiece, tokenfile
+from lakevault.llm import fillmiddle, langid, quality, sentencepiece, tokenfile, toxicity, whitening
 from lakevault.llm.common import stage
 from lakevault.llm.decontam import leaks
 from lakevault.llm.jaccard import similar_groups
@@ -99,6 +99,31 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every text with its middle moved to the end, and of the text rebuilt from that."""
+    cut = fillmiddle.transform(_table(spark, folder, "documents"))
+    text = fillmiddle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256")
+    )
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector on the four strongest components of all different vectors, made to have variance 1."""
+    points = stage(whitening.rounded(_table(spark, folder, "embeddings")).select("vec_id", "x"), "rounded")
+    return whitening.whiten(points, whitening.fit(points)).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text, learned from the labelled rows that are not held out."""
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(_remainder(5) != 0).select("doc_id", "toxic")
+    model = toxicity.train(docs, labels)
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return toxicity.score_toxicity(rows, model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
@@ -110,7 +135,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_whitening": op12_whitening,
+    "op13_toxicity": op13_toxicity,
 }
 
 # SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_fill_middle": """
+        with hashed as (
+            select doc_id, coalesce(text, '') as whole, sha256('1:' || cast(doc_id as varchar)) as digest from documents
+        ), cut as (
+            select doc_id, whole, regexp_extract_all(whole, '[A-Za-z]+|[^A-Za-z]') as units,
+                   cast('0x' || substr(digest, 1, 8) as bigint) as h1, cast('0x' || substr(digest, 9, 8) as bigint) as h2,
+                   cast('0x' || substr(digest, 17, 8) as bigint) as h3, cast('0x' || substr(digest, 25, 8) as bigint) as h4
+            from hashed
+        ), placed as (
+            select *, cast(len(units) as bigint) as n,
+                   least(h1 % (len(units) + 1), h2 % (len(units) + 1)) as first_end,
+                   greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) as second_end,
+                   case when whole = '' or contains(whole, '<P>') or contains(whole, '<S>') or contains(whole, '<M>') or h3 % 100 >= 90
+                        then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+            from cut
+        ), parts as (
+            select *, array_to_string(units[1:first_end], '') as prefix, array_to_string(units[first_end + 1:second_end], '') as middle,
+                   array_to_string(units[second_end + 1:n], '') as suffix
+            from placed
+        )
+        select doc_id, n, form,
+               case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+               case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+               sha256(case form when 'plain' then whole when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+               sha256(whole) as restored_sha256
+        from parts
+    """,
+}
