@@ -1,8 +1,9 @@
-"""Versions of a satellite: which rows are new, and which one is current.
+"""Versions of a satellite: which rows are new, which stop being versions, and which one is current.
 
-A version counts when its hashdiff differs from the version right before it in ``seq`` order. The
-order comes from the data, so running a load again, or receiving an event late or twice, adds
-nothing that is already there, while a value that changes away and back is kept as three versions.
+A version counts when its hashdiff differs from the row right before it in ``seq`` order. The order comes from the data,
+and every row ever taken in stays known: as a version, as a retired one (a late row before it says the same), or as a
+remembered unchanged row. So the versions are those of one load of all rows, whatever the order and the batches the
+rows came in.
 """
 from __future__ import annotations
 
@@ -16,6 +17,9 @@ HOT_KEY_ROWS = 1_000_000
 
 VERSION_ORDER = ["seq", "hashdiff"]
 
+# Borders of hot keys' slices are broadcast up to this size.
+BORDER_BYTES = 64 * 1024 * 1024
+
 
 def current(versions: DataFrame, key: str) -> DataFrame:
     """The newest version of every key."""
@@ -49,96 +53,143 @@ def neighbours(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     )
 
 
-def seen_later(remembered: DataFrame, incoming: DataFrame, key: str, small_batch: bool) -> DataFrame:
-    """Remembered rows of the incoming keys that lie at or after their first incoming row."""
+def known_later(known: DataFrame, incoming: DataFrame, key: str, small_batch: bool) -> DataFrame:
+    """Known rows of the incoming keys that lie at or after their first incoming row."""
     floor = first_moments(incoming, key)
     floor = F.broadcast(floor) if small_batch else floor
-    return remembered.join(floor, key).where(moment() >= F.col("floor")).drop("floor")
+    return known.join(floor, key).where(moment() >= F.col("floor")).drop("floor")
 
 
-def new_versions(
+# What a row of a timeline is, and of copies of one row the first one to look at.
+LIVE, RETIRED, SEEN, FRESH = 0, 1, 2, 3
+
+
+def decisions(
     incoming: DataFrame,
-    stored: DataFrame | None,
     key: str,
+    live: DataFrame | None = None,
+    retired: DataFrame | None = None,
+    seen: DataFrame | None = None,
     small_batch: bool = False,
     hot_key_rows: int = HOT_KEY_ROWS,
     most_rows: int | None = None,
 ) -> DataFrame:
-    """Incoming rows that are versions the store does not have yet.
+    """What a batch changes: rows with a column ``action``.
+
+    ``version``  an incoming or remembered row that is a version the store does not have
+    ``seen``     an incoming row that is no version and not known yet
+    ``retire``   a stored version that no longer differs from the row before it (key, seq and hashdiff only)
+    ``revive``   a retired one that does again
 
-    ``stored`` is None for an empty table. A small batch fetches the versions next to its own; a large
-    one is laid beside the keys, times and hashdiffs of the whole table, which takes a single
-    shuffle. ``most_rows`` is a known upper bound of all rows involved;
-    when it already rules out a hot key, none is looked for.
+    ``live`` are the stored versions, ``retired`` those taken back, ``seen`` the remembered rows; None stands for an empty
+    table. A small batch fetches the versions next to its own; a large one is laid beside the keys, times and hashdiffs of
+    all versions, which takes a single shuffle. ``most_rows`` is a known upper bound of all rows involved; when it already
+    rules out a hot key, none is looked for.
     """
-    timeline = incoming.withColumn("fresh", F.lit(True))
-    if stored is not None:
-        known = neighbours(stored, incoming, key) if small_batch else stored.select(key, *VERSION_ORDER)
-        timeline = timeline.unionByName(known.withColumn("fresh", F.lit(False)), allowMissingColumns=True)
-    width = None
+    narrow = [key, *VERSION_ORDER]
+    parts = [incoming.withColumn("_state", F.lit(FRESH))]
+    if live is not None:
+        stored = neighbours(live, incoming, key) if small_batch else live.select(*narrow)
+        parts.append(stored.withColumn("_state", F.lit(LIVE)))
+    if retired is not None:
+        parts.append(known_later(retired.select(*narrow), incoming, key, small_batch).withColumn("_state", F.lit(RETIRED)))
+    if seen is not None:
+        parts.append(known_later(seen, incoming, key, small_batch).withColumn("_state", F.lit(SEEN)))
+    timeline = parts[0]
+    for part in parts[1:]:
+        timeline = timeline.unionByName(part, allowMissingColumns=True)
+    borders = None
     if most_rows is None or most_rows > hot_key_rows:
-        width = slice_width(timeline, key, hot_key_rows)
-    kept = changes(timeline, key) if width is None else changes_sliced(timeline, key, *width)
-    return kept.where("fresh").drop("fresh")
+        borders = slice_borders(timeline, key, hot_key_rows)
+    compared = beside(timeline, key) if borders is None else beside_sliced(timeline, key, borders)
+    same = F.col("_before").eqNullSafe(F.col("hashdiff"))
+    state = F.col("_state")
+    action = (
+        F.when(~same & (state >= SEEN), "version").when(~same & (state == RETIRED), "revive")
+        .when(same & (state == LIVE), "retire").when(same & (state == FRESH), "seen")
+    )
+    return compared.where(~F.col("_copy")).withColumn("action", action).where("action is not null").drop("_before", "_copy", "_state")
 
 
-def changes(timeline: DataFrame, key: str) -> DataFrame:
-    """Rows whose hashdiff differs from the row before them.
+def new_versions(
+    incoming: DataFrame,
+    stored: DataFrame | None,
+    key: str,
+    small_batch: bool = False,
+    hot_key_rows: int = HOT_KEY_ROWS,
+    most_rows: int | None = None,
+) -> DataFrame:
+    """Incoming rows that are versions the store does not have yet; ``stored`` is None for an empty table."""
+    found = decisions(incoming, key, stored, small_batch=small_batch, hot_key_rows=hot_key_rows, most_rows=most_rows)
+    return found.where("action = 'version'").drop("action")
 
-    A stored row sorts before an incoming copy of it, and copies lie side by side, so a copy is
-    simply an unchanged row.
-    """
-    along = Window.partitionBy(key).orderBy(*VERSION_ORDER, "fresh")
-    return (
-        timeline.withColumn("_before", F.lag("hashdiff").over(along))
-        .where(~F.col("_before").eqNullSafe(F.col("hashdiff")))
-        .drop("_before")
-    )
 
+def beside(timeline: DataFrame, key: str) -> DataFrame:
+    """Every row with the hashdiff of the row before it (``_before``) and whether that is a copy of it (``_copy``)."""
+    along = Window.partitionBy(key).orderBy(*VERSION_ORDER, "_state")
+    place = F.struct(*VERSION_ORDER)
+    return timeline.withColumns({"_before": F.lag("hashdiff").over(along), "_copy": F.coalesce(F.lag(place).over(along) == place, F.lit(False))})
 
-def slice_width(timeline: DataFrame, key: str, hot_key_rows: int) -> tuple[int, int] | None:
-    """(start, width) in microseconds of time slices that bring hot keys below the limit; None if no key is hot."""
-    micros = F.unix_micros("seq.at")
-    per_key = timeline.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(micros).alias("first"), F.max(micros).alias("last")
-    )
-    row = (
-        per_key.where(F.col("n") > hot_key_rows)
-        .agg(F.max("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
-        .first()
-    )
-    if row["n"] is None:
+
+# Sampled rows to a slice of a hot key, and slices to ``hot_key_rows`` rows: sizes scatter by about a quarter.
+SAMPLED, FINER = 20, 2
+# Steps of the search for a row's slice: so many slices of one key can be told apart.
+STEPS = 24
+
+
+def slice_borders(timeline: DataFrame, key: str, hot_key_rows: int) -> DataFrame | None:
+    """(key, borders) of every key with more rows than the limit; None if there is none.
+
+    Borders are rows (seq, hashdiff) by rank in a sample of the key's rows, so slices are about even whatever the times
+    are, equal ones included. The sample is taken by a hash of the row, the same in every run.
+    """
+    hot = timeline.groupBy(key).count().where(F.col("count") > hot_key_rows).select(key, "count")
+    total = hot.agg(F.sum("count").alias("rows"), F.count("*").alias("keys")).first()
+    if not total["keys"]:
         return None
-    start, end = row["first"] or 0, row["last"] or 0
-    slices = 8 * -(-row["n"] // hot_key_rows)
-    return start, max(1, -(-(end - start) // slices))
+    small = total["keys"] * 256 <= BORDER_BYTES
+    share = max(1, hot_key_rows // FINER)
+    chosen = F.pmod(F.xxhash64(*VERSION_ORDER), F.lit(share)) < SAMPLED
+    # A row is taken once, however many copies of it there are.
+    sample = timeline.where(chosen).join(F.broadcast(hot) if small else hot, key).select(key, *VERSION_ORDER).distinct()
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*VERSION_ORDER))
+    ranked = sample.withColumn("_place", place).where(F.col("_place") % SAMPLED == 0)
+    borders = ranked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*VERSION_ORDER))).alias("_borders"))
+    return F.broadcast(borders) if total["rows"] // share * 256 <= BORDER_BYTES else borders
+
+
+def slice_number() -> Column:
+    """How many of the ascending ``_borders`` a row does not precede, by halving steps; 0 without borders."""
+    row, borders = F.struct(*VERSION_ORDER), F.col("_borders")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(STEPS))])
+    return F.aggregate(
+        steps, F.lit(0),
+        lambda at, step: F.when((at + step <= F.size(borders)) & (F.get(borders, at + step - 1) <= row), at + step).otherwise(at),
+    )
 
 
-def changes_sliced(timeline: DataFrame, key: str, start: int, width: int) -> DataFrame:
-    """Same rows as ``changes``, with the timeline of a key spread over time slices.
+def beside_sliced(timeline: DataFrame, key: str, borders: DataFrame) -> DataFrame:
+    """Same columns as ``beside`` gives, with the timeline of a key spread over slices; copies are left out.
 
     Copies go first, on the map side. Inside a slice a row is compared with the row before it; the
     first row of a slice is compared with the last hashdiff of the slice before, for which only one
     row per key and slice has to meet. Rows already decided travel in lanes of their own.
     """
-    distinct = first_row(timeline, [key, *VERSION_ORDER], ["fresh"])
-    sliced = distinct.withColumn("_slice", F.floor((F.unix_micros("seq.at") - F.lit(start)) / F.lit(width)))
+    distinct = first_row(timeline, [key, *VERSION_ORDER], ["_state"])
+    sliced = distinct.join(borders, key, "left").withColumn("_slice", F.when(F.col("_borders").isNotNull(), slice_number()).otherwise(0)).drop("_borders")
     inside = Window.partitionBy(key, "_slice").orderBy(*VERSION_ORDER)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    decided = (
-        sliced.withColumns(
-            {
-                "_before": F.lag("hashdiff").over(inside),
-                "_head": F.row_number().over(inside) == 1,
-                "_tail": F.last("hashdiff").over(whole),
-            }
-        )
-        .where(F.col("_head") | (F.col("_before") != F.col("hashdiff")))
-        .withColumn("_lane", F.when(~F.col("_head"), F.hash("_slice", "hashdiff")))
-    )
+    decided = sliced.withColumns(
+        {
+            "_inner": F.lag("hashdiff").over(inside),
+            "_head": F.row_number().over(inside) == 1,
+            "_tail": F.last("hashdiff").over(whole),
+        }
+    ).withColumn("_lane", F.when(~F.col("_head"), F.hash("_slice", "hashdiff", "seq")))
     heads = Window.partitionBy(key, "_head", "_lane").orderBy("_slice", *VERSION_ORDER)
+    outer = F.lag("_tail").over(heads)
     return (
-        decided.withColumn("_before", F.lag("_tail").over(heads))
-        .where(~F.col("_head") | ~F.col("_before").eqNullSafe(F.col("hashdiff")))
-        .drop("_slice", "_before", "_head", "_tail", "_lane")
+        decided.withColumn("_outer", outer)
+        .withColumns({"_before": F.when(F.col("_head"), F.col("_outer")).otherwise(F.col("_inner")), "_copy": F.lit(False)})
+        .drop("_slice", "_inner", "_outer", "_head", "_tail", "_lane")
     )

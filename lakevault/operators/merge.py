@@ -1,15 +1,16 @@
 """How each kind of vault table takes in a batch. All three ways can be repeated without effect."""
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakevault.operators.history import VERSION_ORDER, new_versions, seen_later
+from lakevault.operators.history import VERSION_ORDER, decisions
 from lakevault.operators.model import first_row
 from lakevault.operators.specs import VaultTable
-from lakevault.operators.store import VaultStore
+from lakevault.operators.store import RETIRED_TABLE, SEEN_TABLE, VaultStore
 
 # A batch may be broadcast as a list of keys only while rows x bytes stays below the limit; a
 # 64-character hash with its row overhead takes well under 256 bytes.
@@ -51,39 +52,41 @@ def insert_missing(store: VaultStore, table: VaultTable, rows: DataFrame, batch_
 
 
 def append_versions(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int) -> int:
-    """Satellites: versions that differ from the one before them.
+    """Satellites: versions that differ from the row before them, in any order of arrival.
 
-    Where rows may come late, unchanged rows remembered from earlier batches are offered again: a
-    late row between a version and its confirmation turns the confirmation into a change back.
+    Rows that are no versions are remembered beside the table, and versions that a late row made superfluous are noted as
+    retired; ``store.versions`` leaves those out. Versions are appended first and counted together with what else there is
+    to note, so a batch of new versions alone needs no second look. The notes are worked out from the stored tables
+    again: a load that dies in between and is repeated comes to the same.
     """
     small, key = fits_broadcast(batch_rows), table.key[0]
-    stored, offered, most_rows = None, rows, batch_rows
-    if not store.is_empty(table.name):
-        stored = store.rows(table.name)
-        most_rows += stored.count()
-        if table.late:
-            remembered = store.rows(store.ensure_memory(table).name)
-            most_rows += remembered.count()
-            offered = rows.unionByName(seen_later(remembered, rows, key, small))
-    appended = store.append(table, new_versions(offered, stored, key, small, most_rows=most_rows))
-    if table.late:
-        remember(store, table, rows, small)
+    first = store.is_empty(table.name)
+    most_rows = batch_rows if first else batch_rows + store.rows(table.name).count()
+    remembered = None if first else store.noted(table, SEEN_TABLE)
+    most_rows += remembered.count() if remembered is not None else 0
+
+    def decided(observed: Observation | None = None) -> DataFrame:
+        known = {}
+        if observed is None or not first:
+            known = {"live": store.versions(table.name), "retired": store.retired(table), "seen": remembered}
+        found = decisions(rows, key, **known, small_batch=small, most_rows=most_rows)
+        if observed is None:
+            return found
+        kinds = [F.count_if(F.col("action") == kind).alias(kind) for kind in ("seen", "retire", "revive")]
+        return found.observe(observed, *kinds)
+
+    observed = Observation()
+    appended = store.append(table, decided(observed).where("action = 'version'"))
+    left = observed.get
+    if left.get("seen"):
+        store.append(store.ensure_note(table, SEEN_TABLE), decided().where("action = 'seen'"))
+    if left.get("retire") or left.get("revive"):
+        notes = decided().where("action in ('retire', 'revive')")
+        notes = notes.select(key, *VERSION_ORDER, (F.col("action") == "retire").alias("dead"), F.lit(time.time_ns()).alias("turn"))
+        store.append(store.ensure_note(table, RETIRED_TABLE), notes)
     return appended
 
 
-def remember(store: VaultStore, table: VaultTable, rows: DataFrame, small: bool) -> None:
-    """Keep the newest row per key of a batch if it was unchanged and therefore not stored as a version.
-
-    The satellite alone would forget that its current version was still valid at that moment, and a
-    late row could wrongly become the current one.
-    """
-    memory = store.ensure_memory(table)
-    key = [table.key[0], *VERSION_ORDER]
-    newest = first_row(rows, table.key, [F.desc(name) for name in VERSION_ORDER])
-    known = store.rows(table.name).select(*key).unionByName(store.rows(memory.name).select(*key))
-    store.append(memory, missing_rows(newest, known, key, small))
-
-
 def upsert(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int) -> int:
     """References: a row that differs from the stored one, or has none, becomes the newest."""
     unique = first_row(rows, table.key)

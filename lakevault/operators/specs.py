@@ -39,7 +39,6 @@ class VaultTable:
     payload: tuple[str, ...]
     natural_key: tuple[str, ...] = ()
     compared: tuple[str, ...] | None = None  # satellite columns that count as a change; None = payload
-    late: bool = False  # satellite whose rows may arrive out of order; see ``merge.remember``
     prepare: Callable[[DataFrame], DataFrame] | None = None
 
     @property
@@ -74,11 +73,10 @@ def satellite(
     parent: VaultTable,
     payload: tuple[str, ...],
     compared: tuple[str, ...] | None = None,
-    late: bool = False,
 ) -> VaultTable:
     parent_key = parent.key[0]
     digests = {parent_key: parent.digests[parent_key]}
-    return VaultTable(name, "satellite", digests, payload, compared=compared, late=late)
+    return VaultTable(name, "satellite", digests, payload, compared=compared)
 
 
 def reference(
@@ -220,13 +218,11 @@ MODEL: dict[str, tuple[VaultTable, ...]] = {
             "sat_hot_customer_profile",
             HUBS["customer"],
             ("customer_name", "customer_city", "customer_state", "customer_zip_code_prefix"),
-            late=True,
         ),
         satellite(
             "sat_hot_order_snapshot",
             HUBS["order"],
             ("product_category_name", "product_name", "items_count", "price", "freight_value"),
-            late=True,
         ),
         # A payment belongs to the order as seen in that event, hence to the link.
         satellite("sat_hot_payment_snapshot", LINK_EVENT_ORDER, ("payment_type", "payment_installments")),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakevault.operators.history import current
+from lakevault.operators.history import VERSION_ORDER, current
 from lakevault.operators.model import SEQ_SCHEMA, first_row, vault_rows
 from lakevault.operators.specs import MODEL, TABLES, VaultTable
 from lakevault.sources.schemas import EVENT_SCHEMA, SOURCES
@@ -24,6 +24,8 @@ from lakevault.sources.schemas import EVENT_SCHEMA, SOURCES
 # unbucketed: one key may own a large share of all versions and a bucket cannot be split by a join.
 BUCKETED_KINDS = {"hub", "link"}
 
+# Tables of notes beside a satellite: its unchanged rows, and versions that were retired or revived.
+SEEN_TABLE, RETIRED_TABLE = "seen", "retired"
 
 # A lease that is older belongs to a job that died.
 LEASE_SECONDS = 6 * 3600
@@ -55,11 +57,36 @@ class VaultStore:
             f"{bucketing} LOCATION '{self.root}/{table.name}'"
         )
 
-    def ensure_memory(self, table: VaultTable) -> VaultTable:
-        """The companion table of a satellite that takes late rows: same columns, see ``merge.remember``."""
-        memory = replace(table, name=f"{table.name}_seen", late=False)
-        self.ensure_table(memory, self.spark.table(self.qualified(table.name)).schema)
-        return memory
+    def ensure_note(self, table: VaultTable, kind: str) -> VaultTable:
+        """A table of notes beside a satellite: remembered rows (its columns), or retired and revived versions."""
+        note = replace(table, name=f"{table.name}_{kind}")
+        schema = self.spark.table(self.qualified(table.name)).schema
+        if kind == RETIRED_TABLE:
+            kept = [schema[name] for name in (table.key[0], *VERSION_ORDER)]
+            schema = StructType(kept).add("dead", "boolean").add("turn", "long")
+        self.ensure_table(note, schema)
+        return note
+
+    def noted(self, table: VaultTable, kind: str) -> DataFrame | None:
+        """The notes of a satellite; None if there are none."""
+        if not self.spark.catalog.tableExists(self.qualified(f"{table.name}_{kind}")):
+            return None
+        rows = self.rows(f"{table.name}_{kind}")
+        return None if rows.isEmpty() else rows
+
+    def retired(self, table: VaultTable) -> DataFrame | None:
+        """(key, seq, hashdiff) of versions that count no more; None if there are none."""
+        notes = self.noted(table, RETIRED_TABLE)
+        if notes is None:
+            return None
+        place = [table.key[0], *VERSION_ORDER]
+        return first_row(notes, place, [F.desc("turn")]).where("dead").select(*place)
+
+    def versions(self, name: str) -> DataFrame:
+        """A satellite's versions, those that late rows have made superfluous left out."""
+        table, rows = TABLES[name], self.rows(name)
+        retired = self.retired(table)
+        return rows if retired is None else rows.join(retired, retired.columns, "left_anti")
 
     def ensure_all(self) -> None:
         """Register every table of the model, so that views resolve before the first load."""
@@ -77,9 +104,11 @@ class VaultStore:
         return self.spark.table(self.qualified(name))
 
     def read(self, name: str) -> DataFrame:
-        """A table's rows; for a reference the newest row per key."""
-        rows = self.rows(name)
+        """A table's rows; for a reference the newest row per key, for a satellite the versions that count."""
         table = TABLES[name]
+        if table.kind == "satellite":
+            return self.versions(name)
+        rows = self.rows(name)
         if table.kind == "reference":
             others = [F.asc(column) for column in table.payload]
             rows = first_row(rows, table.key, [F.desc("load_dts"), *others])
@@ -87,7 +116,7 @@ class VaultStore:
 
     def current(self, name: str) -> DataFrame:
         """The newest version per key of a satellite."""
-        return current(self.rows(name), TABLES[name].key[0])
+        return current(self.versions(name), TABLES[name].key[0])
 
     @contextmanager
     def lease(self, name: str) -> Iterator[None]:

@@ -1,3 +1,4 @@
+import datetime as dt
 from functools import reduce
 
 import pytest
@@ -6,7 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakevault.operators.history import changes_sliced, current, new_versions, slice_width
+from lakevault.operators import history
+from lakevault.operators.history import FRESH, beside_sliced, current, decisions, new_versions, slice_borders
 
 
 def found(frame):
@@ -69,23 +71,63 @@ def test_batches_in_order_give_the_full_history(spark, rows, small_batch):
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(ROWS, st.integers(1, 9))
-def test_a_split_timeline_gives_the_same_rows(spark, rows, days):
-    timeline = versions(spark, rows + rows).withColumn("fresh", F.lit(True))
-    split = changes_sliced(timeline, "k", 1_700_000_000_000_000, days * 86_400_000_000)
-    assert found(split) == expected(rows)
-
-
-def test_a_hot_key_is_noticed_and_split(spark):
-    rows = [("hot", d % 200, "ab"[d // 7 % 2]) for d in range(400)] + [("cold", 1, "a")]
-    incoming = versions(spark, rows)
-    assert slice_width(incoming, "k", 1000) is None
-    start, width = slice_width(incoming, "k", 50)
-    assert width < 200 * 86_400_000_000
-    assert found(new_versions(incoming, None, "k", hot_key_rows=50)) == expected(rows)
-    half = [r for r in rows if r[1] < 100]
-    stored = new_versions(versions(spark, half), None, "k")
-    fresh = new_versions(incoming, stored, "k", hot_key_rows=50)
-    assert sorted(found(stored) + found(fresh)) == expected(rows)
+def test_a_split_timeline_gives_the_same_rows(spark, rows, limit):
+    timeline = versions(spark, rows + rows).withColumn("_state", F.lit(FRESH))
+    borders = slice_borders(timeline, "k", limit)
+    if borders is not None:
+        split = beside_sliced(timeline, "k", borders)
+        assert found(split.where(~F.col("_before").eqNullSafe(F.col("hashdiff")))) == expected(rows)
+
+
+def timed(spark, rows):
+    """Rows (key, tie, hashdiff) of one moment, told apart by the tie alone."""
+    frame = spark.createDataFrame(rows, "k string, d int, hashdiff string")
+    at = F.timestamp_seconds(F.lit(1_700_000_000))
+    return frame.withColumn("seq", F.struct(at.alias("at"), F.lpad(F.col("d").cast("string"), 6, "0").alias("tie")))
+
+
+def test_a_hot_key_of_one_moment_is_split_by_rank(spark):
+    rows = [("hot", d, "abc"[d * d // 7 % 3]) for d in range(5000)] + [("cold", d, "a") for d in range(50)]
+    timeline = timed(spark, rows).withColumn("_state", F.lit(FRESH))
+    assert slice_borders(timeline, "k", 10_000) is None
+    borders = slice_borders(timeline, "k", 100)
+    assert [row["k"] for row in borders.select("k").collect()] == ["hot"]
+    sizes = timeline.join(borders, "k").groupBy(history.slice_number().alias("slice")).count().collect()
+    assert len(sizes) >= 50 and max(row["count"] for row in sizes) < 300
+    assert found(new_versions(timed(spark, rows), None, "k", hot_key_rows=100)) == expected(rows)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 9), st.sampled_from("ab")), min_size=1, max_size=40))
+def test_slices_with_equal_times(spark, pairs):
+    rows = [("hot", d, h) for d, h in pairs]
+    for limit in (1, 3, 8):
+        assert found(new_versions(timed(spark, rows + rows[:5]), None, "k", hot_key_rows=limit)) == expected(rows)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ROWS, st.randoms(use_true_random=False), st.integers(1, 4), st.booleans(), st.sampled_from([None, 3]))
+def test_any_order_and_any_batches_give_the_versions_of_one_load(spark, rows, random, parts, small_batch, limit):
+    """The store's part played by three sets of rows."""
+    rows = list(rows)
+    random.shuffle(rows)
+    stored, dead, seen = set(), set(), set()
+    for part in range(parts):
+        batch = rows[part::parts]
+        if not batch:
+            continue
+        frames = [versions(spark, sorted(group)) if group else None for group in (stored - dead, dead, seen)]
+        done = decisions(versions(spark, batch), "k", *frames, small_batch=small_batch, hot_key_rows=limit or 10**6).collect()
+        for row in done:
+            # Stored rows come back without their payload.
+            place = next(r for r in rows if r[0] == row["k"] and r[2] == row["hashdiff"] and history_day(row) == r[1])
+            {"version": stored.add, "seen": seen.add, "retire": dead.add, "revive": dead.discard}[row["action"]](place)
+    assert sorted(stored - dead) == expected(rows)
+    assert stored | seen == set(rows)
+
+
+def history_day(row):
+    return int(row["seq"]["at"].replace(tzinfo=dt.timezone.utc).timestamp() - 1_700_000_000) // 86400
 
 
 def test_rows_without_a_time_come_first(spark):

@@ -69,6 +69,25 @@ def test_a_late_row_does_not_become_current(spark, store, batch_rows):
     assert put(store, SNAPSHOT, profiles(spark, ("u1", 3, "b"), ("u1", 1, "a"), ("u1", 5, "A ")), batch_rows) == 0
 
 
+def test_a_change_back_is_dated_by_the_first_row_that_says_so(spark, store):
+    def history():
+        return [(r["seq"]["at"].day, r["customer_city"]) for r in store.read(SNAPSHOT.name).orderBy("seq").collect()]
+
+    put(store, SNAPSHOT, profiles(spark, ("u1", 1, "a")))
+    put(store, SNAPSHOT, profiles(spark, ("u1", 3, "a"), ("u1", 5, "a")))
+    assert put(store, SNAPSHOT, profiles(spark, ("u1", 2, "b"))) == 2
+    first, second, third = history()
+    assert [city for _, city in (first, second, third)] == ["a", "b", "a"] and third[0] - second[0] == 1
+    # A late row takes a version's place, and another one gives it back.
+    put(store, SNAPSHOT, profiles(spark, ("u2", 1, "x"), ("u2", 9, "y")))
+    put(store, SNAPSHOT, profiles(spark, ("u2", 5, "y")))
+    assert [city for _, city in history()].count("y") == 1 and store.rows(SNAPSHOT.name).where("customer_city = 'y'").count() == 2
+    put(store, SNAPSHOT, profiles(spark, ("u2", 7, "z")))
+    assert [city for _, city in history() if city > "b"] == ["x", "y", "z", "y"]
+    again = profiles(spark, *(("u2", d, c) for d, c in [(1, "x"), (9, "y"), (5, "y"), (7, "z")]))
+    assert put(store, SNAPSHOT, again) == 0 and len(history()) == 7
+
+
 def test_batches_in_any_order_agree_on_the_current_row(spark, store):
     random = Random(7)
     rows = [(f"u{i % 3}", day, random.choice("ab")) for i, day in enumerate(random.sample(range(60), 36))]
