@@ -78,7 +78,7 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of what a token folder, written from all texts, holds when it is read back."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")  # fewer than 65,536 identifiers
-    encoded = stage(tokenfile.tokenize(_table(spark, folder, "documents"), vocabulary, width=2), "tokens")
+    encoded = stage(tokenfile.tokenize(_table(spark, folder, "documents"), vocabulary, width=2, count=True), "tokens")
     path = run_folder(spark, "llm-token-file")
     tokenfile.write_tokens(encoded, path, width=2)
     return tokenfile.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -46,8 +46,16 @@ JOINED = 256
 WORD_END = "</w>"
 
 
+# A worker's table of distinct pieces holds so many; a piece takes about 200 bytes.
+TABLE_PIECES, TABLE_CHARS = 400_000, 32 << 20
+
+
 class Pieces:
-    """Encodes pieces between blanks with the public tokenizer."""
+    """Encodes pieces between blanks with the public tokenizer.
+
+    Special strings are cut out of the original text, before it is lower-cased, and travel as pieces of their own with a
+    blank in front, which no other piece has. In all other pieces their letters are ordinary text.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -57,12 +65,30 @@ class Pieces:
         # These two would make a text's tokens depend on its length.
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        if any(token.single_word or token.lstrip or token.rstrip or token.normalized for _, token in added):
+            raise ValueError(f"{path} has special strings that depend on what is around them")
+        self.special = {f" {token.content}": number for number, token in added}
+        strings = sorted((token.content for _, token in added), key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, strings))})") if strings else None
+        self.openings = tuple({string[:2] for string in strings})
+        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.size = max(vocabulary.values()) + 1
+        self.closes = np.zeros(self.size, bool)
         self.closes[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
 
+    def split(self, text: str) -> list[str]:
+        if not any(opening in text for opening in self.openings):
+            return pieces(text)
+        found = []
+        for at, part in enumerate(self.cut.split(text)):
+            found += [f" {part}"] if at % 2 else pieces(part)
+        return found
+
     def plain(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return rows_of([found.ids for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return rows_of([[self.special[piece]] if piece in self.special else found.ids for piece, found in zip(pieces, encoded)])
 
     def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters alone, encoded in one text; each one's last token says that it ends a word."""
@@ -94,38 +120,61 @@ class Pieces:
         return values, lengths[rows].sum(1)
 
 
-_tables: dict[str, WordTable] = {}
+_tables: dict[str, tuple[WordTable, Pieces]] = {}
 
 
-def _table(path: str) -> WordTable:
+def _table(path: str) -> tuple[WordTable, Pieces]:
     if path not in _tables:
-        _tables[path] = WordTable(Pieces(path).encode)
+        coder = Pieces(path)
+        _tables[path] = WordTable(coder.encode, words=TABLE_PIECES, chars=TABLE_CHARS), coder
     return _tables[path]
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int = 1, width: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+COUNTS = pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())]))
+TOKENS = "doc_id long, n_tokens long, ids binary"
+COUNTED = f"{TOKENS}, counted array<struct<id: int, n: bigint>>"
+
+
+def tokenize(
+    docs: DataFrame, path: str, end_id: int = 1, width: int = 4, id_column: str = "doc_id", text_column: str = "text", count: bool = False
+) -> DataFrame:
     """Identifiers of every whole text under a vocabulary that drops white space, with ``end_id`` at the end.
 
     One row for each row: doc_id, n_tokens, ids (little-endian unsigned numbers of ``width`` bytes, 2 or 4). Such a vocabulary never
     joins what blanks separate, so each distinct piece between blanks is encoded once per worker. A null text
     counts as empty and gets the end id alone.
+
+    With ``count`` there is one more column, ``counted``, and one more row for each task that had rows: how often it gave
+    out each identifier, for ``write_tokens``. Only such rows have it; their other columns are null.
     """
 
     def encode(batches):
-        table = _table(path)
+        table, coder = _table(path)
+        total = np.zeros(max(coder.size, end_id + 1), np.int64)
         for batch in slices(batches, "text"):
-            codes, ends = table.encode(pieces, texts(batch, "text"))
+            codes, ends = table.encode(coder.split, texts(batch, "text"))
             values, counts = table.gather(codes)
             stops = np.cumsum(sums(counts, ends))
-            values = np.insert(values, stops, end_id).astype(f"<u{width}")
+            values = np.insert(values, stops, end_id)
+            if count:
+                total += np.bincount(values, minlength=len(total))
+            values = values.astype(f"<u{width}")
             stops = stops + np.arange(1, len(stops) + 1)
             offsets = pa.py_buffer(np.concatenate([[0], width * stops]).astype(np.int64))
             ids = pa.Array.from_buffers(pa.large_binary(), len(stops), [None, offsets, pa.py_buffer(values)]).cast(pa.binary())
-            sizes = pa.array(np.diff(stops, prepend=0))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, ids], ["doc_id", "n_tokens", "ids"])
+            columns = [batch.column("doc_id"), pa.array(np.diff(stops, prepend=0)), ids]
+            if count:
+                columns.append(pa.nulls(len(ids), COUNTS))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "counted"][: len(columns)])
+        if total.any():
+            seen = np.flatnonzero(total)
+            pairs = pa.StructArray.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
+            counted = pa.ListArray.from_arrays(pa.array([0, len(seen)], pa.int32()), pairs)
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(1, pa.binary()), counted], ["doc_id", "n_tokens", "ids", "counted"])
 
     rows = docs.selectExpr(f"cast(`{id_column}` as long) as doc_id", f"cast(`{text_column}` as string) as text")
-    return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
+    return rows.mapInArrow(encode, COUNTED if count else TOKENS)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -153,7 +202,10 @@ def unpack(control: bytes, data: bytes, size: int) -> np.ndarray:
 
 
 def frequencies(encoded: DataFrame, width: int = 4) -> DataFrame:
-    """How often each identifier occurs; every task adds up its own rows first."""
+    """How often each identifier occurs, from the counts that ``tokenize`` kept or, without them, from the rows."""
+    if "counted" in encoded.columns:
+        kept = encoded.where("counted is not null").select(F.explode("counted").alias("one"))
+        return kept.groupBy(F.col("one.id").cast("long").alias("id")).agg(F.sum("one.n").alias("n"))
 
     def count(batches):
         total = np.zeros(0, np.int64)
@@ -210,7 +262,8 @@ def write_tokens(encoded: DataFrame, path: str, width: int = 4) -> None:
         if docs:
             yield block()
 
-    ranged = encoded.select("doc_id", "ids").repartitionByRange(F.col("doc_id").asc_nulls_first())
+    rows = encoded.where("counted is null") if "counted" in encoded.columns else encoded
+    ranged = rows.select("doc_id", "ids").repartitionByRange(F.col("doc_id").asc_nulls_first())
     ranged = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
     ranged.mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
 

@@ -95,6 +95,26 @@ def test_token_files_hold_what_the_library_gives(spark, folder, width):
         start += len(ids)
 
 
+def test_special_strings_are_looked_for_in_the_original_text(spark, folder):
+    chance = random.Random(11)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "<|endoftext|", "|endoftext|>", "<|", " ", "a", "Word", ".", "'s", "Σ", "é", "\x1c", "\n"]
+    texts = ["a <|EndOfText|> b", "<|STARTOFTEXT|>", "<|endoftext|>", "x<|endoftext|><|startoftext|>Y", *("".join(chance.choices(parts, k=9)) for _ in range(400))]
+    library = Tokenizer.from_file(WORDS)
+    encoded = common.stage(tokenfile.tokenize(table(spark, texts), WORDS, count=True), "test-special")
+    tokenfile.write_tokens(encoded, folder)
+    found = {row["doc_id"]: np.frombuffer(row["ids"], "<u4").tolist() for row in tokenfile.read_tokens(spark, folder).collect()}
+    assert len(found) == len(texts)
+    for at, text in enumerate(texts):
+        assert found[at] == [*library.encode(text, add_special_tokens=False).ids, 1], text
+
+
+def test_counts_kept_while_encoding_are_those_of_the_rows(spark):
+    encoded = tokenfile.tokenize(table(spark, sample(300, 4)), WORDS, width=2)
+    counted = tokenfile.tokenize(table(spark, sample(300, 4)), WORDS, width=2, count=True)
+    assert sorted(map(tuple, tokenfile.frequencies(counted, 2).collect())) == sorted(map(tuple, tokenfile.frequencies(encoded, 2).collect()))
+    assert counted.where("counted is null").drop("counted").exceptAll(encoded).isEmpty()
+
+
 def test_frequent_tokens_get_small_ranks(spark, folder):
     docs = spark.createDataFrame([(1, "the the the of"), (None, "the of in")], "doc_id long, text string")
     tokenfile.write_tokens(tokenfile.tokenize(docs, WORDS), folder)
