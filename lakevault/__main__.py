@@ -1,6 +1,6 @@
 """Jobs from the command line.
 
-    python -m lakevault load-batch   --raw RAW --vault VAULT [--database NAME] [--datasets all|a,b] [--since DATE]
+    python -m lakevault load-batch   --raw RAW --vault VAULT [--database NAME] [--datasets all|a,b] [--all-files]
     python -m lakevault load-events  --raw RAW --vault VAULT [--database NAME] --checkpoint FOLDER
     python -m lakevault report       --vault VAULT [--database NAME] [REPORT]
     python -m lakevault extract      --tables FOLDER --raw RAW --marks FOLDER [--datasets all|a,b] [--mode cursor|diff]
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakevault.operators import quality
 from lakevault.operators.store import VaultStore
 from lakevault.plans import gold, reports
-from lakevault.plans.pipeline import load_now, raise_if_failed, run_all
+from lakevault.plans.pipeline import load_new_files, load_now, raise_if_failed, run_all
 from lakevault.session import configure
 from lakevault.sources.extract import Marks, bootstrap, extract
 from lakevault.sources.raw import dataset_path, read_batches
@@ -60,7 +60,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     for name in ("load-batch", "extract", "bootstrap", "check"):
         kinds.choices[name].add_argument("--datasets", default="all")
     kinds.choices["load-batch"].add_argument("--layout", choices=("lines", "pretty"), default="lines")
-    kinds.choices["load-batch"].add_argument("--since", type=dt.date.fromisoformat, help="first landing date to read")
+    kinds.choices["load-batch"].add_argument("--all-files", action="store_true", help="read files again that were loaded before")
     kinds.choices["load-events"].add_argument("--checkpoint", required=True)
     kinds.choices["report"].add_argument("name", nargs="?")
     kinds.choices["extract"].add_argument("--mode", choices=("cursor", "diff"), default="cursor")
@@ -120,11 +120,13 @@ def main(given: list[str] | None = None) -> None:
         jobs.vault_job(store, dataset_path(asked.raw), asked.checkpoint)
     else:
         now = load_now()
-        sources = {
-            name: (lambda name=name: read_batches(spark, asked.raw, name, now, asked.layout, asked.since))
-            for name in choose(asked.datasets)
-        }
-        outcome = run_all(store, sources)
+        names = choose(asked.datasets)
+        if asked.all_files:
+            sources = {name: (lambda name=name: read_batches(spark, asked.raw, name, now, asked.layout)) for name in names}
+            outcome = run_all(store, sources)
+        else:
+            sources = dict.fromkeys(names, lambda: None)
+            outcome = run_all(store, sources, lambda store, name, _: load_new_files(store, asked.raw, name, asked.layout))
         outcome.show(len(sources) * 5, truncate=False)
         raise_if_failed(outcome)
 

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lakevault.functions.hashing import all_present
 from lakevault.operators.history import VERSION_ORDER, decisions
-from lakevault.operators.model import first_row
+from lakevault.operators.model import first_row, vault_rows
 from lakevault.operators.specs import VaultTable
 from lakevault.operators.store import RETIRED_TABLE, SEEN_TABLE, VaultStore
 
@@ -97,6 +98,20 @@ def upsert(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: in
     return store.append(table, unique)
 
 
+def keep_up(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: int) -> Written:
+    """Take a batch of source rows into a table that is kept up from them, such as averages over all batches."""
+    ready = vault_rows(rows, table)
+    store.ensure_table(table, ready.schema)
+    if batch_rows == 0:
+        return Written(table.name, table.kind, 0, 0)
+    with store.lease(table.name):
+        kept = table.upkeep(store.spark, f"{store.root}/{table.name}_kept")
+        changed, batches = kept.take(rows)
+        appended = upsert(store, table, changed.where(all_present(table.identity)).select(*ready.columns), batch_rows)
+        kept.close(batches)
+    return Written(table.name, table.kind, batch_rows, appended)
+
+
 STRATEGIES = {
     "hub": insert_missing,
     "link": insert_missing,

@@ -49,6 +49,9 @@ def hashed(df: DataFrame, tables: Iterable[VaultTable]) -> DataFrame:
 def vault_rows(df: DataFrame, table: VaultTable) -> DataFrame:
     """The rows a dataset contributes to one vault table, lazily; duplicates are settled by the merge."""
     source = table.prepare(df) if table.prepare else hashed(df, [table])
+    if table.kind == "reference" and "seq" in source.columns:
+        # Of the rows of a key the newest counts, of equally new ones the first by content.
+        source = first_row(source.where(all_present(table.identity)), table.key, [F.desc("seq"), *table.payload])
     columns = [*table.digests, *table.natural_key, *table.payload]
     if table.kind == "satellite":
         columns += [F.col(hashdiff_name(table)).alias("hashdiff"), "seq"]

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from lakevault.operators.centroid import zip_centroids
+from lakevault.operators.centroid import KeptPoints, zip_centroids
 
 # Entity -> business key.
 ENTITIES = {
@@ -40,6 +40,7 @@ class VaultTable:
     natural_key: tuple[str, ...] = ()
     compared: tuple[str, ...] | None = None  # satellite columns that count as a change; None = payload
     prepare: Callable[[DataFrame], DataFrame] | None = None
+    upkeep: type | None = None  # keeps a prepared table up to date from batches of its rows; see ``centroid.KeptPoints``
 
     @property
     def key(self) -> list[str]:
@@ -84,8 +85,9 @@ def reference(
     natural_key: tuple[str, ...],
     payload: tuple[str, ...],
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    upkeep: type | None = None,
 ) -> VaultTable:
-    return VaultTable(name, "reference", {}, payload, natural_key=natural_key, prepare=prepare)
+    return VaultTable(name, "reference", {}, payload, natural_key=natural_key, prepare=prepare, upkeep=upkeep)
 
 
 HUBS = {entity: hub(entity) for entity in ENTITIES}
@@ -196,6 +198,7 @@ MODEL: dict[str, tuple[VaultTable, ...]] = {
             ("geolocation_zip_code_prefix",),
             ("geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state"),
             prepare=zip_centroids,
+            upkeep=KeptPoints,
         ),
     ),
     "product_category_name_translation": (

@@ -112,6 +112,8 @@ class VaultStore:
         if table.kind == "reference":
             others = [F.asc(column) for column in table.payload]
             rows = first_row(rows, table.key, [F.desc("load_dts"), *others])
+            if table.upkeep:  # a row without a source says that the key is gone
+                rows = rows.where("record_source is not null")
         return rows
 
     def current(self, name: str) -> DataFrame:

@@ -235,6 +235,21 @@ COUNTED = {
 }
 ROW_COUNTS = {name: f"select count(*) from {cte}" for name, cte in COUNTED.items()}
 
+# Different keys of every table of the batch datasets.
+_KEYS = {
+    "hub_customer": ("customers", "customer_unique_id"), "hub_customer_account": ("customers", "customer_id"),
+    "link_customer_account": ("customers", "customer_id, customer_unique_id"), "sat_customer_profile": ("customers", "customer_id"),
+    "hub_seller": ("sellers", "seller_id"), "sat_seller_profile": ("sellers", "seller_id"),
+    "hub_product": ("products", "product_id"), "sat_product_details": ("products", "product_id"),
+    "hub_order": ("purchases", "order_id"), "link_order_customer": ("purchases", "order_id, customer_id"), "sat_order_status": ("purchases", "order_id"),
+    "link_order_item": ("items", "order_id, order_item_id, product_id, seller_id"),
+    "sat_order_item_pricing": ("items", "order_id, order_item_id, product_id, seller_id"),
+    "link_order_payment": ("payments", "order_id, payment_sequential"), "sat_order_payment": ("payments", "order_id, payment_sequential"),
+    "hub_review": ("reviews", "review_id"), "link_order_review": ("reviews", "review_id, order_id"), "sat_order_review": ("reviews", "review_id"),
+    "ref_geolocation": ("points", "zip"), "ref_product_category": ("translation", "product_category_name"),
+}
+KEY_COUNTS = {table: f"select count(*) from (select distinct {key} from {cte})" for table, (cte, key) in _KEYS.items()}
+
 BENT = """
     select *, concat('S', k % 12) as bent_state, case when k % 3 = 1 then null else customer_name end as bent_name,
            price - 5 as bent_price, k % 4 as bent_items, k % 10 as bent_installments from happenings"""
@@ -596,6 +611,29 @@ ORACLE: dict[str, str] = {
         "select dataset, landed_rows, landed_rows as loaded_rows from (" + count_rows(ROW_COUNTS, "dataset", "landed_rows") + ")",
         *COUNTED.values(),
     ),
+    "late_events_any_cut": history(
+        "happenings", "order_hk", ["order_id"], SNAPSHOT, EVENTS, EVENT_SEQ, keep=["order_hk", "hashdiff", "seq_at"]
+    ),
+    "load_incremental": query(
+        "select table_name, row_count as keys, cast(0 as bigint) as differing_rows from (" + count_rows(KEY_COUNTS) + ")", *COUNTED.values()
+    ),
+    "centroid_incremental": query(
+        CENTROID.format(points="moved"),
+        "points",
+        moved="select geolocation_id, case when geolocation_id % 5 = 0 then concat(zip, '-B') else zip end as zip, "
+        "case when geolocation_id % 3 = 0 and geolocation_id % 5 <> 0 then lat + 1 else lat end as lat, lng, "
+        "case when geolocation_id % 5 = 0 then 'new' else city end as city, state from points "
+        "union all select geolocation_id + 10000000, zip, lat, lng, city, state from points where geolocation_id % 7 = 0",
+    ),
+    "bootstrap_after_dead_write": query(
+        "select dataset, landed_rows, cast(0 as bigint) as second_rows, "
+        "case when dataset in ('customers', 'orders', 'sellers') then landed_rows end as loaded_rows from ("
+        + count_rows(ROW_COUNTS, "dataset", "landed_rows") + ")",
+        *COUNTED.values(),
+    ),
+    "landing_after_dead_write": query(
+        "select event_id, date '2024-02-01' as raw_partition_date from happenings where event_type <> 'order_delivered'", "happenings"
+    ),
     "hubs_two_writers": query("select order_id from purchases union select order_id from happenings", "purchases", "happenings"),
     "lost_amounts": query(
         "select 'price' as column_name, count(*) filter (where price < 0.05) as lost_rows from happenings "

@@ -6,15 +6,18 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from lakevault.operators.merge import Written, write
+from lakevault.operators.merge import Written, keep_up, write
 from lakevault.operators.model import hashed, stamped, vault_rows
-from lakevault.operators.specs import MODEL
+from lakevault.operators.specs import MODEL, VaultTable
 from lakevault.operators.store import VaultStore
 from lakevault.session import shared_folder
+from lakevault.sources.ledger import BATCH_FILES, Ledger
+from lakevault.sources.raw import LINES, read_batches
 
 
 @contextmanager
@@ -35,9 +38,11 @@ def staged(store: VaultStore, rows: DataFrame, dataset: str) -> Iterator[DataFra
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def load_dataset(store: VaultStore, dataset: str, rows: DataFrame) -> list[Written]:
+def load_dataset(store: VaultStore, dataset: str, rows: DataFrame, part: bool = False) -> list[Written]:
     """Take one batch of a dataset into all its vault tables.
 
+    Averages are those of the batch, or with ``part`` those of all parts taken in so far.
+
     ``rows`` carry the dataset's columns plus ``load_dts``, ``record_source`` and ``seq``. Keys are
     digests of business keys, so no table waits for another one's keys and all are written side by side.
     """
@@ -47,8 +52,31 @@ def load_dataset(store: VaultStore, dataset: str, rows: DataFrame) -> list[Writt
     with staged(store, rows, dataset) as batch, ThreadPoolExecutor(len(tables)) as pool:
         batch_rows = batch.count()
         # The threads keep the job group of the caller, so cancelling a stream cancels its writes.
-        take = inheritable_thread_target(rows.sparkSession)(lambda table: write(store, table, vault_rows(batch, table), batch_rows))
-        return list(pool.map(take, tables))
+
+        def take(table: VaultTable) -> Written:
+            if part and table.upkeep:
+                return keep_up(store, table, batch, batch_rows)
+            return write(store, table, vault_rows(batch, table), batch_rows)
+
+        return list(pool.map(inheritable_thread_target(rows.sparkSession)(take), tables))
+
+
+def load_new_files(store: VaultStore, raw_root: str, dataset: str, layout: str = LINES, files: int = BATCH_FILES) -> list[Written]:
+    """Take in the raw files of a dataset that this vault has not taken in yet, whatever their landing date.
+
+    At most ``files`` of them at once, in landing order. The ledger lies in the vault's folder; a batch of files is listed
+    there once all tables have it, so a load that died takes them again, without effect where it had come.
+    """
+    ledger = Ledger(store.spark, f"{store.root}/_ledger")
+    total = {table.name: Written(table.name, table.kind, 0, 0) for table in MODEL[dataset]}
+    for batch in ledger.batches(raw_root, dataset, files):
+        paths = [row["path"] for row in batch.collect()]
+        rows = read_batches(store.spark, raw_root, dataset, load_now(), layout, files=paths)
+        for done in load_dataset(store, dataset, rows, part=True):
+            before = total[done.table]
+            total[done.table] = replace(before, staged_rows=before.staged_rows + done.staged_rows, appended_rows=before.appended_rows + done.appended_rows)
+        ledger.commit(dataset, batch)
+    return list(total.values())
 
 
 def load_now() -> dt.datetime:

@@ -21,13 +21,14 @@ from lakevault.operators import quality
 from lakevault.operators.contract import checked, checked_requests, parsed, quarantined, redrive
 from lakevault.operators.merge import Written
 from lakevault.operators.model import first_row
+from lakevault.operators.specs import MODEL
 from lakevault.operators.store import VaultStore
 from lakevault.plans import gold, reports
-from lakevault.plans.pipeline import load_table, run_all
+from lakevault.plans.pipeline import load_new_files, load_table, run_all
 from lakevault.session import configure, run_folder
 from lakevault.sources import benchtables
 from lakevault.sources.extract import Marks, bootstrap, changed_rows, extract, page_after
-from lakevault.sources.landing import TIMESTAMP_FORMAT, land_batch
+from lakevault.sources.landing import TIMESTAMP_FORMAT, day_folder, land_batch, once
 from lakevault.sources.raw import flat_events, read_batches, read_events, read_unreadable
 from lakevault.sources.schemas import RECORD_SOURCE, SOURCES
 from lakevault.sources.tables import load_csv_tables, load_summary
@@ -478,6 +479,117 @@ def extract_then_load(spark: SparkSession, folder: str) -> DataFrame:
     return outcome(spark, list(landed.items()), "dataset string, landed_rows bigint").join(done, "dataset")
 
 
+def late_events_any_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in three batches cut through all orders, the newest event first, without a replay: the full history."""
+    configure(spark)
+    store = new_store(spark, "any-cut")
+    rows = flat(spark, folder)
+    part = (F.dayofyear("event_timestamp") + F.col("event_id").cast("bigint")) % 3
+    for number in (2, 0, 1):
+        load(store, folder, "events", rows.where(part == number))
+    return store.read("sat_hot_order_snapshot").select("order_hk", "hashdiff", F.col("seq.at").alias("seq_at"))
+
+
+# For each dataset a column, and the other value that an older landing has in it.
+ONCE = {
+    "product_category_name_translation": ("product_category_name_english", "concat(product_category_name_english, ' then')"),
+    "customers": ("customer_city", "concat(customer_city, ' then')"),
+    "sellers": ("seller_city", "concat(seller_city, ' then')"),
+    "geolocation": ("geolocation_city", "concat(geolocation_city, ' then')"),
+    "products": ("product_weight_g", "product_weight_g + 1"),
+    "orders": ("order_status", "'created'"),
+    "order_items": ("freight_value", "freight_value + 1"),
+    "order_payments": ("payment_value", "payment_value + 1"),
+    "order_reviews": ("review_score", "review_score + 1"),
+}
+
+
+def load_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Three landings of every table, each loaded as it comes: two thirds of the rows, older values of half of all rows
+    under an earlier date, and everything once more. The keys of each vault table, and in how many rows it differs from
+    one load of all files."""
+    configure(spark)
+    root = run_folder(spark, "incremental")
+    piecemeal, whole = new_store(spark, "incremental"), new_store(spark, "whole")
+
+    def take(name: str) -> None:
+        rows = benchtables.dataset(spark, folder, name)
+        number = F.crc32(F.concat_ws("/", *SOURCES[name].primary_key).cast("binary"))
+        changed, value = ONCE[name]
+        older = rows.where(number % 2 == 0).withColumn(changed, F.expr(value))
+        for part, days in ((rows.where(number % 3 != 0), 0), (older, -3), (rows, 1)):
+            land_batch(part, f"{root}/raw", name, LANDED_ON + dt.timedelta(days=days))
+            load_new_files(piecemeal, f"{root}/raw", name)
+        load_new_files(piecemeal, f"{root}/raw", name)
+        run_all(whole, {name: lambda: read_batches(spark, f"{root}/raw", name, LOADED_AT)}).collect()
+
+    # The datasets of the model share no table but the hubs of orders and customers, whose writers take turns.
+    with ThreadPoolExecutor(len(SOURCES)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(take), SOURCES))
+    found = []
+    for table in (table for name in SOURCES for table in MODEL[name]):
+        one, other = (store.read(table.name).drop("load_dts") for store in (piecemeal, whole))
+        sides = one.withColumn("side", F.lit(1)).unionByName(other.withColumn("side", F.lit(-1)))
+        differing = sides.groupBy(*other.columns).agg(F.sum("side").alias("sides")).where("sides != 0").count()
+        found.append((table.name, other.select(*table.key).distinct().count(), differing))
+    return outcome(spark, found, "table_name string, keys bigint, differing_rows bigint")
+
+
+def centroid_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Zip centroids after four landings: all points, some that moved, some of another zip and new ones, and older places that came late."""
+    configure(spark)
+    root, store = run_folder(spark, "centroids"), new_store(spark, "centroids")
+    points, number = benchtables.dataset(spark, folder, "geolocation"), F.col("geolocation_id")
+    moved = points.where(number % 3 == 0).withColumn("geolocation_lat", F.col("geolocation_lat") + 1)
+    rezoned = points.where(number % 5 == 0).withColumns(
+        {"geolocation_zip_code_prefix": F.concat("geolocation_zip_code_prefix", F.lit("-B")), "geolocation_city": F.lit("new")}
+    )
+    added = points.where(number % 7 == 0).withColumn("geolocation_id", number + 10_000_000)
+    late = points.where(number % 2 == 0).withColumn("geolocation_lat", F.lit(0.0))
+    for rows, days in ((points, 0), (moved, 1), (rezoned.unionByName(added), 2), (late, -1)):
+        land_batch(rows, root, "geolocation", LANDED_ON + dt.timedelta(days=days))
+        load_new_files(store, root, "geolocation")
+    return store.read("ref_geolocation").drop("load_dts", "record_source")
+
+
+def leave_behind(spark: SparkSession, path: str, text: str = "{") -> None:
+    """What a write that died leaves in a folder: a half-written file and no mark of success."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{path}/_temporary/0/task")
+
+
+def bootstrap_after_dead_write(spark: SparkSession, folder: str) -> DataFrame:
+    """First extracts where an earlier one of every table died while it wrote: all tables are landed and loaded."""
+    configure(spark)
+    root, store = run_folder(spark, "dead-bootstrap"), new_store(spark, "dead-bootstrap")
+    tables = {name: benchtables.dataset(spark, folder, name) for name in SOURCES}
+    for name in tables:
+        leave_behind(spark, f"{day_folder(f'{root}/raw', name, LANDED_ON)}/run-dead")
+        leave_behind(spark, f"{root}/marks/{name}")
+    landed = bootstrap(spark, tables, f"{root}/raw", Marks(spark, f"{root}/marks"), LANDED_ON)
+    again = bootstrap(spark, tables, f"{root}/raw", Marks(spark, f"{root}/marks"), LANDED_ON)
+    loaded = {name: load_new_files(store, f"{root}/raw", name)[0].staged_rows for name in ("customers", "orders", "sellers")}
+    rows = [(name, landed.get(name, 0), again.get(name, 0), loaded.get(name)) for name in SOURCES]
+    return outcome(spark, rows, "dataset string, landed_rows bigint, second_rows bigint, loaded_rows bigint")
+
+
+def landing_after_dead_write(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages landed by a job whose earlier attempts died while they wrote run id, landing date, ledger and events."""
+    configure(spark)
+    root = run_folder(spark, "dead-landing")
+    message_files(spark, folder, f"{root}/inbox")
+    run = "0123456789abcdef"
+    for path in (f"{root}/raw/landing_dates/run={run}/batch={0:010d}", f"{root}/raw/landed_message_ids/run={run}/batch={0:010d}",
+                 f"{day_folder(f'{root}/raw', 'events', LANDED_ON)}/run-{run}-batch-{0:010d}", f"{root}/quarantine/run={run}/batch=0"):
+        leave_behind(spark, path)
+    leave_behind(spark, f"{root}/checkpoint/run_id")
+    once(spark, f"{root}/checkpoint/run_id", run)
+    for days in (0, 1):
+        jobs.landing_job(
+            spark, f"{root}/inbox", f"{root}/raw", f"{root}/quarantine", f"{root}/checkpoint", LANDED_ON + dt.timedelta(days=days)
+        )
+    return flat_events(read_events(spark, f"{root}/raw", LOADED_AT)).select("event_id", "raw_partition_date")
+
+
 def hubs_two_writers(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of the order hub after orders and events were loaded side by side, twice."""
     configure(spark)
@@ -649,6 +761,11 @@ QUERIES: dict[str, Query] = {
     "landing_idempotent": landing_idempotent,
     "landing_restart": landing_restart,
     "extract_then_load": extract_then_load,
+    "late_events_any_cut": late_events_any_cut,
+    "load_incremental": load_incremental,
+    "centroid_incremental": centroid_incremental,
+    "bootstrap_after_dead_write": bootstrap_after_dead_write,
+    "landing_after_dead_write": landing_after_dead_write,
     "hubs_two_writers": hubs_two_writers,
     "lost_amounts": lost_amounts,
     "contract_violations": contract_violations,

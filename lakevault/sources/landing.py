@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakevault.operators.merge import fits_broadcast, missing_rows
 from lakevault.operators.model import first_row
-from lakevault.sources.raw import has_files
+from lakevault.sources.files import has_files, is_written
 from lakevault.sources.schemas import EVENTS, SOURCES
 
 # Fixed value: microseconds survive the way through JSON.
@@ -49,8 +49,8 @@ def land_batch(
 
 
 def once(spark: SparkSession, path: str, value: str) -> str:
-    """The value kept at a place: what was written there first, by whichever attempt."""
-    if not has_files(spark, path):
+    """The value kept at a place: what was written there first, by whichever attempt came to its end."""
+    if not is_written(spark, path):
         spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").parquet(path)
     return spark.read.schema("value string").parquet(path).first()["value"]
 

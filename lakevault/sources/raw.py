@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakevault.operators.model import sequence, stamped
+from lakevault.sources.files import has_files
 from lakevault.sources.schemas import EVENT_SCHEMA, EVENTS, RECORD_SOURCE, SOURCES
 
 CORRUPT = "_corrupt"
@@ -23,20 +24,7 @@ def dataset_path(root: str, dataset: str = EVENTS) -> str:
     return f"{root.rstrip('/')}/{dataset}"
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Is there any file to read? The listing stops at the first one whose name is not hidden."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return False
-    files = system.listFiles(folder, True)
-    while files.hasNext():
-        if not files.next().getPath().getName().startswith(("_", ".")):
-            return True
-    return False
-
-
-def _json_rows(spark: SparkSession, path: str, schema: StructType, array_files: bool) -> DataFrame:
+def _json_rows(spark: SparkSession, path: str, schema: StructType, array_files: bool, files: list[str] | None = None) -> DataFrame:
     declared = StructType(list(schema.fields)).add(CORRUPT, "string")
     for field in PARTITIONS.fields:
         declared.add(field)
@@ -47,7 +35,8 @@ def _json_rows(spark: SparkSession, path: str, schema: StructType, array_files:
         .option("pathGlobFilter", "*.{json,txt}")
     )
     try:
-        rows = reader.json(path).withColumn("raw_file", F.col("_metadata.file_path"))
+        found = reader.json(path) if files is None else reader.option("basePath", path).json(files)
+        rows = found.withColumn("raw_file", F.col("_metadata.file_path"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -93,19 +82,20 @@ def read_batches(
     load_dts: dt.datetime,
     layout: str = LINES,
     since: dt.date | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """Rows of a batch dataset; no folder at all gives an empty frame of the same schema.
 
     ``layout``: ``lines`` takes one object or one whole array of objects per line, so it reads landings
     of both forms, and files can be split. ``pretty`` is for files of one value printed over many lines;
-    it raises if a file holds more than one. ``since`` limits the landing dates read.
+    it raises if a file holds more than one. ``since`` limits the landing dates read, ``files`` the files.
     """
     schema = SOURCES[dataset].schema
     if layout not in (LINES, PRETTY):
         raise ValueError(f"unknown layout {layout!r}; known: {LINES}, {PRETTY}")
     if layout == PRETTY:
         refuse_many_values(spark, dataset_path(root, dataset))
-    rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == PRETTY)
+    rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == PRETTY, files)
     if since is not None:
         rows = rows.where(F.make_date("year", "month", "day") >= F.lit(since))
     good = rows.where(~_unreadable(schema)).drop(CORRUPT)
