@@ -7,7 +7,7 @@
     python -m lakevault bootstrap    --tables FOLDER --raw RAW --marks FOLDER [--datasets all|a,b]
     python -m lakevault land-events  --inbox FOLDER --raw RAW --quarantine FOLDER --checkpoint FOLDER
     python -m lakevault redrive      --raw RAW --quarantine FOLDER
-    python -m lakevault hourly       --raw RAW --sink FOLDER --checkpoint FOLDER [--delay "2 hours"]
+    python -m lakevault hourly       --raw RAW --sink FOLDER --checkpoint FOLDER
     python -m lakevault check        --tables FOLDER
 
 ``extract``, ``bootstrap`` and ``check`` read one Parquet folder per table. ``report`` without a name lists the
@@ -64,7 +64,6 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     kinds.choices["load-events"].add_argument("--checkpoint", required=True)
     kinds.choices["report"].add_argument("name", nargs="?")
     kinds.choices["extract"].add_argument("--mode", choices=("cursor", "diff"), default="cursor")
-    kinds.choices["hourly"].add_argument("--delay", default="2 hours")
     return parser.parse_args(given)
 
 
@@ -100,7 +99,7 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> None:
     elif asked.job == "redrive":
         print(jobs.redrive_job(spark, asked.raw, asked.quarantine, day))
     else:
-        jobs.hourly_job(spark, dataset_path(asked.raw), asked.sink, asked.checkpoint, asked.delay)
+        jobs.hourly_job(spark, dataset_path(asked.raw), asked.sink, asked.checkpoint)
 
 
 def main(given: list[str] | None = None) -> None:

@@ -664,9 +664,15 @@ ORACLE: dict[str, str] = {
     ),
     "stream_dedup": query("select event_id as message_id, event_timestamp as sent_at from happenings", "happenings"),
     "stream_hourly": query(
-        "select date_trunc('hour', event_timestamp) as hora, event_type, product_category_name, count(*) as eventos, "
-        "cast(sum(cast(price as decimal(18,2)) + cast(freight_value as decimal(18,2))) as double) as valor_total "
-        "from happenings group by 1, 2, 3",
+        "select date_trunc('hour', event_timestamp) as hora, kind as event_type, product_category_name, count(*) as eventos, "
+        "cast(sum(cast(price as decimal(18,2)) + cast(freight_value as decimal(18,2))) as double) as valor_total, "
+        "true as orders_near, true as customers_near "
+        "from (select *, event_type as kind from happenings union all select *, concat(event_type, '_again') from happenings) group by 1, 2, 3",
+        "happenings",
+    ),
+    "stream_lost_rows": query(
+        "select case event_type when 'order_delivered' then 'unreadable' when 'order_invoiced' then 'no event id' else 'taken in' end as reason, "
+        "count(*) as events from happenings group by 1",
         "happenings",
     ),
     "pk_violations": query(

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.functions.hashing import digest
@@ -646,13 +646,49 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly counts and sums kept up to date by a stream."""
+    """Hourly figures by a stream, half of the files under one checkpoint, then all under a new one; counts of different
+    orders and customers within 5 % (one at least) of those of the batch view."""
     configure(spark)
     root = run_folder(spark, "hourly")
-    event_files(spark, folder, root)
-    jobs.hourly_job(spark, f"{root}/events", f"{root}/hours", f"{root}/checkpoint", "60 days", files_per_batch=2)
+    event_files(spark, folder, f"{root}/first", files=2)
+    jobs.hourly_job(spark, f"{root}/first/events", f"{root}/hours", f"{root}/checkpoint-1", files_per_batch=1)
+    # More events land beside the first ones; a new checkpoint sees all files.
+    more = benchtables.events(spark, folder).withColumn("event_type", F.concat("event_type", F.lit("_again")))
+    target = f"{root}/first/events/year={LANDED_ON:%Y}/month={LANDED_ON:%m}/day={LANDED_ON:%d}"
+    more.repartition(2, "event_id").write.mode("append").option("timestampFormat", TIMESTAMP_FORMAT).json(target)
+    for checkpoint in ("2", "2", "3"):
+        jobs.hourly_job(spark, f"{root}/first/events", f"{root}/hours", f"{root}/checkpoint-{checkpoint}")
+    exact = benchtables.events(spark, folder).unionByName(more).groupBy(
+        F.date_trunc("hour", "event_timestamp").alias("hora"), "event_type", F.col("order.product_category_name").alias("product_category_name")
+    ).agg(F.countDistinct("order.order_id").alias("orders"), F.countDistinct("customer.customer_unique_id").alias("customers"))
     hours = jobs.latest_hours(spark, f"{root}/hours")
-    return hours.select("hora", "event_type", "product_category_name", "eventos", "valor_total")
+    same = [hours[name].eqNullSafe(exact[name]) for name in jobs.HOUR]
+
+    def near(found: str, truth: str) -> Column:
+        return F.abs(F.col(found) - F.col(truth)) <= F.greatest(F.lit(1), F.col(truth) * 0.05)
+
+    return hours.join(exact, same).select(
+        *[hours[name] for name in jobs.HOUR], "eventos", "valor_total",
+        near("pedidos_aproximados", "orders").alias("orders_near"), near("clientes_aproximados", "customers").alias("customers_near"),
+    )
+
+
+def stream_lost_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of which one type was cut off and one lost its id, streamed into a vault under two checkpoints: each row that
+    the vault cannot take in, once."""
+    configure(spark)
+    root, store = run_folder(spark, "lost"), new_store(spark, "lost")
+    body = F.to_json(F.struct(*benchtables.events(spark, folder).columns), {"timestampFormat": TIMESTAMP_FORMAT})
+    kind = F.col("event_type")
+    events = benchtables.events(spark, folder).withColumn("event_id", F.when(kind != "order_invoiced", F.col("event_id")))
+    lines = events.withColumn("body", body).withColumn("body", F.when(kind == "order_delivered", F.expr("substring(body, 1, length(body) - 2)")).otherwise(F.col("body")))
+    target = f"{root}/events/year={LANDED_ON:%Y}/month={LANDED_ON:%m}/day={LANDED_ON:%d}"
+    lines.select("body").repartition(3).write.text(target)
+    for checkpoint in ("1", "1", "2"):
+        jobs.vault_job(store, f"{root}/events", f"{root}/checkpoint-{checkpoint}")
+    lost = jobs.rejected_events(store).groupBy("reason").agg(F.count(F.lit(1)).alias("events"))
+    taken = store.read("hub_event").select(F.lit("taken in").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("events"))
+    return lost.unionByName(taken)
 
 
 def pk_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -774,6 +810,7 @@ QUERIES: dict[str, Query] = {
     "stream_vault": stream_vault,
     "stream_dedup": stream_dedup,
     "stream_hourly": stream_hourly,
+    "stream_lost_rows": stream_lost_rows,
     "pk_violations": pk_violations,
     "fk_orphans": fk_orphans,
     "event_order_orphans": event_order_orphans,

@@ -7,7 +7,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -56,7 +56,7 @@ def refuse_many_values(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{found[0]['file']} holds several values, one to a line; read it with layout='{LINES}'")
 
 
-def _unreadable(schema: StructType):
+def unreadable_rows(schema: StructType) -> Column:
     """A file or line that gave no value at all. One bad value only empties its own field."""
     return F.col(CORRUPT).isNotNull() & F.coalesce(
         *(F.when(F.col(f"`{name}`").isNotNull(), F.lit(False)) for name in schema.fieldNames()), F.lit(True)
@@ -98,7 +98,7 @@ def read_batches(
     rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == PRETTY, files)
     if since is not None:
         rows = rows.where(F.make_date("year", "month", "day") >= F.lit(since))
-    good = rows.where(~_unreadable(schema)).drop(CORRUPT)
+    good = rows.where(~unreadable_rows(schema)).drop(CORRUPT)
     loaded = with_raw_metadata(good, f"{RECORD_SOURCE['batch']}.{dataset}", load_dts)
     # The place below the dataset's folder: another spelling of the root does not change the order.
     place = F.substring_index("raw_file", f"/{dataset}/year=", -1)
@@ -112,7 +112,7 @@ def read_events(
     rows = _json_rows(spark, dataset_path(root), EVENT_SCHEMA, array_files=False)
     if since is not None:
         rows = rows.where(F.make_date("year", "month", "day") >= F.lit(since))
-    good = rows.where(~_unreadable(EVENT_SCHEMA)).drop(CORRUPT)
+    good = rows.where(~unreadable_rows(EVENT_SCHEMA)).drop(CORRUPT)
     return with_raw_metadata(good, f"{RECORD_SOURCE['events']}.{EVENTS}", load_dts)
 
 
@@ -120,7 +120,7 @@ def read_unreadable(spark: SparkSession, root: str, dataset: str, layout: str =
     """What the readers leave out: (raw_file, payload) of files or lines that are no JSON."""
     schema = EVENT_SCHEMA if dataset == EVENTS else SOURCES[dataset].schema
     rows = _json_rows(spark, dataset_path(root, dataset), schema, layout == PRETTY and dataset != EVENTS)
-    return rows.where(_unreadable(schema)).select("raw_file", F.col(CORRUPT).alias("payload"))
+    return rows.where(unreadable_rows(schema)).select("raw_file", F.col(CORRUPT).alias("payload"))
 
 
 def flat_events(events: DataFrame) -> DataFrame:

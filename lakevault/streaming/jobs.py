@@ -13,8 +13,9 @@ from lakevault.operators.contract import accepted, parsed, quarantined, redrive
 from lakevault.operators.store import VaultStore
 from lakevault.plans.pipeline import load_dataset, load_now
 from lakevault.session import remove, shared_folder
+from lakevault.sources.files import has_files, is_written, written_folders
 from lakevault.sources.landing import land_messages, once
-from lakevault.sources.raw import CORRUPT, PARTITIONS, flat_events, has_files, with_raw_metadata
+from lakevault.sources.raw import CORRUPT, PARTITIONS, flat_events, unreadable_rows, with_raw_metadata
 from lakevault.sources.schemas import EVENT_SCHEMA, EVENTS, RECORD_SOURCE
 
 
@@ -39,21 +40,41 @@ def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 
 def vault_job(store: VaultStore, path: str, checkpoint: str, files_per_batch: int | None = None) -> StreamingQuery:
-    """Landed events into the vault.
+    """Landed events into the vault; lines that are no event into the vault's quarantine (see ``rejected_events``).
 
     A micro-batch that is repeated after a failure adds nothing twice, because every write takes
-    only what is missing; so the sink needs no memory of batch numbers.
+    only what is missing; so the vault's tables need no memory of batch numbers. The quarantine's folders are named
+    after the checkpoint's run and the micro-batch, and replaced by a repetition.
     """
     record_source = f"{RECORD_SOURCE['events']}.{EVENTS}"
+    run = once(store.spark, f"{checkpoint.rstrip('/')}/run_id", uuid.uuid4().hex)
 
-    def take(batch: DataFrame, _: int) -> None:
-        rows = flat_events(with_raw_metadata(batch.drop(CORRUPT), record_source, load_now()))
+    def take(batch: DataFrame, batch_id: int) -> None:
+        unreadable = unreadable_rows(EVENT_SCHEMA)
+        rows = flat_events(with_raw_metadata(batch.where(~unreadable).drop(CORRUPT), record_source, load_now()))
         load_dataset(store.within(batch.sparkSession), EVENTS, rows)
+        rejected = batch.where(unreadable).select("raw_file", F.col(CORRUPT).alias("payload"), F.lit("unreadable").alias("reason"))
+        keyless = batch.where(~unreadable & F.col("event_id").isNull())
+        keyless = keyless.select("raw_file", F.to_json(F.struct(*EVENT_SCHEMA.fieldNames())).alias("payload"), F.lit("no event id").alias("reason"))
+        rejected.unionByName(keyless).write.mode("overwrite").parquet(f"{store.root}/_rejected_events/run={run}/batch={batch_id}")
 
     stream = event_stream(store.spark, path, files_per_batch)
     return drain(stream.writeStream.foreachBatch(take), checkpoint)
 
 
+def rejected_events(store: VaultStore) -> DataFrame:
+    """What ``vault_job`` could not take in: raw_file, payload and reason; a line that several runs met counts once."""
+    schema = "raw_file string, payload string, reason string"
+    folders = written_folders(store.spark, f"{store.root}/_rejected_events/run=*/batch=*")
+    if not folders:
+        return store.spark.createDataFrame([], schema)
+    rows = store.spark.read.schema(schema).option("basePath", f"{store.root}/_rejected_events").parquet(*folders)
+    # Equal lines of one file came in one run as often as they are there.
+    copies = rows.groupBy("raw_file", "payload", "reason", "run").count()
+    most = copies.groupBy("raw_file", "payload", "reason").agg(F.max("count").alias("copies"))
+    return most.select("raw_file", "payload", "reason", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+
+
 def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Messages (message_id, body, sent_at) as they were received, one JSON object per line."""
     reader = spark.readStream.schema("message_id string, body string, sent_at timestamp")
@@ -100,19 +121,19 @@ def redrive_job(spark: SparkSession, raw_root: str, quarantine: str, run_date: d
     """
     quarantine = quarantine.rstrip("/")
     pending = f"{quarantine}/_redrive"
-    noted = exists(spark, f"{pending}/plan/_SUCCESS")
+    noted = is_written(spark, f"{pending}/plan")
     plan = spark.read.schema("run string, folder string").parquet(f"{pending}/plan").collect() if noted else []
     if plan:
         run, folders = plan[0]["run"], [row["folder"] for row in plan]
     else:
         if not has_files(spark, quarantine):
             return {"landed": 0, "waiting": 0, "given_up": 0}
-        run, folders = f"redrive-{uuid.uuid4().hex}", batch_folders(spark, quarantine)
+        run, folders = f"redrive-{uuid.uuid4().hex}", written_folders(spark, f"{quarantine}/run=*/batch=*")
         if not folders:
             return {"landed": 0, "waiting": 0, "given_up": 0}
         spark.createDataFrame([(run, folder) for folder in folders], "run string, folder string").coalesce(1).write.mode("overwrite").parquet(f"{pending}/plan")
     judged = f"{pending}/judged-{run}"
-    if not exists(spark, f"{judged}/_SUCCESS"):
+    if not is_written(spark, judged):
         held = spark.read.schema("message_id string, body string, reasons array<string>, attempt int").parquet(*folders)
         named = held.where("message_id is not null").dropDuplicates(["message_id", "body", "attempt"])
         good, again, spent = redrive(named.unionByName(held.where("message_id is null")))
@@ -129,62 +150,74 @@ def redrive_job(spark: SparkSession, raw_root: str, quarantine: str, run_date: d
     return counts
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
-def batch_folders(spark: SparkSession, quarantine: str) -> list[str]:
-    """The finished micro-batches in quarantine, as folders; their files are not listed."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{quarantine}/run=*/batch=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return [status.getPath().getParent().toString() for status in found]
-
-
 def distinct_messages(messages: DataFrame, delay: str) -> DataFrame:
     """Each message id once, as long as copies are sent within ``delay`` of each other."""
     return messages.withWatermark("sent_at", delay).dropDuplicatesWithinWatermark(["message_id"])
 
 
-def hourly_activity(events: DataFrame, delay: str) -> DataFrame:
-    """Tumbling one-hour counts and sums per type and category, with approximate distinct orders and customers."""
+HOUR = ["hora", "event_type", "product_category_name"]
+# Sketches of this many register bits: an estimate is within about 2 % of the count.
+SKETCH_BITS = 12
+
+
+def hourly_activity(events: DataFrame) -> DataFrame:
+    """What events add to their hours, per type and category: counts, sums, and sketches of the different orders and customers.
+
+    Sums are exact decimals and sketches can be united, so parts of an hour that were worked out apart add up to
+    the whole. Events without a time belong to no hour.
+    """
     price, freight = F.col("order.price").cast("decimal(18,2)"), F.col("order.freight_value").cast("decimal(18,2)")
+    hours = F.date_trunc("hour", "event_timestamp").alias("hora")
     return (
-        events.withWatermark("event_timestamp", delay)
-        .groupBy(
-            F.window("event_timestamp", "1 hour"),
-            "event_type",
-            F.col("order.product_category_name").alias("product_category_name"),
-        )
+        events.where("event_timestamp is not null")
+        .groupBy(hours, "event_type", F.col("order.product_category_name").alias("product_category_name"))
         .agg(
             F.count(F.lit(1)).alias("eventos"),
-            F.approx_count_distinct("order.order_id").alias("pedidos_aproximados"),
-            F.approx_count_distinct("customer.customer_unique_id").alias("clientes_aproximados"),
-            F.sum(price + freight).cast("double").alias("valor_total"),
-        )
-        .select(
-            F.col("window.start").alias("hora"), "event_type", "product_category_name", "eventos",
-            "pedidos_aproximados", "clientes_aproximados", "valor_total",
+            F.hll_sketch_agg("order.order_id", SKETCH_BITS).alias("pedidos"),
+            F.hll_sketch_agg("customer.customer_unique_id", SKETCH_BITS).alias("clientes"),
+            F.sum(price + freight).cast("decimal(28,2)").alias("valor"),
         )
     )
 
 
-def hourly_job(spark: SparkSession, path: str, sink: str, checkpoint: str, delay: str, files_per_batch: int | None = None) -> StreamingQuery:
-    """Hourly activity as a growing table: each micro-batch writes the hours it changed."""
+PARTS_SCHEMA = (
+    "hora timestamp, event_type string, product_category_name string, eventos bigint, pedidos binary, clientes binary, "
+    "valor decimal(28,2), raw_file string, run string, batch bigint"
+)
+
+
+def hourly_job(spark: SparkSession, path: str, sink: str, checkpoint: str, files_per_batch: int | None = None) -> StreamingQuery:
+    """Hourly activity as a growing table of parts: each micro-batch adds what its files hold, however late their events are.
+
+    A micro-batch writes one folder, named after the checkpoint's run and its number, with the parts of hours and
+    the names of its files; repeated, it replaces itself. Files that any other micro-batch has taken in are left out, so
+    a new checkpoint, which sees all files again, counts nothing twice.
+    """
+    run = once(spark, f"{checkpoint.rstrip('/')}/run_id", uuid.uuid4().hex)
+    parts = f"{sink.rstrip('/')}/parts"
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        session = batch.sparkSession
+        files = batch.select("raw_file").distinct()
+        if has_files(session, parts):
+            taken = session.read.schema(PARTS_SCHEMA).parquet(parts).where("raw_file is not null")
+            others = taken.where((F.col("run") != run) | (F.col("batch") != batch_id)).select("raw_file")
+            # First those of this micro-batch, which are few, then the rest of its files.
+            known = others.join(F.broadcast(files), "raw_file", "left_semi").distinct()
+            files = files.join(known, "raw_file", "left_anti")
+        fresh = batch.join(F.broadcast(files), "raw_file", "left_semi")
+        rows = hourly_activity(fresh).unionByName(files, allowMissingColumns=True)
+        rows.write.mode("overwrite").parquet(f"{parts}/run={run}/batch={batch_id:010d}")
 
-    hours = hourly_activity(event_stream(spark, path, files_per_batch), delay)
-    return drain(hours.writeStream.outputMode("update").foreachBatch(take), checkpoint)
+    return drain(event_stream(spark, path, files_per_batch).writeStream.foreachBatch(take), checkpoint)
 
 
 def latest_hours(spark: SparkSession, sink: str) -> DataFrame:
-    """The newest figures of every hour, type and category that ``hourly_job`` wrote."""
-    rows = spark.read.parquet(sink)
-    figures = [c for c in rows.columns if c not in ("hora", "event_type", "product_category_name", "batch")]
-    return (
-        rows.groupBy("hora", "event_type", "product_category_name")
-        .agg(F.max_by(F.struct(*figures), "batch").alias("newest"))
-        .select("hora", "event_type", "product_category_name", "newest.*")
+    """The figures of every hour, type and category over all parts that ``hourly_job`` wrote; counts of different keys are estimates."""
+    parts = spark.read.schema(PARTS_SCHEMA).parquet(f"{sink.rstrip('/')}/parts").where("raw_file is null")
+    return parts.groupBy(*HOUR).agg(
+        F.sum("eventos").alias("eventos"),
+        F.hll_sketch_estimate(F.hll_union_agg("pedidos")).alias("pedidos_aproximados"),
+        F.hll_sketch_estimate(F.hll_union_agg("clientes")).alias("clientes_aproximados"),
+        F.sum("valor").cast("double").alias("valor_total"),
     )

@@ -105,18 +105,29 @@ def test_copies_within_the_delay_are_dropped_in_the_stream(spark, folder):
 def test_hourly_figures_follow_late_events(spark, folder):
     raw = f"{folder}/raw/{EVENTS}"
     put(f"{raw}/{DAY}", "a.json", at(1, 10), at(2, 10, order="o2"), at(3, 11))
-    jobs.hourly_job(spark, raw, f"{folder}/hours", f"{folder}/check", "1 day")
+    jobs.hourly_job(spark, raw, f"{folder}/hours", f"{folder}/check")
     put(f"{raw}/{DAY}", "b.json", at(4, 10, price=10.0, order="o2"))
-    jobs.hourly_job(spark, raw, f"{folder}/hours", f"{folder}/check", "1 day")
+    jobs.hourly_job(spark, raw, f"{folder}/hours", f"{folder}/check")
     rows = jobs.latest_hours(spark, f"{folder}/hours").orderBy("hora").collect()
     figures = [(r["hora"].hour, r["eventos"], r["pedidos_aproximados"], r["clientes_aproximados"], r["valor_total"]) for r in rows]
     assert figures == [(10, 3, 2, 1, 18.0), (11, 1, 1, 1, 3.5)]
 
 
+def test_a_new_checkpoint_counts_nothing_twice(spark, folder):
+    raw = f"{folder}/raw/{EVENTS}"
+    put(f"{raw}/{DAY}", "a.json", *(at(i, 10, order=f"o{i}") for i in range(5)))
+    jobs.hourly_job(spark, raw, f"{folder}/hours", f"{folder}/check")
+    put(f"{raw}/{DAY}", "b.json", *(at(i, 10, order=f"o{i % 7}") for i in range(5, 9)))
+    for check in ("new", "new", "newer"):
+        jobs.hourly_job(spark, raw, f"{folder}/hours", f"{folder}/{check}")
+    row = jobs.latest_hours(spark, f"{folder}/hours").first()
+    assert (row["eventos"], row["pedidos_aproximados"]) == (9, 7)
+
+
 def test_the_stream_and_the_batch_agree(spark, folder):
     raw = f"{folder}/raw"
     put(f"{raw}/{EVENTS}/{DAY}", "a.json", *(at(i, i % 24, price=i / 4, order=f"o{i % 5}") for i in range(100)))
-    jobs.hourly_job(spark, f"{raw}/{EVENTS}", f"{folder}/hours", f"{folder}/check", "1 day")
+    jobs.hourly_job(spark, f"{raw}/{EVENTS}", f"{folder}/hours", f"{folder}/check")
     batch = (
         flat_events(read_events(spark, raw, LOADED))
         .groupBy(F.date_trunc("hour", "event_timestamp").alias("hora"))
