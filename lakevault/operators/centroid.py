@@ -1,12 +1,10 @@
 """One point per zip prefix, worked out from all points or kept up as points come in."""
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakevault.sources.files import written_folders
+from lakevault.operators.batchlog import BatchLog
 
 # Degrees with 14 decimals: sums do not depend on the order in which partitions are combined.
 DEGREES = "decimal(27,14)"
@@ -56,7 +54,7 @@ def _centroids(places: DataFrame) -> DataFrame:
     )
 
 
-class KeptPoints:
+class KeptPoints(BatchLog):
     """Zip centroids under points that come in any order, move, change their zip or are repeated.
 
     ``points`` is a log of the newest row of each point: an entry holds the row and, where it replaced one, the old
@@ -66,17 +64,13 @@ class KeptPoints:
     has left.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
     def take(self, rows: DataFrame) -> tuple[DataFrame, list[str]]:
         """Take in a batch of points (with ``seq``): the new rows of the zip prefixes of all open batches, and these batches.
 
         A prefix that lost all its points comes back as a row of nulls, its source included.
         """
         newest = self._newest_of(rows)
-        logged = self._read("points")
+        logged = self.read("points")
         if logged is None:
             changed = newest.withColumn("old", F.lit(None).cast(newest.schema["now"].dataType))
         else:
@@ -84,8 +78,7 @@ class KeptPoints:
             known = logged.select("point", "now").join(newest.select("point"), "point", "left_semi").groupBy("point").agg(last)
             later = (F.col("now.seq") > F.col("old.seq")) | (F.col("now.weight") > F.col("old.weight"))
             changed = newest.join(known, "point", "left").where(F.col("old").isNull() | later)
-        changed.write.parquet(f"{self.path}/points/batch={uuid.uuid4().hex}")
-        batches = sorted(self._batches("points") - self._batches("closed"))
+        batches = self.add("points", changed)
         for batch in batches:
             self._add_up(batch)
         touched = self.spark.read.schema(self._fields()).parquet(*[f"{self.path}/sums/batch={batch}" for batch in batches])
@@ -93,14 +86,9 @@ class KeptPoints:
         found = places.join(self.centroids(places).drop("load_dts"), ZIP, "left").withColumnRenamed("stored_at", "load_dts")
         return found, batches
 
-    def close(self, batches: list[str]) -> None:
-        """The zips' rows of these batches are stored."""
-        for batch in batches:
-            self.spark.range(0).write.mode("overwrite").parquet(f"{self.path}/closed/batch={batch}")
-
     def centroids(self, of: DataFrame | None = None) -> DataFrame:
         """The centroid of every zip prefix that has points, or of those named."""
-        rows = self._read("sums", self._fields())
+        rows = self.read("sums", self._fields())
         if of is not None:
             rows = rows.join(of.select(ZIP), ZIP, "left_semi")
         kept = rows.groupBy(*PLACE).agg(*[F.sum(name).alias(name) for name in ADDED], F.max("load_dts").alias("load_dts"))
@@ -141,12 +129,3 @@ class KeptPoints:
     def _fields(self) -> str:
         fields = [f"{ZIP} string", "geolocation_city string", "geolocation_state string", "record_source string", "n bigint"]
         return ", ".join([*fields, f"lat_sum {SUM}", "lat_n bigint", f"lng_sum {SUM}", "lng_n bigint", "load_dts timestamp"])
-
-    def _read(self, part: str, schema: str | None = None) -> DataFrame | None:
-        """All finished batches of a part; None without any."""
-        folders = written_folders(self.spark, f"{self.path}/{part}/batch=*")
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(*folders) if folders else None
-
-    def _batches(self, part: str) -> set[str]:
-        return {folder.rpartition("batch=")[2] for folder in written_folders(self.spark, f"{self.path}/{part}/batch=*")}

@@ -105,8 +105,8 @@ def keep_up(store: VaultStore, table: VaultTable, rows: DataFrame, batch_rows: i
     if batch_rows == 0:
         return Written(table.name, table.kind, 0, 0)
     with store.lease(table.name):
-        kept = table.upkeep(store.spark, f"{store.root}/{table.name}_kept")
-        changed, batches = kept.take(rows)
+        kept = table.upkeep(store.spark, f"{store.root}/{table.name}_kept", table.key, list(table.payload))
+        changed, batches = kept.take(rows.where(all_present(table.identity)) if table.prepare is None else rows)
         appended = upsert(store, table, changed.where(all_present(table.identity)).select(*ready.columns), batch_rows)
         kept.close(batches)
     return Written(table.name, table.kind, batch_rows, appended)

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from lakevault.operators.batchlog import NewestRows
 from lakevault.operators.centroid import KeptPoints, zip_centroids
 
 # Entity -> business key.
@@ -40,7 +41,7 @@ class VaultTable:
     natural_key: tuple[str, ...] = ()
     compared: tuple[str, ...] | None = None  # satellite columns that count as a change; None = payload
     prepare: Callable[[DataFrame], DataFrame] | None = None
-    upkeep: type | None = None  # keeps a prepared table up to date from batches of its rows; see ``centroid.KeptPoints``
+    upkeep: type | None = None  # keeps a reference up to date from batches that are parts; see ``batchlog``
 
     @property
     def key(self) -> list[str]:
@@ -202,7 +203,7 @@ MODEL: dict[str, tuple[VaultTable, ...]] = {
         ),
     ),
     "product_category_name_translation": (
-        reference("ref_product_category", ("product_category_name",), ("product_category_name_english",)),
+        reference("ref_product_category", ("product_category_name",), ("product_category_name_english",), upkeep=NewestRows),
     ),
     "events": (
         HUBS["event"],

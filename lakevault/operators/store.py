@@ -5,7 +5,9 @@ are appends as well: a reference keeps its superseded rows and ``read`` returns
 """
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import replace
@@ -27,8 +29,8 @@ BUCKETED_KINDS = {"hub", "link"}
 # Tables of notes beside a satellite: its unchanged rows, and versions that were retired or revived.
 SEEN_TABLE, RETIRED_TABLE = "seen", "retired"
 
-# A lease that is older belongs to a job that died.
-LEASE_SECONDS = 6 * 3600
+# A lease that was not renewed for so long belongs to a job that died.
+LEASE_SECONDS = 300
 
 
 class VaultStore:
@@ -125,29 +127,83 @@ class VaultStore:
         """Be the only writer of a table, among all jobs of the vault, until the block ends.
 
         A file that only one job can create stands for the lease, in the vault's own folder. What is missing is
-        found and appended under one lease, so two loads that share a hub cannot both add a key.
+        found and appended under one lease, so two loads that share a hub cannot both add a key. The holder renews
+        it as long as the block runs, however long that is; one that nobody has renewed belongs to a job that died.
+        A holder that was away too long and lost the lease gets an error at the end.
         """
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_leases/{name}")
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        while True:
-            try:
-                system.create(path, False).close()
-                break
-            except Py4JJavaError as error:
-                if "AlreadyExists" not in error.java_exception.getClass().getName():
-                    raise
-            try:
-                if time.time() - system.getFileStatus(path).getModificationTime() / 1000 > LEASE_SECONDS:
-                    system.delete(path, False)
-            except Py4JJavaError as error:  # given back meanwhile
-                if "FileNotFound" not in error.java_exception.getClass().getName():
-                    raise
+        path, owner = f"{self.root}/_leases/{name}", uuid.uuid4().hex
+        while not self._create(path, owner):
+            self._take_from_dead(path)
             time.sleep(0.1)
+        done, lost = threading.Event(), []
+
+        def renew() -> None:
+            while not done.wait(LEASE_SECONDS / 6):
+                if self._owner(path) != owner:
+                    lost.append(True)
+                    return
+                self._create(path, owner, again=True)
+
+        keeper = threading.Thread(target=renew, daemon=True)
+        keeper.start()
         try:
             yield
         finally:
-            system.delete(path, False)
+            done.set()
+            keeper.join()
+            if not lost and self._owner(path) == owner:
+                self._system(path)[0].delete(self._system(path)[1], False)
+            else:
+                lost.append(True)
+        if lost:
+            raise RuntimeError(f"lost the lease of {name} while writing; another job may have added the same rows")
+
+    def _system(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _create(self, path: str, text: str, again: bool = False) -> bool:
+        """Write a small file; False if it is there already and not to be written again."""
+        system, place = self._system(path)
+        try:
+            stream = system.create(place, again)
+            stream.write(bytearray(text.encode()))
+            stream.close()
+            return True
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            return False
+
+    def _owner(self, path: str) -> str | None:
+        system, place = self._system(path)
+        try:
+            stream = system.open(place)
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            return text
+        except Py4JJavaError as error:
+            if "FileNotFound" not in error.java_exception.getClass().getName():
+                raise
+            return None
+
+    def _take_from_dead(self, path: str) -> None:
+        """Put a lease aside that was not renewed in time. Another job may have done so and taken it in between: then it gets it back."""
+        system, place = self._system(path)
+        try:
+            age = time.time() - system.getFileStatus(place).getModificationTime() / 1000
+            owner = self._owner(path)
+            if age <= LEASE_SECONDS or owner is None:
+                return
+            aside = self._system(f"{path}.{uuid.uuid4().hex}")[1]
+            if system.rename(place, aside):
+                if self._owner(aside.toString()) != owner:
+                    system.rename(aside, place)
+                else:
+                    system.delete(aside, False)
+        except Py4JJavaError as error:  # given back meanwhile
+            if "FileNotFound" not in error.java_exception.getClass().getName():
+                raise
 
     def is_empty(self, name: str) -> bool:
         return self.rows(name).isEmpty()

@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 from lakevault.sources.schemas import SOURCES
 
 
+# Datasets with free text, in which a quoted value may span lines; files of the others can be split anywhere.
+SPANNING = {"order_reviews"}
+
+
 def read_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """A CSV export with a header line, in the declared types; quoted texts may span lines."""
+    """A CSV export with a header line, in the declared types; quoted texts of ``SPANNING`` datasets may span lines."""
     return (
         spark.read.schema(SOURCES[dataset].schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", dataset in SPANNING)
         .option("escape", '"')
         .csv(path)
     )

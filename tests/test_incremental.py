@@ -1,6 +1,8 @@
 """Loads of new files only, centroids that are kept up, and what dead writes leave behind."""
 import datetime as dt
 import random
+import threading
+import time
 from pathlib import Path
 
 import pytest
@@ -12,6 +14,7 @@ from lakevault.operators.centroid import KeptPoints, zip_centroids
 from lakevault.plans import pipeline
 from lakevault.plans.pipeline import load_new_files
 from lakevault.plans.registry import leave_behind
+from lakevault.sources.extract import Marks, extract
 from lakevault.sources.files import has_files
 from lakevault.sources.landing import land_batch, once
 from lakevault.sources.ledger import Ledger
@@ -75,7 +78,7 @@ def test_kept_centroids_are_those_of_all_points(spark, folder, seed):
         (chance.choice([None, *range(8)]), chance.choice(["1", "2", "3"]), chance.choice([None, 0.25, -7.1, 1e6 / 3]), chance.choice("ab"), day)
         for day in range(30)
     ]
-    kept, order = KeptPoints(spark, folder), rows[:]
+    kept, order = KeptPoints(spark, folder, [], []), rows[:]
     chance.shuffle(order)
     for start in range(0, 30, 8):
         batch = order[start : start + 8]
@@ -127,3 +130,51 @@ def test_a_late_older_row_of_a_reference_stays_behind(spark, store, folder):
         land_batch(spark.createDataFrame([("a", english)], SOURCES[name].schema), raw, name, TODAY + dt.timedelta(days=days))
     whole = pipeline.load_dataset(store, name, read_batches(spark, raw, name, LOADED))
     assert whole[0].appended_rows == 1 and store.read("ref_product_category").first()["product_category_name_english"] == "new"
+
+
+def test_references_of_parts_keep_their_newest_rows(spark, store, folder):
+    raw, name = f"{folder}/raw", "product_category_name_translation"
+
+    def land(rows, days):
+        land_batch(spark.createDataFrame(rows, SOURCES[name].schema), raw, name, TODAY + dt.timedelta(days=days))
+        load_new_files(store, raw, name)
+        return {r[0]: r[1] for r in store.read("ref_product_category").select("product_category_name", "product_category_name_english").collect()}
+
+    assert land([("a", "x"), ("b", "y"), (None, "z")], 0) == {"a": "x", "b": "y"}
+    assert land([("a", "old"), ("c", "q")], -2) == {"a": "x", "b": "y", "c": "q"}
+    assert land([("b", None), ("c", "r")], 1) == {"a": "x", "b": None, "c": "r"}
+
+
+def test_a_slow_writer_keeps_its_lease_and_a_dead_one_loses_it(store, monkeypatch):
+    monkeypatch.setattr("lakevault.operators.store.LEASE_SECONDS", 2.0)
+    order = []
+
+    def slow():
+        with store.lease("hub_order"):
+            order.append("slow in")
+            time.sleep(5)
+            order.append("slow out")
+
+    thread = threading.Thread(target=slow)
+    thread.start()
+    time.sleep(0.5)
+    with store.lease("hub_order"):
+        order.append("second")
+    thread.join()
+    assert order == ["slow in", "slow out", "second"]
+    store._create(f"{store.root}/_leases/hub_order", "a job that died")
+    started = time.time()
+    with store.lease("hub_order"):
+        assert time.time() - started > 1.5
+    with pytest.raises(RuntimeError, match="lost the lease"), store.lease("hub_order"):
+        store._create(f"{store.root}/_leases/hub_order", "another job", again=True)
+
+
+def test_rows_out_of_reach_are_counted_and_a_start_can_be_given(spark, folder):
+    source = SOURCES["orders"]
+    rows = [(f"o{k}", "c", "created", None if k == 3 else dt.datetime(2018, 5, k), None, None, None, None) for k in range(1, 6)]
+    table, marks = spark.createDataFrame(rows, source.schema), Marks(spark, f"{folder}/marks")
+    done = extract(spark, table, "orders", f"{folder}/raw", marks, TODAY, start=(dt.datetime(2018, 5, 2), "o2"))
+    assert (done.rows, done.null_cursors, done.mark) == (2, 1, (dt.datetime(2018, 5, 5), "o5"))
+    with pytest.raises(ValueError, match="2 values"):
+        extract(spark, table, "orders", f"{folder}/raw", marks, TODAY, start=("o2",))
