@@ -2,6 +2,7 @@
 
     python -m lakevault load-batch   --raw RAW --vault VAULT [--database NAME] [--datasets all|a,b] [--all-files]
     python -m lakevault load-events  --raw RAW --vault VAULT [--database NAME] --checkpoint FOLDER
+    python -m lakevault views        --vault VAULT [--database NAME] [--prefix NAME]
     python -m lakevault report       --vault VAULT [--database NAME] [REPORT]
     python -m lakevault extract      --tables FOLDER --raw RAW --marks FOLDER [--datasets all|a,b] [--mode cursor|diff]
     python -m lakevault bootstrap    --tables FOLDER --raw RAW --marks FOLDER [--datasets all|a,b]
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakevault.operators import quality
 from lakevault.operators.store import VaultStore
 from lakevault.plans import gold, reports
+from lakevault.plans.lasting import lasting_views
 from lakevault.plans.pipeline import load_new_files, load_now, raise_if_failed, run_all
 from lakevault.session import configure
 from lakevault.sources.extract import Marks, bootstrap, extract
@@ -30,7 +32,7 @@ from lakevault.sources.raw import dataset_path, read_batches
 from lakevault.sources.schemas import SOURCES, choose
 from lakevault.streaming import jobs
 
-VAULT_JOBS = ("load-batch", "load-events", "report")
+VAULT_JOBS = ("load-batch", "load-events", "views", "report")
 # What each of the other jobs has to be told.
 FOLDERS = {
     "extract": ("tables", "raw", "marks"),
@@ -50,7 +52,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--vault", required=True, help="folder of the vault tables")
         job.add_argument("--database", default="silver")
         job.add_argument("--buckets", type=int, help="buckets of hubs and links, for large vaults")
-        if name != "report":
+        if name.startswith("load"):
             job.add_argument("--raw", required=True, help="folder of the landed files")
     for name, folders in FOLDERS.items():
         job = kinds.add_parser(name)
@@ -63,6 +65,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     kinds.choices["load-batch"].add_argument("--all-files", action="store_true", help="read files again that were loaded before")
     kinds.choices["load-events"].add_argument("--checkpoint", required=True)
     kinds.choices["report"].add_argument("name", nargs="?")
+    kinds.choices["views"].add_argument("--prefix", default="")
     kinds.choices["extract"].add_argument("--mode", choices=("cursor", "diff"), default="cursor")
     return parser.parse_args(given)
 
@@ -115,6 +118,8 @@ def main(given: list[str] | None = None) -> None:
     store.ensure_all()
     if asked.job == "report":
         reports.show_report(asked.name, gold.reader(store))
+    elif asked.job == "views":
+        print("\n".join(lasting_views(store, asked.prefix)))
     elif asked.job == "load-events":
         jobs.vault_job(store, dataset_path(asked.raw), asked.checkpoint)
     else:

@@ -24,6 +24,7 @@ from lakevault.operators.model import first_row
 from lakevault.operators.specs import MODEL
 from lakevault.operators.store import VaultStore
 from lakevault.plans import gold, reports
+from lakevault.plans.lasting import lasting_views
 from lakevault.plans.pipeline import load_new_files, load_table, run_all
 from lakevault.session import configure, run_folder
 from lakevault.sources import benchtables
@@ -154,6 +155,26 @@ def views_as_tables(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lasting_views_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The views as another session of the catalog sees them: rows of each, and rows in which it differs from the DataFrame view."""
+    store = vault(
+        spark, folder, "customers", "sellers", "products", "product_category_name_translation", "orders",
+        "order_items", "order_payments", "order_reviews", "geolocation", "events",
+    )
+    other = configure(spark.newSession())
+    found = []
+    for name, qualified in zip(gold.VIEWS, lasting_views(store, "lasting_")):
+        seen = other.table(qualified)
+        view = gold.VIEWS[name](store, None)
+        kinds = [c for c, kind in view.dtypes]
+        path = run_folder(spark, "lasting")
+        seen.select(*kinds).write.parquet(path)
+        sides = spark.read.schema(view.schema).parquet(path).withColumn("side", F.lit(1)).unionByName(view.withColumn("side", F.lit(-1)))
+        differing = sides.groupBy(*kinds).agg(F.sum("side").alias("sides")).where("sides != 0").count()
+        found.append((name, spark.read.parquet(path).count(), differing))
+    return outcome(spark, found, "view_name string, row_count bigint, differing_rows bigint")
+
+
 def hash_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of clean and of untidy keys, of composite keys and of nulls."""
     configure(spark)
@@ -782,6 +803,7 @@ QUERIES: dict[str, Query] = {
     "late_events_current": late_events_current,
     **{name: view_query(name) for name in gold.VIEWS},
     "views_as_tables": views_as_tables,
+    "lasting_views": lasting_views_query,
     **{name: report_query(name) for name in reports.REPORTS},
     "raw_batch_roundtrip": raw_batch_roundtrip,
     "raw_lines_roundtrip": raw_lines_roundtrip,
