@@ -2,13 +2,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from lakevault.session import run_folder
+from lakevault.session import remove, run_folder
 
 # A slice of a batch holds about so many text bytes (or one text), which bounds a task's memory.
 SLICE_BYTES = 4 << 20
@@ -17,11 +18,36 @@ CACHE_WORDS = 200_000
 CACHE_CHARS = 16 << 20
 
 
+# Lists that note the tables staged while they are here.
+_noting: list[list[str]] = []
+
+
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """Note the folders of all tables that are staged inside the block."""
+    paths: list[str] = []
+    _noting.append(paths)
+    try:
+        yield paths
+    finally:
+        _noting.remove(paths)
+
+
 def stage(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: it is computed once, and the lineage ends there."""
     path = run_folder(frame.sparkSession, f"llm-{label}")
+    for paths in _noting:
+        paths.append(path)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    staged = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing will read any more."""
+    for frame in frames:
+        remove(frame.sparkSession, frame.staged_at)
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:

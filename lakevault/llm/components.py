@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import stage
+from lakevault.llm.common import stage, unstage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        edges = stage(small.select("e.a", "e.b").where("a != b").distinct(), "links")
+        last, edges = edges, stage(small.select("e.a", "e.b").where("a != b").distinct(), "links")
+        unstage(last)
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if found == mark:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

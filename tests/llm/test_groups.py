@@ -69,6 +69,38 @@ def test_rows_without_id_and_rows_twice(spark):
     assert jaccard.similar_groups(docs.limit(0)).count() == 0
 
 
+def test_several_texts_under_one_id(spark):
+    chance = random.Random(3)
+    a, b = ([f"{kind}{chance.randrange(10**6)}" for _ in range(60)] for kind in "ab")
+    near = [" ".join(words[:30] + ["other"] + words[31:]) for words in (a, b)]
+    docs = spark.createDataFrame([(1, " ".join(a)), (1, " ".join(b)), (2, near[0]), (3, near[1]), (None, near[0]), (8, "alone")], "doc_id long, text string")
+    for part in (docs, docs.repartition(5)):
+        found = sorted(((row["doc_id"], row["component_id"]) for row in jaccard.similar_groups(part).collect()), key=str)
+        assert found == [(1, 1), (1, 1), (2, 1), (3, 1), (8, 8), (None, None)]
+    # An id ties its texts together: 9 and 2 are reached over 5.
+    tied = spark.createDataFrame([(5, " ".join(a)), (5, " ".join(b)), (2, near[0]), (9, near[1])], "doc_id long, text string")
+    assert {row["component_id"] for row in jaccard.similar_groups(tied).collect()} == {2}
+
+
+def test_large_groups_and_common_passages(spark):
+    """Hundreds of near copies, and hundreds of unlike texts that share a passage: the right groups, and pairs in proportion."""
+    chance = random.Random(9)
+    base = [f"v{chance.randrange(10**6)}" for _ in range(150)]
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for k in range(300):
+        copy = list(base)
+        for at in chance.sample(range(150), 2):
+            copy[at] = f"z{k}_{at}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(passage + [f"u{k}_{j}" for j in range(60)]) for k in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    sets = [shingles(text) for text in texts]
+    links = [(i, j) for i in range(300) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    wanted = smallest_linked(range(600), links)
+    assert {row["doc_id"]: row["component_id"] for row in jaccard.similar_groups(docs).collect()} == wanted
+
+
 def test_components_of_random_graphs(spark):
     chance = random.Random(1)
     for size in (1, 60, 150):
