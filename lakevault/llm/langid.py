@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.llm import crf
@@ -24,6 +24,8 @@ UNKNOWN = "und"
 TOKEN = re.compile(r"[^\W\d_]+|\n")
 # Bounds of the sample that the model is fitted to: rows of a language, and bytes of a text in it.
 SAMPLE_ROWS, SAMPLE_BYTES = 150, 20_000
+# Languages that a model tells apart at most.
+LANGUAGES = 200
 LEXICON_WORDS = 500
 AFFIX, GRAMS = 3, (2, 3)
 SLICE = 2 << 20
@@ -71,17 +73,22 @@ def _pieces(lines: list[str]) -> tuple[list[str], np.ndarray]:
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, rounds: int = 40) -> LanguageModel | None:
     """Fit the model to texts of known language (columns text, lang); None if there are none with letters.
 
-    Fitted on the driver to a sample of about ``sample_rows`` texts of each language (twice that at most), of
-    at most ``sample_bytes`` bytes each; which rows it takes depends on their contents alone.
+    Fitted on the driver to a sample of about ``sample_rows`` different texts of each language (twice that at most), of
+    at most ``sample_bytes`` bytes each; which texts it takes depends on their contents alone, and copies count once. More
+    than ``LANGUAGES`` values of lang are refused: the model, and what the driver holds, would grow with them.
     """
     usable = labelled.select("text", "lang").where("lang is not null and text is not null").where(F.octet_length("text") <= sample_bytes)
-    counts = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
+    texts_ = F.approx_count_distinct(F.xxhash64("text"))
+    counts = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(texts_.alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different values of lang")
     if not counts:
         return None
     places = F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000))
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(1e6 * min(1.0, sample_rows / n)) + 1)])
-    most = 2 * sample_rows * len(counts)
-    sample = usable.where(places < share[F.col("lang")]).orderBy(places, "text", "lang").limit(most).collect()
+    near = usable.where(places < share[F.col("lang")]).distinct()
+    own = Window.partitionBy("lang").orderBy(places, "text")
+    sample = near.withColumn("place", F.row_number().over(own)).where(F.col("place") <= 2 * sample_rows).orderBy("lang", "place").collect()
     languages = sorted(counts)
     lines, labels = [], []
     for row in sample:

@@ -46,7 +46,38 @@ def test_stages_take_odd_rows(spark):
             frame.collect()
 
 
+def documents(spark, rows):
+    return spark.createDataFrame([(key, text, lang, "s", len(text or "")) for key, text, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_language_decides(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) between 900 and 4000")
+    texts = {lang: [row["text"] for row in docs.where(f"lang = '{lang}'").limit(40).collect()] for lang in ("en", "de", "fr", "es")}
+    assert all(len(found) > 20 for found in texts.values())
+    rows = [(10 * k + at, text, lang) for k, (lang, found) in enumerate(texts.items()) for at, text in enumerate(found[1:])]
+    mixed = "\n".join(text[:200] for found in texts.values() for text in found[:8])
+    odd = [(9001, mixed, None), (9002, next(text for text in texts["de"] if " the " not in text.lower()) * 30, "en"), (9003, texts["fr"][0], None), (9004, "12 !?", "en"), (None, texts["es"][0], "es")]
+    found = {row["doc_id"]: row["lang"] for row in corpus_pipeline.language(spark, documents(spark, rows + odd), SMALL).collect()}
+    assert {9001, 9004}.isdisjoint(found)  # four languages in equal parts, and no letters
+    assert (found[9002], found[9003], found[None]) == ("de", "fr", "es")
+    assert len(found) >= 0.95 * len({key for key, *_ in rows})
+
+
+def test_rows_are_told_apart_whatever_their_ids(spark):
+    a, b = (" ".join(f"{kind}{k}" for k in range(60)) for kind in "ab")
+    rows = [(1, a, "en"), (1, b, "en"), (2, a + " more", "en"), (None, b, "en"), (None, "x y z", "en"), (None, "x y z", "en"), (3, None, "en"), (3, "", "en")]
+    kept = sorted(((row["doc_id"], row["text"]) for row in corpus_pipeline.near_duplicates(spark, documents(spark, rows).repartition(3), SMALL).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (None, "x y z"), (3, None), (3, "")], key=str)
+
+
+def test_an_item_in_a_row_without_an_id_is_found(spark):
+    item = max((row["text"] for row in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()), key=len)
+    rows = [(None, f"before {item} behind", "en"), (None, "clean words that no benchmark has at all", "en"), (7, f"more {item}", "en"), (7, "another clean text of some words", "en")]
+    kept = {row["text"] for row in corpus_pipeline.decontaminate(spark, documents(spark, rows), SMALL).collect()}
+    assert kept == {rows[1][1], rows[3][1]}
+
+
 def test_run_is_registered(spark):
     assert driver.queries()["pipeline"] is corpus_pipeline.run
-    assert sum(name.startswith("op") for name in driver.queries()) == 10
+    assert sum(name.startswith("op") for name in driver.queries()) == 13
     assert corpus_pipeline.run(spark, SMALL).count() > 100

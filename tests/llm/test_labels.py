@@ -59,6 +59,19 @@ def test_switching_texts_are_labelled_in_parts(spark):
     assert {row["lang_pred"] for row in langid.label_languages(rows, None).collect()} == {"und"}
 
 
+def test_copies_do_not_push_texts_out_of_the_sample(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").where("lang in ('en', 'de') and length(text) > 300").select("text", "lang")
+    french = [row["text"] for row in spark.read.parquet(f"{MIDDLE}/documents.parquet").where("lang = 'fr' and length(text) > 900").limit(4).collect()]
+    copies = spark.createDataFrame([(text, "fr") for text in french[:3]] * 2000, "text string, lang string")
+    model = langid.train(docs.unionByName(copies))
+    assert model.languages == ["de", "en", "fr"]
+    found = langid.label_languages(spark.createDataFrame([(french[3],), (french[0],)], "text string"), model).collect()
+    assert [row["lang_pred"] for row in found] == ["fr", "fr"]
+    many = spark.createDataFrame([(f"text {k}", f"l{k}") for k in range(langid.LANGUAGES + 1)], "text string, lang string")
+    with pytest.raises(ValueError, match="different values"):
+        langid.train(many)
+
+
 def test_quality_of_held_out_texts(spark):
     labels = spark.read.parquet(f"{MIDDLE}/labels.parquet").select("doc_id", "quality")
     rows = queries.op4_quality(spark, MIDDLE).collect()
@@ -132,6 +145,21 @@ def test_shards_with_hot_texts_and_odd_rows(spark, pieces):
     assert shard(frame.limit(0), F.lit(1), keys, shards=8).count() == 0
 
 
+def test_groups_of_equal_texts_are_cut_only_if_sizes_would_suffer(spark):
+    chance = random.Random(12)
+    rows = [(k, f"text {chance.randrange(1200)}", chance.randrange(80, 120)) for k in range(6000)] + [(k, "hot", 100) for k in range(6000, 8000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, bytes long").repartition(4)
+    placed = shard(frame, F.col("bytes"), [F.xxhash64("text"), F.col("doc_id")], shards=8, group=1).toPandas()
+    target = placed["size"].sum() / 8
+    assert (placed.groupby("shard")["size"].sum() - target).abs().max() <= 0.05 * target
+    homes = placed.groupby("text")["shard"].nunique()
+    assert homes[homes > 1].index.tolist() == ["hot"]
+    for _, part in placed.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+    plain = shard(frame, F.col("bytes"), [F.xxhash64("text"), F.col("doc_id")], shards=8).toPandas()
+    assert (plain.groupby("text")["shard"].nunique() > 1).sum() >= 3
+
+
 def test_neighbours_of_the_table(spark):
     folder = "/root/testdata/sf0.1"
     table = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
