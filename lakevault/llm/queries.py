@@ -64,12 +64,12 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents in 40 shards of near-equal bytes; equal texts sort next to each other."""
+    """All documents in 40 shards of near-equal bytes; equal texts stay together where sizes allow it."""
     text = F.coalesce("text", F.lit(""))
     rows = _table(spark, folder, "documents").select(
         "doc_id", F.octet_length(text).cast("long").alias("bytes"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash")
     )
-    placed = shard(rows, F.col("bytes") + 16, [F.col("text_hash"), F.col("doc_id")])
+    placed = shard(rows, F.col("bytes") + 16, [F.col("text_hash"), F.col("doc_id")], group=1)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
@@ -91,6 +91,7 @@ def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every text, and whether it has more than 1,024 tokens."""
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -9,8 +9,9 @@ Rows get a key; shard k takes the keys between two splitters. Splitters are foun
 
 A round narrows each range about ``PROBES`` times, so a few passes over the narrow keyed table suffice at any
 size. Then rows are exchanged once, straight to where they belong. Keys are unique (the row's number in the
-staged table comes last), hence equal texts, which sort next to each other, can be cut anywhere, and no group
-of copies makes a shard too large.
+staged table comes last), so no group of equal texts, which sort next to each other, makes a shard too large. A splitter
+inside a group moves to the nearer end of it, if the shard stays within a looser tolerance: groups are cut only where
+sizes would suffer.
 """
 from __future__ import annotations
 
@@ -110,11 +111,38 @@ def splitters(keyed: DataFrame, parts: int, tolerance: float, width: int) -> tup
     return [last if key is None else key for key, _, _ in chosen], [below for _, _, below in chosen]
 
 
-def shard(frame: DataFrame, size: Column, keys: list[Column], shards: int = 40, tolerance: float = 0.002, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def to_group_borders(keyed: DataFrame, found: list[bytes], below: list[int], group: int, tolerance: float, width: int) -> tuple[list[bytes], list[int]]:
+    """The splitters with those moved to an end of their group that are off there by at most ``tolerance`` of a part's bytes.
+
+    A group are the rows that agree in the first ``group`` keys. One more pass counts the exact bytes below the ends.
+    """
+    ends = []
+    for key in found:
+        number = int.from_bytes(key.ljust(8 * width, b"\0")[: 8 * group], "big")
+        after = min(number + 1, 2 ** (64 * group) - 1)
+        ends.append([value.to_bytes(8 * group, "big") + b"\0" * (8 * (width - group)) for value in (number, after)])
+    probes = np.unique(_pad([end for pair in ends for end in pair], width))
+    sizes, rows = _histogram(keyed, probes, width)
+    place = {key.ljust(8 * width, b"\0"): at for at, key in enumerate(probes.tolist())}
+    parts, total = len(found) + 1, int(sizes[-1])
+    moved, counts = list(found), list(below)
+    for k, pair in enumerate(ends):
+        target = total * (k + 1) / parts
+        end = min(pair, key=lambda end: abs(int(sizes[place[end]]) - target))
+        if abs(int(sizes[place[end]]) - target) <= tolerance * total / parts:
+            moved[k], counts[k] = end, int(rows[place[end]])
+    return moved, counts
+
+
+def shard(
+    frame: DataFrame, size: Column, keys: list[Column], shards: int = 40, tolerance: float = 0.002, piece_rows: int = PIECE_ROWS,
+    group: int = 0, group_tolerance: float = 0.02,
+) -> DataFrame:
     """All rows and columns of ``frame`` with size, shard (0 to shards-1) and slot (gapless from 0 in key order).
 
     ``keys`` are long columns that give the order (nulls first); shards get near-equal sums of ``size``
-    (positive or zero longs, null is zero). Rows that agree in all keys are ordered as the staged copy has
+    (positive or zero longs, null is zero). Rows that agree in the first ``group`` keys stay in one shard where the sizes then
+    are off by at most ``group_tolerance`` of a shard. Rows that agree in all keys are ordered as the staged copy has
     them. An empty frame gives an empty result; with fewer rows than shards some shards stay empty. Columns of
     the frame called size, shard, slot or key0, key1, … are replaced.
     """
@@ -130,6 +158,8 @@ def shard(frame: DataFrame, size: Column, keys: list[Column], shards: int = 40,
     rows = narrow.count()
     pieces = max(1, -(-rows // (shards * piece_rows)))
     keys_, below = splitters(narrow, shards * pieces, tolerance / pieces, width)
+    if group and keys_ and rows:
+        keys_, below = to_group_borders(narrow, keys_, below, group, group_tolerance / pieces, width)
     cuts = _pad(keys_, width)
     starts = np.array([0, *below], np.int64)
     starts -= starts[np.arange(len(starts)) // pieces * pieces]
