@@ -33,8 +33,9 @@ from lakevault.llm.components import components
 from lakevault.llm.shingles import by_row, mix, windows
 
 # Hash buckets in which shingles are counted for the order; 8 MB in every task, whatever the input.
-BUCKETS, PARTS = 1 << 22, 16
-SHIFT = np.uint64(64 - 22)
+BUCKETS, PARTS = 1 << 21, 16
+SHIFT = np.uint64(64 - 21)
+COUNTED = 1 << 19  # shingles that are added to the buckets at once
 # Counts become ranks of 16 bits on a logarithmic scale.
 LOG_STEPS = 2047
 SIGNATURE_BITS = 1024
@@ -42,7 +43,7 @@ NEAR = 64  # members of a component whose signatures a set outside is held again
 FEW = 8  # sets of a shingle whose pairs are all looked at, however many components they are of
 FADED = 32  # a round of single pairs is the last one if it links less than this part of what another one did
 MEMBERS = 256  # sets that meet one copy of a leader's text
-REMEMBERED = 1 << 20  # digests of sets that a task remembers, so as not to post them again
+REMEMBERED = 1 << 18  # digests of sets that a task remembers, so as not to post them again
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -82,7 +83,7 @@ def describe(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
             sets = shingle_sets(batch.column("text"), size)
             waiting += [(found >> SHIFT).astype(np.int32) for found in sets]
             many += sum(map(len, sets))
-            if many > BUCKETS:
+            if many > COUNTED:
                 counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS).astype(np.uint32)
                 waiting, many = [], 0
             columns = [
@@ -279,8 +280,8 @@ def crossing(spread: DataFrame, percent: int, rays: bool) -> DataFrame:
             rows = minor[start : start + 64]
             low = np.searchsorted(n, -(-percent * int(n[rows].min()) // 100), side="left")
             high = np.searchsorted(n, 100 * int(n[rows].max()) // percent, side="right")
-            for left in range(low, high, 1 << 12):
-                others = np.arange(left, min(high, left + (1 << 12)))
+            for left in range(low, high, 1 << 10):
+                others = np.arange(left, min(high, left + (1 << 10)))
                 x, y = np.nonzero(component[rows][:, None] != component[others][None, :])
                 x, y = close(n, at, signatures, rows[x], others[y])
                 if len(x):

@@ -26,6 +26,8 @@ TOKEN = re.compile(r"[^\W\d_]+|\n")
 SAMPLE_ROWS, SAMPLE_BYTES = 150, 20_000
 # Languages that a model tells apart at most.
 LANGUAGES = 200
+# Distinct words whose scores a worker remembers.
+CACHED_WORDS = 100_000
 LEXICON_WORDS = 500
 AFFIX, GRAMS = 3, (2, 3)
 SLICE = 2 << 20
@@ -147,7 +149,7 @@ def label_languages(docs: DataFrame, model: LanguageModel | None, text_column: s
     def label(batches):
         model = shared.value
         names = np.array(model.languages, object)
-        table = model.__dict__.setdefault("table", WordTable(model.scores, np.float32))
+        table = model.__dict__.setdefault("table", WordTable(model.scores, np.float32, words=CACHED_WORDS))
         moves, first = model.moves, model.first
         for batch in slices(batches, text_column, SLICE):
             codes, ends = table.encode(lambda text: TOKEN.findall(text.lower()), texts(batch, text_column))
