@@ -38,15 +38,13 @@ def releasing(step):
     @wraps(step)
     def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         left = _left.setdefault(spark.sparkContext.applicationId, [])
-        if left:
-            read = docs.inputFiles()
-            gone = [path for path in left if not any(path in file for file in read)]
-            for path in gone:
-                remove(spark, path)
-                left.remove(path)
-            # Spark removes the files of shuffles whose frames the collector has found.
-            gc.collect()
-            spark._jvm.System.gc()
+        read = docs.inputFiles() if left else []
+        for path in [path for path in left if not any(path in file for file in read)]:
+            remove(spark, path)
+            left.remove(path)
+        # Spark drops shuffle files and broadcast models whose frames the collectors have found.
+        gc.collect()
+        spark._jvm.System.gc()
         with staged_paths() as paths:
             found = step(spark, docs, sf_dir)
         left += paths
