@@ -10,10 +10,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakevault.operators.contract import accepted, parsed, quarantined, redrive
-from lakevault.operators.store import VaultStore
+from lakevault.operators.store import COMPRESSION, VaultStore
 from lakevault.plans.pipeline import load_dataset, load_now
 from lakevault.session import remove, shared_folder
-from lakevault.sources.files import has_files, is_written, written_folders
+from lakevault.sources.files import RAW_FILES, has_files, is_written, written_folders
 from lakevault.sources.landing import land_messages, once
 from lakevault.sources.raw import CORRUPT, PARTITIONS, flat_events, unreadable_rows, with_raw_metadata
 from lakevault.sources.schemas import EVENT_SCHEMA, EVENTS, RECORD_SOURCE
@@ -32,7 +32,7 @@ def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
     reader = (
         spark.readStream.schema(declared)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.{json,txt}")
+        .option("pathGlobFilter", RAW_FILES)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -103,7 +103,7 @@ def landing_job(
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         staged = f"{shared_folder(session)}/lakevault/judged/{run}-{batch_id}"
-        parsed(batch).write.mode("overwrite").parquet(staged)
+        parsed(batch).write.option("compression", COMPRESSION).mode("overwrite").parquet(staged)
         judged = session.read.parquet(staged)
         land_messages(accepted(judged), raw_root, run, batch_id, run_date)
         quarantined(judged).write.mode("overwrite").parquet(f"{quarantine}/run={run}/batch={batch_id}")
