@@ -1,8 +1,11 @@
 """Landed text is compressed, in files of bounded rows, and read back whole."""
 from pathlib import Path
 
+from conftest import SMALL
 from helpers import LOADED, dataset
+from pyspark.sql.classic.dataframe import DataFrame
 
+from lakevault.plans import registry
 from lakevault.sources import files
 from lakevault.sources.landing import land_batch
 from lakevault.sources.ledger import raw_files
@@ -20,3 +23,10 @@ def test_landed_rows_are_compressed_and_read_back(spark, folder, monkeypatch):
     found = read_batches(spark, folder, "sellers", LOADED)
     assert sorted(found.select(*rows.columns).collect()) == sorted(rows.collect())
     assert found.select("seq").distinct().count() == 3 == raw_files(spark, folder, "sellers").count()
+
+
+def test_the_event_roundtrip_fixes_no_number_of_files(spark, monkeypatch):
+    asked, plain = [], DataFrame.repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda self, *by: (asked.append(by), plain(self, *by))[1])
+    assert registry.raw_event_roundtrip(spark, SMALL).count() > 0
+    assert asked == [("event_id",)]
