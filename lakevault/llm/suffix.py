@@ -267,36 +267,51 @@ class RunIndex:
     def sort(data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix order (to fragment ends, equal ones by position), and ranks by the first LENGTH bytes."""
         size = len(data)
-        padded = np.concatenate([data, np.zeros(8, np.uint8)])
-        word = np.zeros(size, np.uint64)
-        for k in range(8):
-            word = word << np.uint64(8) | np.where(left > k, padded[k : size + k], 0).astype(np.uint64)
-        order = np.lexsort((np.minimum(left, 8), word))
-        width, by_length = 8, None
-
-        def ranked(order, *keys):
+        if not size:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        # Seven bytes and how many of them there are fit one number.
+        width = 7
+        padded = np.concatenate([data, np.zeros(width, np.uint8)])
+        key = np.zeros(size, np.int64)
+        for k in range(width):
+            key = key << 8 | np.where(left > k, padded[k : size + k], 0)
+        key = key << 3 | np.minimum(left, width)
+
+        def ranked(key):
+            order = np.argsort(key)
             change = np.zeros(size, np.int64)
-            change[1:] = np.any([key[order][1:] != key[order][:-1] for key in keys], axis=0)
+            change[1:] = np.diff(key[order]) != 0
             rank = np.empty(size, np.int64)
             rank[order] = np.cumsum(change)
-            return rank
+            return order, rank
+
+        def ahead(rank, shift):
+            """Rank of what follows ``shift`` bytes later in the fragment, from 1; 0 if nothing does."""
+            other = np.zeros(size, np.int64)
+            other[: max(size - shift, 0)] = rank[shift:] + 1
+            other[left <= shift] = 0
+            return other
 
-        rank = ranked(order, word, np.minimum(left, 8))
-        top = int(left.max()) if size else 0
+        order, rank = ranked(key)
+        by_length, top = None, int(left.max())
         while width < max(top, LENGTH):
+            kinds = int(rank[order[-1]]) + 2
             if by_length is None and 2 * width >= LENGTH:
-                # Ranks by exactly LENGTH bytes: two overlapping stretches of ``width``.
-                shift = LENGTH - width
-                other = np.where(left > shift, np.concatenate([rank[shift:], np.zeros(shift, np.int64)]) + 1, 0)
-                key = rank * (size + 1) + other
-                by_length = ranked(np.argsort(key), key)
-            other = np.where(left > width, np.concatenate([rank[width:], np.zeros(min(width, size), np.int64)])[:size] + 1, 0)
-            key = rank * (size + 1) + other
-            order = np.argsort(key)
-            rank = ranked(order, key)
-            width *= 2
-        order = np.argsort(rank * size + np.arange(size)) if size else order
-        return order, (by_length if by_length is not None else rank)
+                by_length = rank, LENGTH - width  # LENGTH bytes are two overlapping stretches of ``width``
+            if by_length is None and 3 * width < LENGTH and kinds**3 < 2**63 or by_length is not None and 2 * width < top and kinds**3 < 2**63:
+                key, width = (rank * kinds + ahead(rank, width)) * kinds + ahead(rank, 2 * width), 3 * width
+            else:
+                key, width = rank * kinds + ahead(rank, width), 2 * width
+            order, rank = ranked(key)
+        if rank[order[-1]] < size - 1:
+            order = np.argsort(rank * size + np.arange(size))
+        # Suffixes that agree in LENGTH bytes lie side by side.
+        short, shift = by_length
+        other, same = ahead(short, shift), np.empty(size, np.int64)
+        change = np.zeros(size, np.int64)
+        change[1:] = (np.diff(short[order]) != 0) | (np.diff(other[order]) != 0)
+        same[order] = np.cumsum(change)
+        return order, same
 
     def earliest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every string of the fragments: fragment, place in the data, place where an equal string starts first."""

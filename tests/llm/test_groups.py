@@ -215,3 +215,22 @@ def test_different_texts_under_null_and_equal_ids(spark, monkeypatch, hot):
     assert {place: size for place, (size, _) in found.items()} == {row[2]: len(row[1]) for row in rows}
     assert found[0][1] == 150 and sorted((found[2][1], found[3][1])) == [0, 400] and found[5][1] == 150
     assert found[1][1] == found[4][1] == found[6][1] == found[7][1] == 0
+
+
+def test_suffixes_are_sorted_in_few_passes(monkeypatch):
+    """Fragments of usual length take four sorts, one for ties, and none of their own for the ranks of LENGTH bytes."""
+    rng, sorts = np.random.default_rng(5), []
+    texts = [bytes(rng.integers(0, 3, int(size)).astype(np.uint8)) for size in rng.integers(90, 169, 30)] * 2
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(text) for text in texts])
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
+    argsort, lexsort = np.argsort, np.lexsort
+    monkeypatch.setattr(np, "argsort", lambda *by, **how: (sorts.append(1), argsort(*by, **how))[1])
+    monkeypatch.setattr(np, "lexsort", lambda *by, **how: (sorts.append(1), lexsort(*by, **how))[1])
+    order, rank = suffix.RunIndex.sort(data, left)
+    assert len(sorts) <= 5
+    suffixes = [data[at : at + size].tobytes() for at, size in enumerate(left.tolist())]
+    assert order.tolist() == sorted(range(len(data)), key=lambda at: (suffixes[at], at))
+    heads = [text[: suffix.LENGTH] for text in suffixes]
+    place = {head: k for k, head in enumerate(sorted(set(heads)))}
+    assert rank.tolist() == [place[head] for head in heads]
