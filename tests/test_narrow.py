@@ -1,5 +1,6 @@
 """Loads move business columns, not digests: those are added where rows are stored."""
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,10 @@ from lakevault.operators import history
 from lakevault.operators.merge import write
 from lakevault.operators.model import modelled, source_rows, vault_rows
 from lakevault.operators.specs import MODEL, TABLES
+from lakevault.plans import gold
+from lakevault.plans.lasting import lasting_views
 from lakevault.plans.pipeline import load_dataset, staged
+from lakevault.session import release
 
 ITEMS = [
     {"order_id": o, "order_item_id": n, "product_id": "p1", "seller_id": s, "price": float(n)}
@@ -92,3 +96,30 @@ def test_hashdiffs_are_worked_out_behind_the_shuffle_for_hot_keys_too(spark):
     found = history.decisions(rows, "k", hot_key_rows=50, hashdiff=digest(["value"])).select("k", "seq", "hashdiff", "value", "action").collect()
     assert sorted(map(str, found)) == sorted(map(str, expected))
     assert re.search("version", str(found))
+
+
+def test_views_shuffle_keys_as_bytes(spark, store):
+    """Keys are packed before the first shuffle of a view, and come out as the text that is stored."""
+    load_dataset(store, "order_items", items(spark))
+    names = dict(zip(gold.VIEWS, lasting_views(store)))
+    for view in (gold.fact_order_item(store), spark.table(names["fact_order_item"])):
+        lines = plan(view.hint("merge")).splitlines()
+        shuffle = max(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+        assert any("unhex" in line for line in lines[shuffle:])
+        keys = ["link_order_item_hk", "order_hk", "product_hk", "seller_hk"]
+        assert view.select(keys).exceptAll(store.rows("link_order_item").select(keys)).isEmpty()
+        assert view.count() == store.rows("link_order_item").count() > 0
+    assert dict(gold.fact_order_item.inner(store).dtypes)["order_hk"] == "binary"
+
+
+def test_a_load_leaves_no_shuffle_files(spark, store):
+    def kept():
+        return spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+
+    release(spark)
+    for _ in range(3):
+        load_dataset(store, "order_items", items(spark))
+    deadline = time.time() + 20
+    while kept() > 0 and time.time() < deadline:
+        time.sleep(0.2)
+    assert kept() == 0
