@@ -214,30 +214,37 @@ def settle(found: DataFrame) -> DataFrame:
     return spread.mapInArrow(run, "anchor long, doc_id long, number long, start long, many int")
 
 
+def place_type(size: int) -> type:
+    """The shortest type that holds places and ranks in so many bytes: arrays of them are most of an index's memory."""
+    return np.int32 if size < 2**31 - 1 else np.int64
+
+
 class RunIndex:
     """Run-length compressed Burrows-Wheeler transform of fragments in document order, with sampled string positions."""
 
     def __init__(self, data: np.ndarray, borders: np.ndarray):
         size = len(data)
-        self.borders = borders
+        kind = place_type(size)
+        self.borders = borders = borders.astype(kind)
         lengths = np.diff(borders)
-        left = np.repeat(borders[1:], lengths) - np.arange(size)  # bytes to the end of the fragment
+        left = np.repeat(borders[1:], lengths)  # bytes to the end of the fragment
+        left -= np.arange(size, dtype=kind)
         order, rank = self.sort(data, left)
-        self.row_of = np.empty(size, np.int64)
-        self.row_of[order] = np.arange(size)
+        self.row_of = np.empty(size, kind)
+        self.row_of[order] = np.arange(size, dtype=kind)
         # The byte before each suffix; at a fragment's start there is none (a number of its own).
-        symbols = data.astype(np.int16)
-        before = np.where(order > 0, symbols[order - 1], -1)
-        before[np.isin(order, borders[:-1])] = -1
-        edge = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+        before = data[order - 1].astype(np.int16)
+        before[self.row_of[borders[:-1][lengths > 0]]] = -1
+        edge = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]])).astype(kind)
         self.run_start, run_symbol = edge, before[edge]
-        run_length = np.diff(edge, append=size)
+        del before
+        run_length = np.diff(edge, append=kind(size))
         # Where the rows of a run go when their byte is put in front: runs of a byte keep their order.
         by_symbol = np.argsort(run_symbol, kind="stable")
         first_row = np.searchsorted(data[order], np.arange(256))  # rows are sorted by first byte
-        self.target = np.zeros(len(edge), np.int64)
+        self.target = np.zeros(len(edge), kind)
         sorted_symbol, sorted_length = run_symbol[by_symbol], run_length[by_symbol]
-        ahead = np.cumsum(sorted_length) - sorted_length
+        ahead = np.cumsum(sorted_length, dtype=kind) - sorted_length
         group = np.searchsorted(sorted_symbol, sorted_symbol, side="left")
         # A fragment's last byte starts a suffix that no row's byte leads to: shorter suffixes come first in a bucket.
         last = borders[1:] - 1
@@ -247,84 +254,115 @@ class RunIndex:
         # Classes: rows whose suffixes agree in LENGTH bytes.
         long_ = left[order] >= LENGTH
         fresh = np.ones(size, bool)
-        fresh[1:] = (rank[order][1:] != rank[order][:-1]) | ~long_[1:]
-        self.class_start = np.flatnonzero(fresh)
-        class_end = np.append(self.class_start[1:], size)
+        rank = rank[order]
+        fresh[1:] = (rank[1:] != rank[:-1]) | ~long_[1:]
+        del rank
+        self.class_start = np.flatnonzero(fresh).astype(kind)
+        class_end = np.append(self.class_start[1:], kind(size))
         least = np.minimum.reduceat(order, self.class_start)
+        del order, fresh, left
         # A class is the image of another if that lies in one run, holds whole strings, and has as many rows.
-        run = np.searchsorted(self.run_start, self.class_start, side="right") - 1
-        run_end = np.append(self.run_start[1:], size)[run]
-        inside = (class_end <= run_end) & long_[self.class_start] & (run_symbol[run] >= 0)
-        image = self.target[run] + self.class_start - self.run_start[run]
-        at = np.searchsorted(self.class_start, image[inside], side="right") - 1
-        exact = (self.class_start[at] == image[inside]) & (class_end[at] - self.class_start[at] == (class_end - self.class_start)[inside])
+        run = np.searchsorted(self.run_start, self.class_start, side="right").astype(kind) - 1
+        inside = (class_end <= np.append(self.run_start[1:], kind(size))[run]) & long_[self.class_start] & (run_symbol[run] >= 0)
+        run = run[inside]
+        image = self.target[run] + self.class_start[inside] - self.run_start[run]
+        del run
+        at = np.searchsorted(self.class_start, image, side="right").astype(kind) - 1
+        exact = (self.class_start[at] == image) & (class_end[at] - self.class_start[at] == (class_end - self.class_start)[inside])
         derived = np.zeros(len(self.class_start), bool)
         derived[at[exact]] = True
-        self.sampled = np.flatnonzero(~derived)
+        self.sampled = np.flatnonzero(~derived).astype(kind)
         self.samples = least[self.sampled]
 
     @staticmethod
     def sort(data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix order (to fragment ends, equal ones by position), and ranks by the first LENGTH bytes."""
-        size = len(data)
+        """Suffix order (to fragment ends, equal ones by position), and ranks by the first LENGTH bytes.
+
+        Only the numbers being sorted take eight bytes, and what a pass no longer needs is given up before the next one sorts.
+        """
+        size, kind = len(data), place_type(len(data))
         if not size:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, kind), np.empty(0, kind)
         # Seven bytes and how many of them there are fit one number.
         width = 7
-        padded = np.concatenate([data, np.zeros(width, np.uint8)])
-        key = np.zeros(size, np.int64)
-        for k in range(width):
-            key = key << 8 | np.where(left > k, padded[k : size + k], 0)
-        key = key << 3 | np.minimum(left, width)
+
+        def beginning():
+            padded = np.concatenate([data, np.zeros(width, np.uint8)])
+            key = np.zeros(size, np.int64)
+            for k in range(width):
+                key <<= 8
+                key |= np.where(left > k, padded[k : size + k], np.uint8(0))
+            key <<= 3
+            key |= np.minimum(left, width)
+            return key
+
+        def changes(values):
+            fresh = np.ones(len(values), bool)
+            np.not_equal(values[1:], values[:-1], out=fresh[1:])
+            return fresh
 
         def ranked(key):
-            order = np.argsort(key)
-            change = np.zeros(size, np.int64)
-            change[1:] = np.diff(key[order]) != 0
-            rank = np.empty(size, np.int64)
-            rank[order] = np.cumsum(change)
-            return order, rank
+            order = np.argsort(key).astype(kind)
+            steps = np.cumsum(changes(key[order]), dtype=kind)
+            steps -= 1
+            rank = np.empty(size, kind)
+            rank[order] = steps
+            return rank, int(steps[-1]), order
 
         def ahead(rank, shift):
             """Rank of what follows ``shift`` bytes later in the fragment, from 1; 0 if nothing does."""
-            other = np.zeros(size, np.int64)
-            other[: max(size - shift, 0)] = rank[shift:] + 1
+            other = np.zeros(size, kind)
+            other[: max(size - shift, 0)] = rank[shift:]
+            other += 1
             other[left <= shift] = 0
             return other
 
-        order, rank = ranked(key)
+        def joined(rank, kinds, shifts):
+            key = rank.astype(np.int64)
+            for shift in shifts:
+                key *= kinds
+                key += ahead(rank, shift)
+            return key
+
+        rank, most, order = ranked(beginning())
         by_length, top = None, int(left.max())
         while width < max(top, LENGTH):
-            kinds = int(rank[order[-1]]) + 2
+            kinds = most + 2
             if by_length is None and 2 * width >= LENGTH:
                 by_length = rank, LENGTH - width  # LENGTH bytes are two overlapping stretches of ``width``
-            if by_length is None and 3 * width < LENGTH and kinds**3 < 2**63 or by_length is not None and 2 * width < top and kinds**3 < 2**63:
-                key, width = (rank * kinds + ahead(rank, width)) * kinds + ahead(rank, 2 * width), 3 * width
-            else:
-                key, width = rank * kinds + ahead(rank, width), 2 * width
-            order, rank = ranked(key)
-        if rank[order[-1]] < size - 1:
-            order = np.argsort(rank * size + np.arange(size))
+            three = by_length is None and 3 * width < LENGTH and kinds**3 < 2**63 or by_length is not None and 2 * width < top and kinds**3 < 2**63
+            shifts = [width, 2 * width] if three else [width]
+            width += shifts[-1]
+            del order
+            rank, most, order = ranked(joined(rank, kinds, shifts))
+        if most < size - 1:
+            del order
+            key = rank.astype(np.int64)
+            key *= size
+            key += np.arange(size, dtype=kind)
+            order = np.argsort(key).astype(kind)
+            del key
         # Suffixes that agree in LENGTH bytes lie side by side.
         short, shift = by_length
-        other, same = ahead(short, shift), np.empty(size, np.int64)
-        change = np.zeros(size, np.int64)
-        change[1:] = (np.diff(short[order]) != 0) | (np.diff(other[order]) != 0)
-        same[order] = np.cumsum(change)
+        del rank
+        fresh = changes(short[order])
+        fresh |= changes(ahead(short, shift)[order])
+        same = np.empty(size, kind)
+        same[order] = np.cumsum(fresh, dtype=kind) - kind(1)
         return order, same
 
     def earliest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every string of the fragments: fragment, place in the data, place where an equal string starts first."""
         ends = self.borders[1:]
-        alive = np.flatnonzero(np.diff(self.borders) >= LENGTH)
+        alive = np.flatnonzero(np.diff(self.borders) >= LENGTH).astype(self.borders.dtype)
         place = ends[alive] - LENGTH
         row = self.row_of[place]
-        first = np.zeros(len(alive), np.int64)
+        first = np.zeros(len(alive), row.dtype)
         out = []
         while len(alive):
-            kind = np.searchsorted(self.class_start, row, side="right") - 1
-            at = np.searchsorted(self.sampled, kind)
-            known = (at < len(self.sampled)) & (self.sampled[np.minimum(at, len(self.sampled) - 1)] == kind)
+            own = np.searchsorted(self.class_start, row, side="right").astype(row.dtype) - 1
+            at = np.searchsorted(self.sampled, own)
+            known = (at < len(self.sampled)) & (self.sampled[np.minimum(at, len(self.sampled) - 1)] == own)
             first = np.where(known, self.samples[np.minimum(at, len(self.samples) - 1)], first - 1)
             out.append((alive, place, first))
             more = place > self.borders[alive]

@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -234,3 +235,20 @@ def test_suffixes_are_sorted_in_few_passes(monkeypatch):
     heads = [text[: suffix.LENGTH] for text in suffixes]
     place = {head: k for k, head in enumerate(sorted(set(heads)))}
     assert rank.tolist() == [place[head] for head in heads]
+
+
+def test_index_takes_few_bytes_a_position():
+    """Places and ranks are short numbers and a pass gives up those of the one before: executors hold several blocks at once."""
+    rng = np.random.default_rng(11)
+    texts = [rng.integers(0, 5, 160).astype(np.uint8).tobytes() for _ in range(700)] * 2
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    borders = np.arange(len(texts) + 1) * 160
+    tracemalloc.start()
+    try:
+        fragment, place, first = suffix.RunIndex(data, borders).earliest()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60 * len(data)
+    again = fragment >= 700
+    assert len(fragment) == 1400 * 61 and (first[~again] == place[~again]).all() and (first[again] == place[again] - len(data) // 2).all()
