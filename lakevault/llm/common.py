@@ -1,6 +1,8 @@
 """Helpers shared by the text operators: staged tables, slices of batches, tables of distinct words."""
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -50,6 +52,46 @@ def unstage(*frames: DataFrame) -> None:
         remove(frame.sparkSession, frame.staged_at)
 
 
+# What a worker keeps from one task to the next, for one operator at a time.
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """An object that a worker keeps between the tasks of an operator. What another operator kept goes."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget(name: str | None) -> None:
+    """Drop what operators other than the named one have left in this worker."""
+    if any(other != name for other in _kept):
+        _kept.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Hand free memory back to the machine: workers live on between tasks, and allocators hold on to what was freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], name: str | None = None) -> Callable:
+    """``run`` for a worker that other operators use, too: what they kept goes before it, and what it freed afterwards."""
+
+    def task(batches):
+        forget(name)
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import WordTable, slices, stage, texts
+from lakevault.llm.common import WordTable, kept, lean, slices, stage, texts
 from lakevault.llm.shingles import LACKING, mix, windows
 
 WINDOW = 5
@@ -70,7 +70,8 @@ def describe(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return found.reshape(-1), np.full(len(words), 2)
 
 
-_words = WordTable(describe, np.uint64)  # of one worker
+def _table() -> WordTable:
+    return WordTable(describe, np.uint64)
 
 
 def template(plain: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +106,7 @@ def _windows(rows: DataFrame, key: str, keep: np.ndarray | None) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(keep)
 
     def run(batches):
-        table, keep = _words, shared.value
+        table, keep = kept("decontam", _table), shared.value
         for batch in slices(batches, "text"):
             codes, ends = table.encode(str.split, texts(batch, "text"))
             values = table.flat.reshape(-1, 2)
@@ -141,7 +142,7 @@ def _windows(rows: DataFrame, key: str, keep: np.ndarray | None) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(out, schema=WINDOW_ARROW)
 
     texts_ = rows.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
-    return texts_.mapInArrow(run, "key long, window long, at long, total long, slots array<string>")
+    return texts_.mapInArrow(lean(run, "decontam"), "key long, window long, at long, total long, slots array<string>")
 
 
 WINDOW_ARROW = pa.schema([("key", pa.int64()), ("window", pa.int64()), ("at", pa.int64()), ("total", pa.int64()), ("slots", pa.list_(pa.string()))])
@@ -201,13 +202,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED, partl
     torn = slots.join(broken, [*lines, "value", "item_value"], "left_semi").select(*lines, "at").distinct()
     changed = pairs.groupBy(*one).agg(F.count_if(F.col("value") != F.col("item_value")).alias("changed"))
     loose = broken.select(*lines).distinct().withColumn("loose", F.lit(True))
-    kept = stage(hits.join(torn, [*lines, "at"], "left_anti").join(loose, lines, "left"), "leak-kept")
+    held = stage(hits.join(torn, [*lines, "at"], "left_anti").join(loose, lines, "left"), "leak-kept")
     place = [F.min("at").alias("first_word"), (F.max("at") + WINDOW - 1).alias("last_word")]
-    counted = kept.groupBy(*one).agg(F.countDistinct("item_at").alias("matched"), F.max("windows").alias("windows"), *place)
+    counted = held.groupBy(*one).agg(F.countDistinct("item_at").alias("matched"), F.max("windows").alias("windows"), *place)
     whole = counted.withColumn("coverage", F.col("matched") / F.col("windows")).where(F.col("coverage") >= covered)
     # Alignments close to each other form one stretch.
     order = Window.partitionBy(*one).orderBy("line", "at", "item_at")
-    firm = kept.where(F.col("loose").isNull() | (F.col("slots") == F.col("item_slots")))
+    firm = held.where(F.col("loose").isNull() | (F.col("slots") == F.col("item_slots")))
     firm = firm.withColumn("apart", (F.col("line") - F.lag("line").over(order) > SHIFT).cast("long"))
     firm = firm.withColumn("stretch", F.sum(F.coalesce("apart", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     parts = firm.groupBy(*one, "stretch").agg(F.countDistinct("item_at").alias("matched"), F.max("windows").alias("windows"), *place)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import slices, stage, unstage
+from lakevault.llm.common import lean, slices, stage, unstage
 from lakevault.llm.components import components
 from lakevault.llm.shingles import by_row, mix, windows
 
@@ -99,7 +99,7 @@ def describe(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
             empty = pa.nulls(PARTS, pa.int64())
             yield pa.RecordBatch.from_arrays([empty, empty, empty, pa.nulls(PARTS, pa.binary()), pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    found = stage(docs.mapInArrow(run, "doc_id long, n long, node long, signature binary, part int, counts binary"), "sets")
+    found = stage(docs.mapInArrow(lean(run), "doc_id long, n long, node long, signature binary, part int, counts binary"), "sets")
 
     def add(key, rows):
         total = np.zeros(BUCKETS // PARTS, np.int64)
@@ -141,7 +141,7 @@ def postings(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> Dat
                 columns = [pa.array(np.concatenate(part)) for part in (tokens, nodes, numbers, places)]
                 yield pa.RecordBatch.from_arrays(columns, ["token", "node", "n", "at"])
 
-    return docs.mapInArrow(run, "token long, node long, n int, at int")
+    return docs.mapInArrow(lean(run), "token long, node long, n int, at int")
 
 
 def _table(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -232,7 +232,7 @@ def leaders(spread: DataFrame, percent: int) -> DataFrame:
                 ["token", "node", "n", "at", "leader"],
             )
 
-    return spread.mapInArrow(run, "token long, node long, n int, at int, leader long")
+    return spread.mapInArrow(lean(run), "token long, node long, n int, at int, leader long")
 
 
 def apart(signatures: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -334,7 +334,7 @@ def crossing(spread: DataFrame, percent: int, rays: bool) -> DataFrame:
         if waiting:
             yield from finish()
 
-    return spread.mapInArrow(run, "leader long, node long")
+    return spread.mapInArrow(lean(run), "leader long, node long")
 
 
 def bound(x: np.ndarray, y: np.ndarray, depth: int = 3) -> int:
@@ -390,7 +390,7 @@ def verify(pairs: DataFrame, names: DataFrame, docs: DataFrame, size: int, perce
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    links = stage(rows.mapInArrow(run, "a long, b long"), "links")
+    links = stage(rows.mapInArrow(lean(run), "a long, b long"), "links")
     unstage(salted)
     return links
 

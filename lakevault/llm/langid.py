@@ -8,6 +8,7 @@ the largest share of letters.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.llm import crf
-from lakevault.llm.common import WordTable, slices, texts
+from lakevault.llm.common import WordTable, kept, lean, slices, texts
 
 UNKNOWN = "und"
 # Words are runs of letters; a line break ends a chain.
@@ -140,16 +141,16 @@ def label_languages(docs: DataFrame, model: LanguageModel | None, text_column: s
     One row for each row. A text that is null or has no letter is ``und`` with score 0, as is every text if
     there is no model. Ties go to the language that sorts first. Columns lang_pred and score are replaced.
     """
-    kept = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name not in ("lang_pred", "score")])
+    rows = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name not in ("lang_pred", "score")])
     if model is None:
-        return kept.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return rows.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    kinds = len(model.languages)
+    kinds, own = len(model.languages), f"langid {uuid.uuid4().hex}"
 
     def label(batches):
         model = shared.value
         names = np.array(model.languages, object)
-        table = model.__dict__.setdefault("table", WordTable(model.scores, np.float32, words=CACHED_WORDS))
+        table = kept(own, lambda: WordTable(model.scores, np.float32, words=CACHED_WORDS))
         moves, first = model.moves, model.first
         for batch in slices(batches, text_column, SLICE):
             codes, ends = table.encode(lambda text: TOKEN.findall(text.lower()), texts(batch, text_column))
@@ -170,5 +171,5 @@ def label_languages(docs: DataFrame, model: LanguageModel | None, text_column: s
             more = [pa.array(language.tolist(), pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "lang_pred", "score"])
 
-    schema = kept.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
-    return kept.mapInArrow(label, schema)
+    schema = rows.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
+    return rows.mapInArrow(lean(label, own), schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakevault.llm.common import WordTable, lists, ragged, rows_of, slices, sums, texts
+from lakevault.llm.common import WordTable, kept, lean, lists, ragged, rows_of, slices, sums, texts
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -212,14 +212,13 @@ class Model:
         return texts
 
 
-_models: dict[str, tuple[Model, WordTable]] = {}
+def _made(path: str) -> tuple[Model, WordTable]:
+    model = Model(path)
+    return model, WordTable(model.segment)
 
 
 def _model(path: str) -> tuple[Model, WordTable]:
-    if path not in _models:
-        model = Model(path)
-        _models[path] = (model, WordTable(model.segment))
-    return _models[path]
+    return kept(path, lambda: _made(path))
 
 
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -238,7 +237,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["doc_id", "ids"])
 
     rows = docs.selectExpr(f"cast(`{id_column}` as long) as doc_id", f"cast(`{text_column}` as string) as text")
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(lean(run, path), "doc_id long, ids array<int>")
 
 
 def encode_checked(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
@@ -246,7 +245,7 @@ def encode_checked(docs: DataFrame, path: str, text_column: str = "text") -> Dat
 
     It does unless the text has a mark of its own, or no valid UTF-8. Columns of these names are replaced.
     """
-    kept = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name not in ("ids", "round_trip")])
+    rows = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name not in ("ids", "round_trip")])
 
     def run(batches):
         model, table = _model(path)
@@ -260,7 +259,7 @@ def encode_checked(docs: DataFrame, path: str, text_column: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "ids", "round_trip"])
 
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
-    return kept.mapInArrow(run, T.StructType([*kept.schema, *fields]))
+    return rows.mapInArrow(lean(run, path), T.StructType([*rows.schema, *fields]))
 
 
 def decode(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -284,4 +283,4 @@ def decode(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_column:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), rows, column], ["doc_id", "ids", "text"])
 
     rows = encoded.selectExpr(f"cast(`{id_column}` as long) as doc_id", f"cast(`{ids_column}` as array<int>) as ids")
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return rows.mapInArrow(lean(run, path), "doc_id long, ids array<int>, text string")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakevault.llm.common import stage
+from lakevault.llm.common import lean, stage
 from lakevault.llm.shingles import VALUES, bytes_of, mix, powers
 from lakevault.operators.merge import fits_broadcast
 
@@ -142,7 +142,7 @@ def find_fragments(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["anchor", "frag", "doc_id", "number", "start", "many", "key"])
 
-    return docs.mapInArrow(run, "anchor long, frag long, doc_id long, number long, start long, many int, key long")
+    return docs.mapInArrow(lean(run), "anchor long, frag long, doc_id long, number long, start long, many int, key long")
 
 
 def repeats_of(anchor: np.ndarray, frag: np.ndarray, doc: np.ndarray, number: np.ndarray, start: np.ndarray, first: tuple | None) -> tuple[np.ndarray, tuple]:
@@ -211,7 +211,7 @@ def settle(found: DataFrame) -> DataFrame:
             yield out([np.array([value]) for value in held], np.array([True]), True)
 
     spread = found.repartition("key").sortWithinPartitions("anchor", "frag", "doc_id", "number", "start")
-    return spread.mapInArrow(run, "anchor long, doc_id long, number long, start long, many int")
+    return spread.mapInArrow(lean(run), "anchor long, doc_id long, number long, start long, many int")
 
 
 def place_type(size: int) -> type:
@@ -418,7 +418,7 @@ def resolve(pieces: DataFrame) -> DataFrame:
             yield finish()
 
     spread = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "number", "start")
-    return spread.mapInArrow(run, "doc_id long, number long, start long, many int")
+    return spread.mapInArrow(lean(run), "doc_id long, number long, start long, many int")
 
 
 def cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -459,7 +459,7 @@ def cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 if out["anchor"]:
                     yield pa.RecordBatch.from_pydict(out, schema=PIECES)
 
-    return joined.mapInArrow(run, "anchor long, doc_id long, number long, start long, bytes binary, frag long")
+    return joined.mapInArrow(lean(run), "anchor long, doc_id long, number long, start long, bytes binary, frag long")
 
 
 PIECES = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary()), ("frag", pa.int64())])
@@ -544,4 +544,4 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     fields = [field for field in rows.schema if field.name != "_spans"]
     more = [T.StructField(name, T.LongType()) for name in new[:3]] + [T.StructField("kept", T.BinaryType())]
-    return rows.mapInArrow(run, T.StructType([*fields, *more]))
+    return rows.mapInArrow(lean(run), T.StructType([*fields, *more]))

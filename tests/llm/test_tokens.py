@@ -147,3 +147,18 @@ def test_a_full_word_table_starts_anew_without_changing_results():
         values, counts = table.gather(codes)
         assert values.tolist() == [ord(char) for text in texts for char in text if char != " "]
         assert common.sums(counts, ends).tolist() == [len(text.replace(" ", "")) for text in texts]
+
+
+def test_a_worker_keeps_the_tables_of_one_operator_only():
+    """Stages of a pipeline share their workers: tables that an earlier operator left are dropped by the next one's task."""
+    made = []
+    for _ in range(2):
+        list(common.lean(lambda batches: batches, "first")(iter([1])))
+        common.kept("first", lambda: made.append("first"))
+    assert made == ["first"]
+    assert list(common.lean(lambda batches: batches)(iter([1, 2]))) == [1, 2]
+    assert not common._kept
+    common.kept("second", lambda: made.append("second"))
+    common.kept("first", lambda: made.append("first"))
+    assert made == ["first", "second", "first"] and list(common._kept) == ["first"]
+    common.forget(None)
