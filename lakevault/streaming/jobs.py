@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakevault.functions.hashing import packed
 from lakevault.operators.contract import accepted, parsed, quarantined, redrive
 from lakevault.operators.store import COMPRESSION, VaultStore
 from lakevault.plans.pipeline import load_dataset, load_now
@@ -56,7 +57,7 @@ def vault_job(store: VaultStore, path: str, checkpoint: str, files_per_batch: in
         rejected = batch.where(unreadable).select("raw_file", F.col(CORRUPT).alias("payload"), F.lit("unreadable").alias("reason"))
         keyless = batch.where(~unreadable & F.col("event_id").isNull())
         keyless = keyless.select("raw_file", F.to_json(F.struct(*EVENT_SCHEMA.fieldNames())).alias("payload"), F.lit("no event id").alias("reason"))
-        rejected.unionByName(keyless).write.mode("overwrite").parquet(f"{store.root}/_rejected_events/run={run}/batch={batch_id}")
+        rejected.unionByName(keyless).write.option("compression", COMPRESSION).mode("overwrite").parquet(f"{store.root}/_rejected_events/run={run}/batch={batch_id}")
 
     stream = event_stream(store.spark, path, files_per_batch)
     return drain(stream.writeStream.foreachBatch(take), checkpoint)
@@ -69,9 +70,12 @@ def rejected_events(store: VaultStore) -> DataFrame:
     if not folders:
         return store.spark.createDataFrame([], schema)
     rows = store.spark.read.schema(schema).option("basePath", f"{store.root}/_rejected_events").parquet(*folders)
-    # Equal lines of one file came in one run as often as they are there.
-    copies = rows.groupBy("raw_file", "payload", "reason", "run").count()
-    most = copies.groupBy("raw_file", "payload", "reason").agg(F.max("count").alias("copies"))
+    # Equal lines of one file came in one run as often as they are there. They meet by a digest, shorter than the line,
+    # and only who asks for lines has them moved.
+    line = ["raw_file", "line", "reason"]
+    copies = rows.withColumn("line", packed(F.sha2("payload", 256))).groupBy(*line, "run")
+    copies = copies.agg(F.count(F.lit(1)).alias("count"), F.first("payload").alias("payload"))
+    most = copies.groupBy(*line).agg(F.max("count").alias("copies"), F.first("payload").alias("payload"))
     return most.select("raw_file", "payload", "reason", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
 
 
