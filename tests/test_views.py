@@ -175,3 +175,14 @@ def test_reports_read_no_table_they_do_not_need(spark):
             assert "hub_" not in plan(reports.run_report(name, view))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_of_two_frames_are_told_apart(spark):
+    """Nulls in other places, copies and structs count; the order of rows does not."""
+    schema = "a string, b string, seq struct<at: timestamp, tie: string>"
+    one = [("x", None, (at(5, 1), "1")), (None, "x", None), ("y", "y", (None, None)), ("y", "y", (None, None)), ("z", "", (None, ""))]
+    frame = spark.createDataFrame(one, schema)
+    assert registry.sides(frame, spark.createDataFrame(one[::-1], schema)) == (5, 0)
+    other = [("x", None, (at(5, 1), "1")), ("x", None, None), ("y", "y", (None, None)), ("z", None, (None, ""))]
+    assert registry.sides(frame, spark.createDataFrame(other, schema)) == (5, 5)
+    assert registry.sides(frame.where("false"), frame.where("false")) == (0, 0)
