@@ -5,7 +5,7 @@ from conftest import SMALL
 from lakevault.plans import registry
 
 
-@pytest.mark.parametrize("name", ["lasting_views"])
+@pytest.mark.parametrize("name", ["lasting_views", "views_as_tables"])
 def test_views_are_worked_through_one_by_one(spark, monkeypatch, name):
     """What one view has shuffled is given back before the next one begins."""
     calls = []
